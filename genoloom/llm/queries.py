@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import media, token_store
+from . import media, sentencepiece_bpe, token_store
 
 QUERIES = {
     "op2_token_store": token_store.op2_token_store,
+    "op3_sentencepiece": sentencepiece_bpe.op3_sentencepiece,
     "op9_media_columns": media.op9_media_columns,
 }
 ORACLE_SQL: dict[str, str] = {}
