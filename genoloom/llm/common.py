@@ -8,6 +8,7 @@ folder under /tmp/checkpoints used.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import uuid
 
 import pyarrow as pa
@@ -61,6 +62,18 @@ def table(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Arrow batches of at most ``rows`` rows for the jobs that run inside; the setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 

@@ -26,6 +26,8 @@ and a lookup returns all of them; columns other than key and text are not stored
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -35,12 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, documents, row_of, scratch
+from .common import arrow_schema, documents, row_of, scratch, small_batches
 
 END_ID = 2
 CHUNK_IDS = 1 << 20
 SHARD_BYTES = 48 << 20
-WORD_CACHE = 300_000
+WORD_CACHE = 250_000
 BUCKET_KEYS = 50_000
 GAMMA = 1.6
 NULL_KEY = -(1 << 63)
@@ -49,35 +51,65 @@ NULL_KEY = -(1 << 63)
 # --- encoding -------------------------------------------------------------------------------
 
 
+#: A cut is safe between a letter or digit and an ASCII mark after it: the splitter parts them in any
+#: case. Only the apostrophe, which starts contractions, is left out.
+CUT = re.compile(r"(?<=[^\W_])(?=[!-&(-/:-@\[-`{-~])")
+
+
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others, in order, for
+    the characters from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
 class WordCache(dict):
-    """Ids of space-separated pieces as bytes. The tokenizer's normaliser and splitter treat a space
-    or line feed as a hard boundary and drop it, so a text's ids are its pieces' ids in a row."""
+    """Ids of short units of text as bytes. The tokenizer lower-cases letter by letter and its splitter
+    treats spaces and the cuts above as hard boundaries, so a text's ids are its units' ids in a row.
+
+    A unit of Latin letters is one word for the merge model and goes to it directly; any other goes
+    through the whole tokenizer. Used by one worker process for all its tasks."""
+
+    made: dict[tuple[str, str], WordCache] = {}
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
+        self.tokenizer, self.dtype, self.letters = Tokenizer.from_file(path), dtype, byte_letters()
+        probe = ["naïve", "straße", "a"]
+        whole = [e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
+        self.direct = [self.merged(w) for w in probe] == [np.array(x, dtype).tobytes() for x in whole]
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def __missing__(self, word: str) -> bytes:
-        out = self.encode([word])[0]
-        if len(word) <= 40:
-            self[word] = out
+    @classmethod
+    def of(cls, path: str, dtype: str) -> WordCache:
+        if (path, dtype) not in cls.made:
+            cls.made[path, dtype] = cls(path, dtype)
+        return cls.made[path, dtype]
+
+    def merged(self, word: str) -> bytes:
+        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        return np.array([t.id for t in found], self.dtype).tobytes()
+
+    def __missing__(self, unit: str) -> bytes:
+        if self.direct and unit.isalpha() and max(unit) <= "\u00ff" and unit.islower():
+            out = self.merged(unit)
+        else:
+            out = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, self.dtype).tobytes()
+        if len(unit) <= 40:
+            if len(self) >= WORD_CACHE:
+                self.clear()
+            self[unit] = out
         return out
 
-    def texts(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts; new short pieces of the batch are encoded together."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = [w for w in set().union(*split).difference(self) if len(w) <= 40]
-        if len(self) + len(new) > WORD_CACHE:
-            self.clear()
-            new = [w for w in set().union(*split) if len(w) <= 40]
-        self.update(zip(new, self.encode(new)))
-        get = self.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+    def text(self, text: str) -> bytes:
+        """Ids of a whole text."""
+        # Lower case first makes more units alike. It must not undo a special token's spelling, follow the
+        # final-sigma rule or make letters that normalisation would then compose; such a text is cut at spaces.
+        low = text.lower()
+        if "<|" not in text and "\u03a3" not in text and unicodedata.is_normalized("NFC", low):
+            text = CUT.sub(" ", low)
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def id_type(path: str) -> str:
@@ -176,7 +208,8 @@ def write_store(
     spark.createDataFrame([(n_buckets, dtype, end_id)], META).coalesce(1).write.parquet(f"{path}/meta")
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(int(shards), *order).sortWithinPartitions(*order)
-    ranged.mapInArrow(_encoder(tokenizer, dtype, end_id), PAYLOAD).write.parquet(f"{path}/payload")
+    with small_batches(spark):
+        ranged.mapInArrow(_encoder(tokenizer, dtype, end_id), PAYLOAD).write.parquet(f"{path}/payload")
     places = spark.read.schema(PAYLOAD).parquet(f"{path}/payload").select("shard", "base", "keys")
     keyed = places.mapInArrow(_places, PLACES).withColumn("bucket", bucket(F.col("key"), n_buckets))
     keyed.groupBy("bucket").applyInArrow(_index, INDEX).write.parquet(f"{path}/index")
@@ -187,7 +220,7 @@ def _encoder(tokenizer: str, dtype: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache, shard = WordCache(tokenizer, dtype), TaskContext.get().partitionId()
+        cache, shard = WordCache.of(tokenizer, dtype), TaskContext.get().partitionId()
         chunk = base = before = held = 0
         keys, lens, ids = [], [], []
 
@@ -198,9 +231,9 @@ def _encoder(tokenizer: str, dtype: str, end_id: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                for k, data in zip(part.column(0).to_pylist(), cache.texts(part.column(1).to_pylist())):
+                for k, text in zip(*(c.to_pylist() for c in part.columns)):
                     keys.append(NULL_KEY if k is None else k)
-                    ids.append(data + end)
+                    ids.append(cache.text(text) + end)
                     lens.append(len(ids[-1]) // len(end))
                     held += lens[-1]
                     if held >= CHUNK_IDS:
