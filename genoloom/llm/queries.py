@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, media, packing, quality, sentencepiece_bpe, token_store
+from . import chat, media, packing, quality, sentencepiece_bpe, simhash, token_store
 
 QUERIES = {
     "op2_token_store": token_store.op2_token_store,
     "op3_sentencepiece": sentencepiece_bpe.op3_sentencepiece,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
     "op8_chat_format": chat.op8_chat_format,
     "op9_media_columns": media.op9_media_columns,
