@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, media, packing, quality, sentencepiece_bpe, simhash, token_store
+from . import chat, language_id, media, packing, quality, sentencepiece_bpe, simhash, token_store
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_token_store": token_store.op2_token_store,
     "op3_sentencepiece": sentencepiece_bpe.op3_sentencepiece,
     "op5_quality_rules": quality.op5_quality_rules,
