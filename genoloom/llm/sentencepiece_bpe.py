@@ -9,9 +9,10 @@ merges of a pair's joined text give that pair again. So the encoder needs no mer
 * where no piece fits, a bit marks the position as failed, the last token is taken back and a
   shorter one tried; no position is failed twice, so the work is linear in the text.
 
-Text is cut where the vocabulary lets no piece reach over: before a space mark that follows another
-character, and at characters that aren't in the vocabulary, which become byte tokens. Cut units repeat,
-so each worker remembers short ones. A vocabulary that has pieces over such a cut is encoded uncut.
+Text is cut where the vocabulary lets no piece reach over: between two characters that stand next to each other
+in no piece, such as a space mark after another character or a comma after a letter in most vocabularies, and
+around characters that aren't in the vocabulary, which become byte tokens. Cut units repeat, so each
+worker process remembers short ones; what isn't cut is encoded whole.
 
 Defined results: null and empty texts have no ids and decode to the empty string; decoding follows the
 library: one space in front is dropped, broken byte runs become U+FFFD per byte, control tokens nothing,
@@ -33,8 +34,11 @@ from .common import arrow_type, batch_with, documents, extended, pieces
 
 MARK = "▁"
 UNKNOWN = " ⁇ "
-UNIT_CACHE = 300_000
-PAIR_CACHE = 500_000
+WORD_CACHE = 200_000
+UNIT_CACHE = 200_000
+PAIR_CACHE = 200_000
+#: Words of a marked text: a run of marks and what follows up to the next.
+MARKED = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class Vocabulary:
@@ -58,12 +62,12 @@ class Vocabulary:
         self.live = {p for p in self.ids if len(p) == 1 or self.merge(p) == [p]}
         self.automaton = ahocorasick.Automaton()
         for p in self.live:
-            self.automaton.add_word(p, p)
+            self.automaton.add_word(p, (p, len(p) - 1))
         self.automaton.make_automaton()
         self.prefix = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.live), None) for p in self.live}
         self.chars = {p for p in self.live if len(p) == 1}
-        self.cuts_at_mark = not any(MARK in p.lstrip(MARK) for p in self.ids)
-        self.cuts_at_unknown = all(set(p) <= self.chars for p in self.live)
+        self.inside = {p[i : i + 2] for p in self.live for i in range(len(p) - 1)}
+        self.cuts_at_mark = not any(x[1] == MARK != x[0] for x in self.inside)
         self.raw = [b"" if sp.is_control(i) else p.replace(MARK, " ").encode() for i, p in enumerate(self.surface)]
         self.raw[self.unknown] = UNKNOWN.encode()
         for byte, i in self.bytes.items():
@@ -97,16 +101,16 @@ class Vocabulary:
     def backtrack(self, text: str) -> list[str]:
         """Pieces of a text whose characters are all in the vocabulary."""
         longest: list[str] = [""] * len(text)
-        for end, piece in self.automaton.iter(text):
-            at = end + 1 - len(piece)
-            if len(piece) > len(longest[at]):
-                longest[at] = piece
+        for end, (piece, back) in self.automaton.iter(text):
+            longest[end - back] = piece  # ends ascend, so the last piece of a start is its longest
         open_ = bytearray(b"\xff") * (len(text) // 8 + 1)  # a bit for each position that may be reached
         out: list[str] = []
-        pos, piece = 0, longest[0]
+        pos, piece, pairs = 0, longest[0], self.pairs
         while True:
             end = pos + len(piece)
-            if open_[end >> 3] >> (end & 7) & 1 and (not out or self.fit(out[-1], piece)):
+            if open_[end >> 3] >> (end & 7) & 1 and (
+                not out or (pairs[out[-1], piece] if (out[-1], piece) in pairs else self.fit(out[-1], piece))
+            ):
                 out.append(piece)
                 pos = end
                 if pos == len(text):
@@ -123,53 +127,60 @@ class Vocabulary:
 
 
 class Codec:
-    """Encoder and decoder of one model with a bounded memory of cut units."""
+    """Encoder and decoder of one model with a bounded memory of cut units; one a worker process."""
+
+    made: dict[str, Codec] = {}
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
+        self.words: dict[str, str] = {}
         self.units: dict[str, str] = {}
 
-    def encode_unit(self, unit: str) -> list[int]:
-        v = self.vocabulary
-        out: list[int] = []
-        known = "".join(c if c in v.chars else "\0" for c in unit)
-        if "\0" in unit or not v.cuts_at_unknown and "\0" in known:
-            known = "".join(c if c in v.chars and c != "\0" else "\0" for c in unit)
-        at = 0
-        for run in re.split("(\0)", known):
-            if run == "\0":
-                c = unit[at]
-                out += [v.bytes[b] for b in c.encode()] if v.bytes else [v.unknown]
-            elif run:
-                out += [v.ids[p] for p in v.backtrack(run)]
-            at += len(run)
-        return out
-
-    def joined(self, unit: str) -> str:
-        """Decimal ids of a unit, comma-joined."""
+    @classmethod
+    def of(cls, path: str) -> Codec:
+        if path not in cls.made:
+            cls.made[path] = cls(path)
+        return cls.made[path]
+
+    def unit(self, unit: str) -> str:
+        """Comma-joined ids of a unit that no cut divides."""
         ids = self.units.get(unit)
         if ids is None:
-            ids = ",".join(map(str, self.encode_unit(unit)))
-            if len(unit) <= 40:
+            v = self.vocabulary
+            if unit not in v.chars and len(unit) == 1:
+                found = [v.bytes[b] for b in unit.encode()] if v.bytes else [v.unknown]
+            else:
+                found = [v.ids[p] for p in v.backtrack(unit)]
+            ids = ",".join(map(str, found))
+            if len(unit) <= 30:
                 if len(self.units) >= UNIT_CACHE:
                     self.units.clear()
                 self.units[unit] = ids
         return ids
 
+    def word(self, word: str) -> str:
+        """Comma-joined ids of a word: its units are encoded one by one."""
+        inside = self.vocabulary.inside
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in inside]
+        ids = ",".join([self.unit(word[a:b]) for a, b in zip([0, *cuts], [*cuts, len(word)])])
+        if len(word) <= 40:
+            if len(self.words) >= WORD_CACHE:
+                self.words.clear()
+            self.words[word] = ids
+        return ids
+
     def encode_text(self, text: str) -> str:
         """Comma-joined decimal ids of a text."""
         if not text:
             return ""
-        marked = MARK + text.replace(" ", MARK)
         if not self.vocabulary.cuts_at_mark:
-            return self.joined(marked)
-        # units start at a mark that follows another character; a line feed is a unit too if unknown
-        if "\n" in self.vocabulary.chars:
-            units = re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", marked)
+            return self.word(MARK + text.replace(" ", MARK))
+        if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+            words = MARKED.findall(MARK + text.replace(" ", MARK))
         else:
-            units = re.findall(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+", marked)
-        get, known = self.joined, self.units
-        return ",".join([known.get(u) or get(u) for u in units])
+            words = (MARK + text.replace(" ", " " + MARK)).split(" ")
+        known, get = self.words, self.word
+        return ",".join([known.get(w) or get(w) for w in words])
 
     def decode(self, ids: list[int]) -> str:
         v = self.vocabulary
@@ -201,7 +212,7 @@ def add_pieces(
     schema = extended(df.schema, *[(name, OUTPUTS[name]) for name in outputs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = Codec.of(model)
         sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         make = {
             "ids": lambda joined, ids, back: ids,
@@ -229,7 +240,7 @@ def decode_ids(df: DataFrame, model: str, ids: str = "ids", output: str = "decod
     schema = extended(df.schema, (output, "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = Codec.of(model)
         for batch in batches:
             found = batch.column(batch.schema.get_field_index(ids)).to_pylist()
             yield batch_with(batch, **{output: pa.array([codec.decode(x or []) for x in found], pa.string())})
