@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, language_id, media, packing, quality, sentencepiece_bpe, simhash, token_store
+from . import chat, kneser_ney, language_id, media, packing, quality, sentencepiece_bpe, simhash, token_store
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_token_store": token_store.op2_token_store,
     "op3_sentencepiece": sentencepiece_bpe.op3_sentencepiece,
+    "op4_lm_scoring": kneser_ney.op4_lm_scoring,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_simhash": simhash.op6_simhash,
     "op7_packing": packing.op7_packing,
