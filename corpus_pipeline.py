@@ -1,11 +1,74 @@
-"""Corpus pipeline: quality rules, language ID, near-duplicates, personal data, packing."""
+"""Corpus pipeline: quality rules, language ID, near-duplicates, personal data, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
+documents. Stages work on all rows their predecessor kept and fit their models and thresholds to those.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from genoloom.llm import common, language_id, packing, pii, quality, simhash
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that pass the base rule and their group's adaptive thresholds."""
+    return quality.judge(docs).where("kept").select(*docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with a language that decoding isn't in doubt about."""
+    named = language_id.identify(docs)
+    return named.where("lang_pred <> 'und' AND NOT ambiguous").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group; documents without a doc_id stay.
+
+    Only ids are compared and shuffled to find the groups; the documents then lose the others' ids. Rows that
+    repeat a doc_id are one document to the operator, so one of them is kept, the smallest text.
+    """
+    groups = common.table(simhash.near_duplicates(docs).select("doc_id", "component_id"), "groups")
+    keyed = groups.where("doc_id IS NOT NULL")
+    losers = keyed.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    if keyed.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    rest = [c for c in docs.columns if c != "doc_id"]
+    whole = F.struct("text", *[c for c in rest if c != "text"])
+    one = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(whole).alias("row"))
+    one = one.select(*[F.col(c) if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns])
+    return one.unionByName(kept.where("doc_id IS NULL"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each span of personal data replaced by its kind in brackets."""
+    found = pii.detect(docs.select("*"))
+    clean = found.withColumn("text", pii.redacted(F.col("text"), F.col("spans")))
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token of every document in a batch of a length bucket."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("language_id", language),
+    ("near_duplicates", near_duplicates),
+    ("pii", personal_data),
+    ("packing", pack),
+]
+
+#: Fitted models and components aren't SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written to the shared folder and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = common.table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

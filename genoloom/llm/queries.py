@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, kneser_ney, language_id, media, packing, quality, sentencepiece_bpe, simhash, token_store
+from . import chat, kneser_ney, language_id, media, packing, pii, quality, sentencepiece_bpe, simhash, token_store
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -14,5 +14,6 @@ QUERIES = {
     "op7_packing": packing.op7_packing,
     "op8_chat_format": chat.op8_chat_format,
     "op9_media_columns": media.op9_media_columns,
+    "op10_pii": pii.op10_pii,
 }
 ORACLE_SQL: dict[str, str] = {"op8_chat_format": chat.SQL}
