@@ -29,6 +29,7 @@ import os
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,12 +38,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, documents, row_of, scratch, small_batches
+from .common import arrow_schema, documents, row_of, scratch, small_batches, table
 
 END_ID = 2
 CHUNK_IDS = 1 << 20
 SHARD_BYTES = 48 << 20
-WORD_CACHE = 250_000
+WORD_CACHE = 200_000
 BUCKET_KEYS = 50_000
 GAMMA = 1.6
 NULL_KEY = -(1 << 63)
@@ -53,7 +54,7 @@ NULL_KEY = -(1 << 63)
 
 #: A cut is safe between a letter or digit and an ASCII mark after it: the splitter parts them in any
 #: case. Only the apostrophe, which starts contractions, is left out.
-CUT = re.compile(r"(?<=[^\W_])(?=[!-&(-/:-@\[-`{-~])")
+CUT = re.compile(r"([!-&(-/:-@\[-`{-~])(?<=[^\W_].)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -77,6 +78,7 @@ class WordCache(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.dtype, self.letters = Tokenizer.from_file(path), dtype, byte_letters()
+        self.code = {"<u2": "H", "<u4": "I"}[dtype]
         probe = ["naïve", "straße", "a"]
         whole = [e.ids for e in self.tokenizer.encode_batch(probe, add_special_tokens=False)]
         self.direct = [self.merged(w) for w in probe] == [np.array(x, dtype).tobytes() for x in whole]
@@ -88,8 +90,8 @@ class WordCache(dict):
         return cls.made[path, dtype]
 
     def merged(self, word: str) -> bytes:
-        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in found], self.dtype).tobytes()
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def __missing__(self, unit: str) -> bytes:
         if self.direct and unit.isalpha() and max(unit) <= "\u00ff" and unit.islower():
@@ -108,7 +110,7 @@ class WordCache(dict):
         # final-sigma rule or make letters that normalisation would then compose; such a text is cut at spaces.
         low = text.lower()
         if "<|" not in text and "\u03a3" not in text and unicodedata.is_normalized("NFC", low):
-            text = CUT.sub(" ", low)
+            text = CUT.sub(r" \1", low)
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -354,7 +356,8 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_store(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32) of all stored rows of ``keys``: each non-null key goes through
     the index to its places, and what the payload holds there is returned; null keys by reading."""
-    stored = scan(spark, path)
+    with small_batches(spark, 2):  # rows of some MB each
+        stored = table(scan(spark, path), "stored")
     placed = locate(spark, path, keys, key).join(stored.drop("key"), ["shard", "position"])
     rows = placed.unionByName(stored.where("key is null"))
     out = rows.join(starts(spark, path), "shard")
