@@ -2,5 +2,558 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import uuid
+from collections.abc import Callable
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import scalars as s
+from ..operators import annotations, featureset, groups, intervals, lookups, predict, splice, tissue_features, tracks, variants
+from ..schemas import VARIANT_KEY, q
+from ..sources import genome, text_tables
+from . import bridge
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    """Register a query under its function's name, with the SQL that gives the same rows."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = bridge.sql(sql)
+        return f
+
+    return add
+
+
+def keyed(df: DataFrame) -> DataFrame:
+    """Bridge columns under the engine's key names."""
+    return df.withColumnsRenamed({"start_": "start", "end_": "end"})
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Key names that SQL doesn't reserve."""
+    return df.withColumnsRenamed({"start": "start_", "end": "end_"})
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh path in the folder that the session shares, for queries that read text files."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    return f"{base.rstrip('/')}/text-{uuid.uuid4().hex}"
+
+
+# --- identifiers and cells ----------------------------------------------------------------------
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, nullif(regexp_extract(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)', 1), '') AS chrom,
+  CAST(nullif(regexp_extract(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)', 2), '') AS BIGINT) AS start_,
+  CAST(nullif(regexp_extract(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)', 3), '') AS BIGINT) AS end_,
+  CASE WHEN regexp_extract(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)', 4) = '-' THEN '' ELSE nullif(regexp_extract(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)', 4), '') END AS ref,
+  CASE WHEN regexp_extract(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)', 5) = '-' THEN '' ELSE nullif(regexp_extract(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)', 5), '') END AS alt
+FROM ids""")
+def variant_id_parse(spark: SparkSession, d: str) -> DataFrame:
+    return plain(bridge.frame(spark, d, "ids").withColumns(s.parse_variant_id(F.col("id"))).drop("id"))
+
+
+@query("""
+SELECT count(*) FILTER (WHERE NOT regexp_matches(id, '(.+):([0-9]+):([0-9]+):(.+?)>(.+)')) AS failed, count(*) AS total FROM ids""")
+def parse_quality_counts(spark: SparkSession, d: str) -> DataFrame:
+    parsed = bridge.frame(spark, d, "ids").withColumns(s.parse_variant_id(F.col("id")))
+    return annotations.unparsed(parsed)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, regexp_replace(cell, '\\(.*', '') AS prediction,
+  CAST(nullif(regexp_extract(cell, '.*\\((.*)\\)', 1), '') AS DOUBLE) AS score FROM labelled""")
+def score_prediction_split(spark: SparkSession, d: str) -> DataFrame:
+    cell = F.col("cell")
+    return bridge.frame(spark, d, "labelled").select(
+        "l_orderkey", "l_linenumber", s.bracket_label(cell).alias("prediction"), s.bracket_score(cell).cast("double").alias("score")
+    )
+
+
+@query("""
+SELECT o_orderkey, concat('chr1:', CAST(o_custkey AS VARCHAR), ':', ref, '>', alt) AS id, 'chr1' AS chrom, CAST(pos AS BIGINT) - 1 AS start_,
+  CAST(pos AS BIGINT) - 1 + length(ref) AS end_, ref, alt, CAST(pos AS BIGINT) AS pos
+FROM (SELECT o_orderkey, pos AS o_custkey, pos, ref, alt FROM alleles)""")
+def splice_key_split(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "alleles")
+    ident = rows.select("o_orderkey", F.concat(F.lit("chr1:"), q("pos").cast("string"), F.lit(":"), "ref", F.lit(">"), "alt").alias("id"))
+    return plain(ident.withColumns(s.split_position_id(F.col("id"))).withColumn("end", q("end").cast("bigint")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_returnflag = 'A' AS A, l_returnflag = 'N' AS N, l_returnflag = 'X' AS X FROM lineitem")
+def one_hot_scalar(spark: SparkSession, d: str) -> DataFrame:
+    flags = s.one_hot(F.col("l_returnflag"), ["A", "N", "X"])
+    return spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", flags.alias("f")).select("l_orderkey", "l_linenumber", "f.*")
+
+
+@query("""
+SELECT p_partkey, list_contains(string_split(p_type, ' '), 'STEEL') AS STEEL, list_contains(string_split(p_type, ' '), 'SMALL') AS SMALL FROM part""")
+def one_hot_list(spark: SparkSession, d: str) -> DataFrame:
+    flags = s.one_hot_list(F.split("p_type", " "), ["STEEL", "SMALL"])
+    return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", flags.alias("f")).select("p_partkey", "f.*")
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN NULL ELSE round(CAST(least(l_discount, l_tax) AS DOUBLE), 6) END AS lowest FROM lineitem""")
+def allele_freq_min(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/lineitem.parquet")
+    last = F.when(F.col("l_returnflag") == "R", "?").otherwise(F.col("l_tax").cast("string"))
+    cell = F.concat_ws(",", F.col("l_discount").cast("string"), last)
+    return rows.select("l_orderkey", "l_linenumber", F.round(s.smallest(s.list_of(cell, "double")), 6).alias("lowest"))
+
+
+@query("""
+SELECT concat('G', CAST(p_size % 7 AS VARCHAR)) AS gene, concat('T', CAST(p_partkey % 50 AS VARCHAR)) AS transcript, count(*) AS copies
+FROM part GROUP BY 1, 2""")
+def gtf_transcript_ids(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/part.parquet").select(
+        F.format_string("G%d.%d", F.col("p_size") % 7, "p_partkey").alias("gene_id"),
+        F.format_string("T%d.%d.x", F.col("p_partkey") % 50, "p_size").alias("transcript_id"),
+    )
+    return tissue_features.transcript_rows(rows)
+
+
+ANNOTATION = """
+SELECT CASE WHEN l_linenumber = 2 THEN concat('1:', CAST(l_orderkey AS VARCHAR(20)), ':', CAST(l_orderkey + 1 AS VARCHAR(20)), ':A>-')
+    ELSE concat('chr2:', CAST(l_orderkey AS VARCHAR(20)), ':', CAST(l_orderkey + 1 AS VARCHAR(20)), ':A>C') END AS id,
+  concat('G', CAST(l_partkey AS VARCHAR(20))) AS gene, concat('T', CAST(l_suppkey AS VARCHAR(20))) AS feature,
+  CASE WHEN l_quantity < 40 THEN 'Transcript' ELSE 'RegulatoryFeature' END AS kind,
+  CASE l_returnflag WHEN 'R' THEN 'stop_gained,missense_variant' WHEN 'A' THEN 'intron_variant' END AS consequence,
+  CASE WHEN l_linestatus = 'F' THEN 'HIGH' ELSE 'LOW' END AS impact, CASE WHEN l_linenumber = 1 THEN 'YES' END AS canonical,
+  CASE WHEN l_linenumber < 4 THEN 'tolerated(0.5)' WHEN l_linenumber = 4 THEN 'tolerated' END AS sift,
+  CASE WHEN l_linenumber = 3 THEN 'HC' WHEN l_linenumber = 4 THEN 'LC' END AS lof,
+  CASE WHEN l_linenumber = 5 THEN 'NMD_escaping_variant' END AS nmd, CASE WHEN l_linenumber <> 6 THEN '1.25' END AS cadd, '3/10' AS exon
+FROM lineitem"""
+
+
+@query(
+    f"""
+SELECT CASE WHEN id LIKE '1:%' THEN 'chr1' ELSE 'chr2' END AS chrom, CAST(string_split(id, ':')[2] AS BIGINT) AS start_,
+  CAST(string_split(id, ':')[3] AS BIGINT) AS end_, 'A' AS ref, CASE WHEN id LIKE '%-' THEN '' ELSE 'C' END AS alt, gene, feature AS transcript,
+  consequence IN ('stop_gained,missense_variant') AS stop_gained, consequence = 'intron_variant' AS intron_variant,
+  coalesce(nmd = 'NMD_escaping_variant', NULL) AS nmd, impact = 'HIGH' AS high, lof = 'HC' AS hc, coalesce(canonical = 'YES', FALSE) AS canonical,
+  regexp_replace(sift, '\\(.*', '') AS sift_prediction, CAST(nullif(regexp_extract(sift, '.*\\((.*)\\)', 1), '') AS DOUBLE) AS sift_score,
+  CAST(cadd AS DOUBLE) AS cadd
+FROM ({ANNOTATION}) WHERE kind = 'Transcript'"""
+)
+def annotation_parse(spark: SparkSession, d: str) -> DataFrame:
+    names = {
+        "id": annotations.ID, "gene": "Gene", "feature": "Feature", "kind": "Feature_type", "consequence": "Consequence", "impact": "IMPACT",
+        "canonical": "CANONICAL", "sift": "SIFT", "lof": "LoF", "nmd": "NMD", "cadd": "CADD_RAW", "exon": "EXON",
+    }
+    raw = bridge.frame(spark, d, ANNOTATION).withColumnsRenamed(names)
+    aliases = spark.createDataFrame([("1", "chr1"), ("2", "chr2")], "alias string, chrom string")
+    out = annotations.parse_annotations(raw, aliases)
+    return plain(out).select(
+        "chrom", "start_", "end_", "ref", "alt", "gene", "transcript", "Consequence.stop_gained", "Consequence.intron_variant",
+        F.col("Consequence.NMD_escaping_variant").alias("nmd"), F.col("IMPACT.HIGH").alias("high"), F.col("LoF.HC").alias("hc"),
+        F.col("CANONICAL").alias("canonical"), "sift_prediction", F.col("sift_score").cast("double").alias("sift_score"),
+        F.col("CADD_RAW").cast("double").alias("cadd"),
+    )
+
+
+# --- lookups, filters, statistics ---------------------------------------------------------------
+
+
+@query("""
+SELECT c_custkey, coalesce(name, n_name) AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN aliases ON n_name = alias""")
+def alias_lookup_default(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT c_custkey, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey")
+    return lookups.replace_by(rows, "nation", bridge.frame(spark, d, "aliases"), "alias", "name")
+
+
+@query("SELECT o_orderkey, ref, alt FROM alleles WHERE regexp_matches(ref, '^[ACGTacgt]+$') AND regexp_matches(alt, '^[ACGTacgt]+$')")
+def valid_allele_filter(spark: SparkSession, d: str) -> DataFrame:
+    return variants.valid_alleles(bridge.frame(spark, d, "alleles")).select("o_orderkey", "ref", "alt")
+
+
+@query("""
+SELECT o_orderkey, pos, ref, unnest(string_split(alt, ',')) AS alt, CAST(unnest(range(1, len(string_split(alt, ',')) + 1)) AS INTEGER) AS allele FROM alleles""")
+def multiallelic_split(spark: SparkSession, d: str) -> DataFrame:
+    return variants.split_alleles(bridge.frame(spark, d, "alleles"))
+
+
+@query("""
+SELECT o_orderkey, pos, pos - 1 AS start_, CASE WHEN o_orderkey % 3 = 0 THEN pos + 100 ELSE pos - 1 + length(ref) END AS end_ FROM alleles""")
+def info_end_keys(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "alleles").withColumn("info_END", F.when(F.col("o_orderkey") % 3 == 0, F.col("pos") + 100))
+    return plain(variants.with_keys(rows, "info_END")).select("o_orderkey", "pos", "start_", "end_")
+
+
+@query("""
+SELECT c_custkey, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_nationkey < 12 AND c_custkey <= 1000 + n_nationkey""")
+def contig_targets(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT c_custkey, c_acctbal, n_name AS chrom, c_custkey AS pos FROM customer JOIN nation ON c_nationkey = n_nationkey")
+    contigs = bridge.frame(spark, d, "SELECT n_name AS contig, CAST(0 AS BIGINT) AS start, CAST(1000 + n_nationkey AS BIGINT) AS `end` FROM nation WHERE n_nationkey < 12")
+    return variants.on_contigs(rows, contigs).select("c_custkey", "c_acctbal")
+
+
+@query("""
+SELECT chrom, min(start_) AS min_start, max(start_) AS max_start, count(*) AS num_rows, max(start_) - min(start_) AS region_size FROM scores GROUP BY chrom""")
+def region_stats(spark: SparkSession, d: str) -> DataFrame:
+    return tissue_features.region_stats(keyed(bridge.frame(spark, d, "scores")))
+
+
+@query("SELECT DISTINCT k FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier)")
+def distinct_union(spark: SparkSession, d: str) -> DataFrame:
+    frames = [bridge.frame(spark, d, x) for x in ("SELECT c_nationkey AS k FROM customer", "SELECT s_nationkey AS k FROM supplier")]
+    return groups.distinct_union(frames, "k")
+
+
+@query("SELECT o_orderkey, r_name AS tissue FROM orders CROSS JOIN region")
+def tissue_cross_expand(spark: SparkSession, d: str) -> DataFrame:
+    tissues = bridge.frame(spark, d, "SELECT r_name AS tissue FROM region")
+    return spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey").crossJoin(lookups.small(tissues))
+
+
+# --- tissue features ----------------------------------------------------------------------------
+
+TISSUE_SQL = """
+SELECT chrom, start_, end_, ref, alt, v.gene, n_name AS tissue, bool_or(stop_gained) AS stop_gained_max,
+  CAST(coalesce(sum(CASE WHEN stop_gained THEN 1 END), 0) AS INTEGER) AS stop_gained_sum,
+  round(coalesce(sum(CASE WHEN stop_gained THEN prop END), 0), 4) AS stop_gained_proportion, bool_or(lof_hc) AS hc_max,
+  CAST(coalesce(sum(CASE WHEN lof_hc THEN 1 END), 0) AS INTEGER) AS hc_sum, round(coalesce(sum(CASE WHEN lof_hc THEN prop END), 0), 4) AS hc_proportion,
+  round(max(-log10(sift)), 6) AS sift, round(max(cadd_raw), 6) AS cadd, count(*) AS num_transcripts
+FROM vep v CROSS JOIN nation LEFT JOIN iso i ON v.gene = i.gene AND v.transcript = i.transcript AND n_name = i.tissue
+GROUP BY ALL"""
+
+
+def tissue_inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    vep = keyed(bridge.frame(spark, d, "vep")).select(
+        *VARIANT_KEY, "gene", "transcript", F.struct("stop_gained").alias("Consequence"), F.struct(F.col("lof_hc").alias("HC")).alias("LoF"),
+        F.col("sift").alias("sift_score"), F.col("cadd_raw").alias("CADD_RAW"),
+    )
+    isoforms = bridge.frame(spark, d, "iso").withColumnRenamed("prop", tissue_features.WEIGHT)
+    tissues = bridge.frame(spark, d, "SELECT n_name AS tissue FROM nation")
+    return {"vep": vep, "isoforms": isoforms, "tissues": tissues}
+
+
+def tissue_output(df: DataFrame) -> DataFrame:
+    f = lambda name: F.col("features").getField(name)
+    number = lambda name: F.round(f(name).cast("double"), 4)
+    return plain(df).select(
+        "chrom", "start_", "end_", "ref", "alt", "gene", "tissue", f("stop_gained.max").alias("stop_gained_max"), f("stop_gained.sum").alias("stop_gained_sum"),
+        number("stop_gained.proportion").alias("stop_gained_proportion"), f("LoF_HC.max").alias("hc_max"), f("LoF_HC.sum").alias("hc_sum"),
+        number("LoF_HC.proportion").alias("hc_proportion"), F.round(f("sift_score.pval_max_significant"), 6).alias("sift"),
+        F.round(f("cadd_raw.max"), 6).alias("cadd"), f("num_transcripts").alias("num_transcripts"),
+    )
+
+
+@query(TISSUE_SQL)
+def tissue_vep_features(spark: SparkSession, d: str) -> DataFrame:
+    return tissue_output(tissue_features.tissue_features_direct(**tissue_inputs(spark, d)))
+
+
+@query(TISSUE_SQL)
+def tissue_vep_features_rewrite(spark: SparkSession, d: str) -> DataFrame:
+    return tissue_output(tissue_features.tissue_features(**tissue_inputs(spark, d)))
+
+
+# --- best rows and joins ------------------------------------------------------------------------
+
+BEST = """
+SELECT chrom, start_, end_, ref, alt, gene, tissue, score, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY chrom, start_, end_, ref, alt, gene, tissue
+  ORDER BY score DESC NULLS LAST, l_linenumber) AS k FROM scores WHERE gene IS NOT NULL) WHERE k = 1"""
+
+
+@query(BEST)
+def best_score_per_group(spark: SparkSession, d: str) -> DataFrame:
+    keys = [*VARIANT_KEY, "gene", "tissue"]
+    rows = keyed(bridge.frame(spark, d, "scores"))
+    return plain(groups.best_per_group(rows, keys, "score", ties=["l_linenumber"]))
+
+
+@query(BEST)
+def best_score_by_window(spark: SparkSession, d: str) -> DataFrame:
+    rows = keyed(bridge.frame(spark, d, "scores"))
+    return plain(groups.best_by_window(rows, [*VARIANT_KEY, "gene", "tissue"], "score", ["l_linenumber"]))
+
+
+@query(f"""
+WITH b AS ({BEST}), v AS (SELECT DISTINCT concat('chr', CAST(o_custkey % 5 AS VARCHAR)) AS chrom, o_orderkey AS start_, o_orderkey + 1 AS end_, 'A' AS ref, 'C' AS alt FROM orders)
+SELECT v.*, b.gene, b.tissue, b.score AS best FROM v LEFT JOIN b USING (chrom, start_, end_, ref, alt)""")
+def variants_left_join_scores(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT concat('chr', CAST(o_custkey % 5 AS STRING)) AS chrom, o_orderkey AS start, o_orderkey + 1 AS `end`, 'A' AS ref, 'C' AS alt FROM orders").distinct()
+    scores = keyed(bridge.frame(spark, d, "scores")).withColumnRenamed("score", "AbSplice")
+    return plain(splice.best_scores(rows, scores)).withColumnRenamed("AbSplice", "best").drop("l_linenumber")
+
+
+@query("""
+WITH named AS (SELECT *, CASE tissue WHEN 'A' THEN 'N' ELSE tissue END AS t FROM scores WHERE gene IS NOT NULL)
+SELECT chrom, start_, end_, gene, t AS tissue, max(score) AS best FROM named GROUP BY ALL""")
+def tissue_alias_best(spark: SparkSession, d: str) -> DataFrame:
+    rows = keyed(bridge.frame(spark, d, "scores"))
+    names = spark.createDataFrame([("A", "N"), ("N", "N")], "alias string, tissue string")
+    renamed = lookups.replace_by(rows, "tissue", names, "alias", "tissue")
+    best = groups.best_per_group(renamed, [*VARIANT_KEY, "gene", "tissue"], "score")
+    return plain(best).select("chrom", "start_", "end_", "gene", "tissue", F.col("score").alias("best"))
+
+
+@query("""
+WITH m AS (SELECT concat('chr1:', CAST(l_orderkey AS VARCHAR), ':AC>G') AS variant, concat('N', CAST(l_partkey AS VARCHAR)) AS gene_name,
+    concat('E', CAST(l_partkey AS VARCHAR)) AS gene_id, l_returnflag AS tissue, l_discount AS delta_logit_psi, l_quantity - 10 AS median_n
+    FROM lineitem WHERE l_linenumber = 1),
+  a AS (SELECT concat('chr1:', CAST(o_orderkey AS VARCHAR), ':AC>G') AS variant, concat('N', CAST(o_custkey AS VARCHAR)) AS gene_name, CAST(o_totalprice AS FLOAT) AS delta_score FROM orders),
+  t AS (SELECT DISTINCT l_returnflag AS tissue FROM lineitem),
+  g AS (SELECT gene_name, min(gene_id) AS own FROM m GROUP BY 1),
+  j AS (SELECT * FROM m FULL JOIN (SELECT * FROM a CROSS JOIN t) USING (variant, gene_name, tissue))
+SELECT 'chr1' AS chrom, CAST(string_split(variant, ':')[2] AS BIGINT) - 1 AS start_, CAST(string_split(variant, ':')[2] AS BIGINT) + 1 AS end_, 'AC' AS ref, 'G' AS alt,
+  coalesce(gene_id, own) AS gene_id, tissue, delta_logit_psi, CAST(delta_score AS DOUBLE) AS delta_score, CAST(median_n > 0 AS BIGINT) AS expressed,
+  round(coalesce(delta_logit_psi, 0) + 2 * coalesce(CAST(delta_score AS DOUBLE), 0), 1) AS score
+FROM j LEFT JOIN g USING (gene_name)""")
+def splice_predictor_join(spark: SparkSession, d: str) -> DataFrame:
+    junctions = bridge.frame(spark, d, """
+        SELECT concat('chr1:', CAST(l_orderkey AS STRING), ':AC>G') AS variant, l_returnflag AS tissue, '' AS junction, '' AS event_type, '' AS splice_site,
+          concat('E', CAST(l_partkey AS STRING)) AS gene_id, concat('N', CAST(l_partkey AS STRING)) AS gene_name, l_discount AS delta_logit_psi,
+          CAST(0 AS DOUBLE) AS ref_psi, l_quantity - 10 AS median_n, CAST(0 AS DOUBLE) AS delta_psi FROM lineitem WHERE l_linenumber = 1""")
+    sites = bridge.frame(spark, d, """
+        SELECT concat('chr1:', CAST(o_orderkey AS STRING), ':AC>G') AS variant, concat('N', CAST(o_custkey AS STRING)) AS gene_name,
+          CAST(o_totalprice AS FLOAT) AS delta_score FROM orders""")
+    for name, kind in (("acceptor_gain", "float"), ("acceptor_loss", "float"), ("donor_gain", "float"), ("donor_loss", "float")):
+        sites = sites.withColumns({name: F.lit(None).cast(kind), f"{name}_position": F.lit(None).cast("int")})
+    tissues = bridge.frame(spark, d, "SELECT DISTINCT l_returnflag AS tissue FROM lineitem")
+    zero = lambda c: F.coalesce(q(c).cast("double"), F.lit(0.0))
+    out = splice.score_variants(junctions, sites, tissues, lambda df: zero("delta_logit_psi") + 2 * zero("delta_score"))
+    exact = F.round(zero("delta_logit_psi") + 2 * zero("delta_score"), 1)
+    return plain(out).select("chrom", "start_", "end_", "ref", "alt", "gene_id", "tissue", "delta_logit_psi", "delta_score", F.col("splice_site_is_expressed").alias("expressed"), exact.alias("score"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE CAST(o_custkey AS DOUBLE) END AS score, o_orderkey % 3 <> 0 AS computed FROM orders""")
+def lookup_or_model(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_custkey")
+    store = bridge.frame(spark, d, "SELECT o_orderkey, o_totalprice AS score FROM orders WHERE o_orderkey % 3 = 0")
+    model = lambda rest: rest.withColumns({"score": F.col("o_custkey").cast("double"), "computed": F.lit(True)})
+    out = splice.looked_up(rows, store, ["o_orderkey"], model)
+    return out.select("o_orderkey", "score", F.coalesce("computed", F.lit(False)).alias("computed"))
+
+
+# --- feature sets -------------------------------------------------------------------------------
+
+SETS_SQL = """
+WITH a AS (SELECT l_partkey AS gene, l_returnflag AS tissue, max(l_discount) AS m, min(l_tax) AS n FROM lineitem WHERE l_quantity < 20 GROUP BY 1, 2),
+  b AS (SELECT l_partkey AS gene, l_returnflag AS tissue, max(l_extendedprice) AS x FROM lineitem WHERE l_quantity > 10 GROUP BY 1, 2),
+  c AS (SELECT p_partkey AS gene, p_retailprice AS y FROM part WHERE p_size < 25),
+  t AS (SELECT DISTINCT tissue FROM (SELECT tissue FROM a UNION ALL SELECT tissue FROM b))
+"""
+
+
+@query(SETS_SQL + """
+SELECT coalesce(ab.gene, c2.gene) AS gene, coalesce(ab.tissue, c2.tissue) AS tissue, m AS a_m, n AS a_n, coalesce(x, -1.0) AS b_x, y AS c_y
+FROM (SELECT * FROM a FULL JOIN b USING (gene, tissue)) ab FULL JOIN (SELECT * FROM c CROSS JOIN t) c2 ON ab.gene = c2.gene AND ab.tissue = c2.tissue""")
+def featureset_outer_join(spark: SparkSession, d: str) -> DataFrame:
+    one = bridge.frame(spark, d, "SELECT l_partkey AS gene, l_returnflag AS tissue, max(l_discount) AS m, min(l_tax) AS n FROM lineitem WHERE l_quantity < 20 GROUP BY 1, 2")
+    sets = {
+        "a": one.select("gene", "tissue", F.struct("m", "n").alias("features")),
+        "b": bridge.frame(spark, d, "SELECT l_partkey AS gene, l_returnflag AS tissue, max(l_extendedprice) AS x FROM lineitem WHERE l_quantity > 10 GROUP BY 1, 2"),
+        "c": bridge.frame(spark, d, "SELECT p_partkey AS gene, p_retailprice AS y FROM part WHERE p_size < 25"),
+    }
+    chosen = {"a": [{"features": ["m", "n"]}], "b": ["x"], "c": ["y"]}
+    out = featureset.join_featuresets(sets, chosen, ["gene", "tissue"], {"feature.b@x": -1.0})
+    names = {"feature.a@features.m": "a_m", "feature.a@features.n": "a_n", "feature.b@x": "b_x", "feature.c@y": "c_y"}
+    return out.withColumnsRenamed(names)
+
+
+@query("""
+SELECT p_partkey AS gene, l_orderkey, l_linenumber, p_size AS size FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size < 20""")
+def expressed_inner_natural(spark: SparkSession, d: str) -> DataFrame:
+    expression = bridge.frame(spark, d, "SELECT p_partkey AS gene, p_size AS size FROM part WHERE p_size < 20")
+    rows = bridge.frame(spark, d, "SELECT l_partkey AS gene, l_orderkey, l_linenumber FROM lineitem")
+    return featureset.with_expression(expression, rows)
+
+
+# --- models -------------------------------------------------------------------------------------
+
+MODEL_ROWS = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 5 THEN NULL ELSE l_discount END AS a, CASE WHEN l_quantity > 45 THEN NULL ELSE l_tax END AS b,
+  l_returnflag = 'R' AS c, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_linenumber END AS n FROM lineitem"""
+LINEAR_SQL = f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN a IS NULL THEN NULL ELSE round(0.5 + 2 * a - coalesce(b, 0.25) + CASE WHEN c THEN 1 ELSE 0 END + 0.125 * coalesce(n, 0), 4) END AS score, b
+FROM ({MODEL_ROWS})"""
+WEIGHTS = {"a": 2.0, "b": -1.0, "c": 1.0, "n": 0.125}
+MODEL_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+class Weighted:
+    """A linear model with the interface of fitted ones."""
+
+    def predict(self, matrix: np.ndarray) -> np.ndarray:
+        return 0.5 + matrix.astype(np.float64) @ np.array(list(WEIGHTS.values()))
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.select(*MODEL_KEYS, F.round("score", 4).alias("score"), "b")
+
+
+@query(LINEAR_SQL)
+def required_split_predict_linear(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, MODEL_ROWS)
+    return rounded(predict.predict_native(rows, predict.linear(WEIGHTS, 0.5), "score", list(WEIGHTS), MODEL_KEYS, ["a"], {"b": 0.25}))
+
+
+@query(LINEAR_SQL)
+def required_split_predict_batches(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(predict.predict(bridge.frame(spark, d, MODEL_ROWS), Weighted(), "score", list(WEIGHTS), MODEL_KEYS, ["a"], {"b": 0.25}))
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-(0.1 + 3 * coalesce(a, 0) - 2 * coalesce(b, 0) + 5 * coalesce(a, 0) * coalesce(b, 0)))), 5) AS score
+FROM ({MODEL_ROWS})""")
+def logistic_interactions(spark: SparkSession, d: str) -> DataFrame:
+    model = predict.logistic({("a",): 3.0, ("b",): -2.0, ("a", "b"): 5.0}, 0.1)
+    out = predict.predict_native(bridge.frame(spark, d, MODEL_ROWS), model, "score", ["a", "b"], MODEL_KEYS, keep_features=False)
+    return out.withColumn("score", F.round("score", 5))
+
+
+TREES = """tree
+feature_names=a n
+objective=regression
+
+Tree=0
+num_leaves=3
+num_cat=0
+split_feature=0 1
+threshold=0.045 3.5
+decision_type=2 2
+left_child=-1 -2
+right_child=1 -3
+leaf_value=1.5 -2 4
+
+Tree=1
+num_leaves=2
+num_cat=0
+split_feature=1
+threshold=1.5
+decision_type=2
+left_child=-1
+right_child=-2
+leaf_value=0.25 0.75
+
+end of trees
+"""
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN coalesce(a, 0) <= 0.045 THEN 1.5 WHEN coalesce(n, 0) <= 3.5 THEN -2.0 ELSE 4.0 END
+  + CASE WHEN coalesce(n, 0) <= 1.5 THEN 0.25 ELSE 0.75 END AS DOUBLE) AS score FROM ({MODEL_ROWS})""")
+def tree_ensemble_predict(spark: SparkSession, d: str) -> DataFrame:
+    model = predict.TreeEnsemble(TREES)
+    return predict.predict(bridge.frame(spark, d, MODEL_ROWS), model, "score", model.features, MODEL_KEYS, keep_features=False)
+
+
+# --- intervals and tracks -----------------------------------------------------------------------
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, o_orderkey FROM (SELECT l_orderkey, l_linenumber, l_suppkey % 5 AS c, l_partkey * 10 + l_linenumber AS p FROM lineitem) l
+JOIN (SELECT o_orderkey, o_custkey % 5 AS c, o_custkey * 10 AS t, o_orderstatus = 'F' AS minus FROM orders WHERE o_orderkey % 8 = 0) o
+  ON l.c = o.c AND p BETWEEN t - CASE WHEN minus THEN 200 ELSE 50 END AND t + CASE WHEN minus THEN 50 ELSE 200 END""")
+def tss_window_join(spark: SparkSession, d: str) -> DataFrame:
+    points = bridge.frame(spark, d, "SELECT l_orderkey, l_linenumber, l_suppkey % 5 AS chrom, l_partkey * 10 + l_linenumber AS start FROM lineitem")
+    genes = bridge.frame(spark, d, "SELECT o_orderkey, o_custkey % 5 AS chrom, o_custkey * 10 AS tss, CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '+' END AS strand FROM orders WHERE o_orderkey % 8 = 0")
+    out = intervals.range_join(points, intervals.strand_window(genes), "chrom", "start", width=250)
+    return out.select("l_orderkey", "l_linenumber", "o_orderkey")
+
+
+@query("SELECT vec_id, round((CAST(embedding[31] AS DOUBLE) + embedding[32] + embedding[33]) / 3, 5) AS middle FROM embeddings WHERE len(embedding) = 63 UNION ALL SELECT vec_id, round((CAST(embedding[CAST((len(embedding) - 3) // 2 + 1 AS BIGINT)] AS DOUBLE) + embedding[CAST((len(embedding) - 3) // 2 + 2 AS BIGINT)] + embedding[CAST((len(embedding) - 3) // 2 + 3 AS BIGINT)]) / 3, 5) FROM embeddings WHERE len(embedding) <> 63")
+def central_bin_mean(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/embeddings.parquet")
+    return rows.select("vec_id", F.round(tracks.central_mean(F.col("embedding"), 3), 5).alias("middle"))
+
+
+@query("SELECT l_partkey AS gene, round(avg(l_discount), 8) AS x, round(avg(l_tax), 8) AS y FROM lineitem GROUP BY 1")
+def track_shift_mean(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT l_partkey AS gene, l_discount AS x, l_tax AS y FROM lineitem")
+    return tracks.over_shifts(rows, ["gene"], ["x", "y"]).select("gene", F.round("x", 8).alias("x"), F.round("y", 8).alias("y"))
+
+
+@query("SELECT l_partkey AS gene, round(sum(l_tax * l_quantity) / sum(l_quantity), 8) AS x FROM lineitem GROUP BY 1")
+def isoform_weighted_mean(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT l_partkey AS gene, l_tax AS x, l_quantity AS w FROM lineitem")
+    return tracks.over_isoforms(rows, ["gene"], ["x"], "weighted", "w").withColumn("x", F.round("x", 8))
+
+
+@query("SELECT l_partkey AS gene, round(avg(l_tax), 8) AS x FROM lineitem WHERE l_linenumber = 1 GROUP BY 1")
+def isoform_canonical(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT l_partkey AS gene, l_tax AS x, l_linenumber = 1 AS canonical FROM lineitem")
+    return tracks.over_isoforms(rows, ["gene"], ["x"]).withColumn("x", F.round("x", 8))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, tissue, round(CASE tissue WHEN 'liver' THEN 0.5 + 2 * l_tax + l_discount ELSE 3 * l_discount - l_tax END, 8) AS expression
+FROM lineitem CROSS JOIN (VALUES ('liver'), ('lung')) t(tissue)""")
+def track_tissue_mapping(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT l_orderkey, l_linenumber, array(l_tax, l_discount) AS tracks FROM lineitem")
+    out = tracks.to_tissues(rows, "tracks", np.array([[2.0, -1.0], [1.0, 3.0]]), ["liver", "lung"], np.array([0.5, 0.0]))
+    return out.select("l_orderkey", "l_linenumber", "tissue", F.round("expression", 8).alias("expression"))
+
+
+@query("""
+SELECT a.p AS transcript, a.f AS tissue, round(a.x - r.x, 4) AS score FROM (SELECT l_partkey AS p, l_returnflag AS f, max(l_extendedprice) AS x FROM lineitem GROUP BY 1, 2) a
+JOIN (SELECT l_partkey AS p, l_returnflag AS f, min(l_extendedprice) AS x FROM lineitem WHERE l_linenumber < 4 GROUP BY 1, 2) r ON a.p = r.p AND a.f = r.f""")
+def track_variant_effect(spark: SparkSession, d: str) -> DataFrame:
+    alt = bridge.frame(spark, d, "SELECT l_partkey AS transcript, l_returnflag AS tissue, max(l_extendedprice) AS expression FROM lineitem GROUP BY 1, 2")
+    ref = bridge.frame(spark, d, "SELECT l_partkey AS transcript, l_returnflag AS tissue, min(l_extendedprice) AS expression FROM lineitem WHERE l_linenumber < 4 GROUP BY 1, 2")
+    return tracks.effect(alt, ref, ["transcript", "tissue"]).withColumn("score", F.round("score", 4))
+
+
+# --- text formats -------------------------------------------------------------------------------
+
+
+@query("""
+SELECT 'chr1' AS chrom, pos - 1 AS start_, pos - 1 + length(ref) AS end_, ref, a AS alt FROM (SELECT pos, ref, unnest(string_split(alt, ',')) AS a FROM alleles)
+WHERE regexp_matches(ref, '^[ACGTacgt]+$') AND regexp_matches(a, '^[ACGTacgt]+$')""")
+def vcf_text_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "alleles")
+    path = scratch(spark)
+    lines = rows.select(F.concat_ws("\t", F.lit("chr1"), q("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.lit(".")).alias("value"))
+    spark.createDataFrame([("##fileformat=VCFv4.2",), ("#CHROM\tPOS",)], "value string").union(lines).write.text(path)
+    return plain(variants.valid_alleles(variants.with_keys(variants.split_alleles(genome.read_vcf(spark, path)), "info_END"))).select("chrom", "start_", "end_", "ref", "alt")
+
+
+@query("""
+SELECT concat('G', CAST(p_partkey AS VARCHAR), '.1') AS gene_id, concat('T', CAST(p_partkey AS VARCHAR), '.2') AS transcript_id,
+  CASE WHEN p_size < 25 THEN 'protein_coding' ELSE 'lncRNA' END AS transcript_biotype, p_partkey * 10 - 1 AS start_ FROM part WHERE p_size % 2 = 0""")
+def gtf_text_parse(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    bridge.frame(spark, d, """
+        SELECT concat('chr1\tsrc\t', CASE WHEN p_size % 2 = 0 THEN 'transcript' ELSE 'exon' END, '\t', CAST(p_partkey * 10 AS STRING), '\t', CAST(p_partkey * 10 + 5 AS STRING),
+          '\t.\t+\t.\tgene_id "G', CAST(p_partkey AS STRING), '.1"; transcript_id "T', CAST(p_partkey AS STRING), '.2"; transcript_type "',
+          CASE WHEN p_size < 25 THEN 'protein_coding' ELSE 'lncRNA' END, '"; tag "a"; tag "b";') AS value FROM part""").write.text(path)
+    rows = genome.transcripts(genome.read_gtf(spark, path))
+    return rows.select("gene_id", "transcript_id", "transcript_biotype", F.col("Start").alias("start_"))
+
+
+@query(f"SELECT id, gene, consequence, lof FROM ({ANNOTATION})")
+def vep_tsv_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, ANNOTATION).select("id", "gene", "consequence", "lof")
+    cells = [F.coalesce(F.col(c), F.lit("-")) for c in rows.columns]
+    top = spark.createDataFrame([("## made by a test",), ("#Uploaded_variation\tGene\tConsequence\tLoF",)], "value string")
+    top.coalesce(1).write.text(f"{path}/head")
+    rows.select(F.concat_ws("\t", *cells).alias("value")).write.text(f"{path}/rows")
+    out = text_tables.read_annotations(spark, f"{path}/rows", header=f"{path}/head")
+    return out.select(q(annotations.ID).alias("id"), F.col("Gene").alias("gene"), F.col("Consequence").alias("consequence"), F.col("LoF").alias("lof"))
+
+
+@query("""
+SELECT concat('G', CAST(p_partkey AS VARCHAR)) AS gene, p_brand AS tissue, CASE WHEN p_size < 25 THEN TRUE ELSE FALSE END AS gene_is_expressed,
+  CAST(CAST(p_size AS FLOAT) AS DOUBLE) AS median_expression FROM part""")
+def typed_tsv_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, """
+        SELECT 'x' AS other, concat('G', CAST(p_partkey AS STRING)) AS gene, p_brand AS tissue, 'all' AS tissue_type, CAST(p_size < 25 AS STRING) AS gene_is_expressed,
+          CAST(p_size AS STRING) AS median_expression, '0.5' AS expression_dispersion FROM part""")
+    rows.coalesce(1).write.csv(path, header=True, sep="\t")
+    out = text_tables.expected_expression(spark, path)
+    return out.select("gene", "tissue", "gene_is_expressed", F.col("median_expression").cast("double").alias("median_expression"))
