@@ -7,6 +7,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,11 +59,11 @@ def predict(
 ) -> DataFrame:
     """Keys, the score ``name`` and the other columns. Rows without a required feature have a null score; one pass,
     in Arrow batches, the model once in each worker."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        own = shared.value
+        own = cloudpickle.loads(shared.value)
         for batch in batches:
             matrix = batch.to_numpy(np.float32)
             yield pd.Series(own.predict(matrix) if len(matrix) else [], dtype="float64")
