@@ -161,15 +161,52 @@ def _counter(parts: int):
     return run
 
 
-def _store(path: Path, *arrays: np.ndarray) -> None:
-    """Arrays of 8-byte numbers of one length, one after another; renamed when complete."""
+#: Counts are stored in 16 bits; this one says that the exact count stands in the column's list of large ones.
+LARGE = 0xFFFF
+
+
+def _store(path: Path, keys: np.ndarray, *columns: np.ndarray) -> None:
+    """A file of ascending keys and their counts: a header (keys, columns, large counts of each column), the keys, for
+    each column the places and values of its large counts, then the columns. Renamed when complete."""
     draft = path.with_name(f".{path.name}-{uuid.uuid4().hex}")
+    large = [np.flatnonzero(c >= LARGE) for c in columns]
     with draft.open("wb") as f:
-        for x in arrays:
-            f.write(np.ascontiguousarray(x).tobytes())
+        f.write(np.array([len(keys), len(columns), *map(len, large)], np.uint64).tobytes())
+        f.write(keys.astype(np.uint64).tobytes())
+        for at, c in zip(large, columns):
+            f.write(np.stack([at, c[at]]).astype(np.uint64).tobytes())
+        for c in columns:
+            f.write(np.minimum(c, LARGE).astype(np.uint16).tobytes())
     os.replace(draft, path)
 
 
+class Mapped:
+    """A stored file, memory-mapped. A part that got no rows has no file and no keys."""
+
+    def __init__(self, path: Path, columns: int):
+        if not path.exists():
+            self.keys, self.columns = np.zeros(0, np.uint64), []
+            return
+        raw = np.memmap(path, np.uint8, "r")
+        n, _, *sizes = raw[: 8 * (2 + columns)].view(np.uint64).astype(int)
+        at = 8 * (2 + columns)
+        self.keys = raw[at : at + 8 * n].view(np.uint64)
+        at += 8 * n
+        large = []
+        for m in sizes:
+            large.append(raw[at : at + 16 * m].view(np.uint64).reshape(2, m))
+            at += 16 * m
+        self.columns = [(raw[at + 2 * n * k : at + 2 * n * (k + 1)].view(np.uint16), x) for k, x in enumerate(large)]
+
+    def counts(self, k: int, rows: np.ndarray) -> np.ndarray:
+        small, large = self.columns[k]
+        out = small[rows].astype(np.int64)
+        big = np.flatnonzero(out == LARGE)
+        if len(big):
+            out[big] = large[1][np.searchsorted(large[0], rows[big].astype(np.uint64))].astype(np.int64)
+        return out
+
+
 def _grouped(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
@@ -263,14 +300,11 @@ class Model:
         self.low = [sum(t[4 + k] for t in own) for k in range(4)]
         self.high = next(([*t[4:8]] for t in totals if t[1] == 2), [0] * 4)
         self.d_high, self.d_low = discounts(self.high), discounts(self.low)
-        self.files: dict[str, np.ndarray] = {}
+        self.files: dict[str, Mapped] = {}
 
-    def mapped(self, name: str, columns: int) -> np.ndarray:
-        """The file as a matrix of ``columns`` rows, mapped once a process; a part without words has none."""
+    def mapped(self, name: str, columns: int) -> Mapped:
         if name not in self.files:
-            path = Path(self.folder, name)
-            empty = not path.exists() or not path.stat().st_size
-            self.files[name] = np.zeros((columns, 0), np.uint64) if empty else np.memmap(path, np.uint64, "r").reshape(columns, -1)
+            self.files[name] = Mapped(Path(self.folder, name), columns)
         return self.files[name]
 
     def look_up(self, kind: str, keys: np.ndarray, parts: np.ndarray, columns: int) -> np.ndarray:
@@ -279,13 +313,13 @@ class Model:
         order = np.argsort(parts, kind="stable")
         edges = np.searchsorted(parts[order], np.arange(self.parts + 1))
         for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-            table = self.mapped(f"{kind}-{p}", columns + 1)
-            if a < b and table.shape[1]:
+            table = self.mapped(f"{kind}-{p}", columns)
+            if a < b and len(table.keys):
                 asked = order[a:b]
-                at = np.minimum(np.searchsorted(table[0], keys[asked]), table.shape[1] - 1)
-                hit = table[0][at] == keys[asked]
+                at = np.minimum(np.searchsorted(table.keys, keys[asked]), len(table.keys) - 1)
+                hit = table.keys[at] == keys[asked]
                 for k in range(columns):
-                    out[k, asked[hit]] = table[k + 1][at[hit]].astype(np.int64)
+                    out[k, asked[hit]] = table.counts(k, at[hit])
         return out
 
     def score(self, contexts: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:

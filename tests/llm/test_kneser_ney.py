@@ -69,3 +69,13 @@ def test_nothing_to_learn(spark):
     got = sorted((r.n_tokens, r.base_score, r.score) for r in kn.score(docs, kn.train(docs.limit(0))).collect())
     assert got == [(1, 0.0, 0.0), (3, 0.0, 0.0)]
     assert kn.score(docs.limit(0), kn.train(docs)).count() == 0
+
+
+def test_large_counts_stay_exact(tmp_path):
+    keys = np.array([1, 5, 9, 2**63 + 1], np.uint64)
+    counts = np.array([1, kn.LARGE, 2**40, 3])
+    kn._store(tmp_path / "x", keys, counts, counts[::-1])
+    file = kn.Mapped(tmp_path / "x", 2)
+    assert file.keys.tolist() == keys.tolist()
+    assert [file.counts(k, np.arange(4)).tolist() for k in (0, 1)] == [counts.tolist(), counts[::-1].tolist()]
+    assert len(kn.Mapped(tmp_path / "none", 2).keys) == 0
