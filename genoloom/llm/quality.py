@@ -173,7 +173,7 @@ def judge_counted(counted: DataFrame, lang: str = "lang", source: str = "source"
     if limits.count() <= BROADCAST_GROUPS:
         joined = counted.join(F.broadcast(limits), on, "left")
     else:
-        salted = limits.withColumn("g3", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+        salted = limits.withColumn("g3", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
         keyed = counted.withColumn("_salt", F.pmod(F.xxhash64(*BASE), F.lit(SALTS)))
         joined = keyed.join(salted, on & (F.col("_salt") == F.col("g3")), "left").drop("_salt", "g3")
     good = F.lit(True)
@@ -188,3 +188,46 @@ def judge_counted(counted: DataFrame, lang: str = "lang", source: str = "source"
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang", "source")
     return judge_counted(count(docs).drop("text")).select("doc_id", *BASE, "base_failed", "kept")
+
+
+SQL = f"""
+WITH words AS (
+  SELECT doc_id, lang, source, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') AS w, coalesce(text, '') AS t FROM documents
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM (
+    SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM words WHERE len(w) >= 8))
+), covered AS (
+  SELECT doc_id, sum(least(8, coalesce(next - i, 8))) AS n FROM (
+    SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM windows WHERE n > 1) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS l FROM words) LEFT JOIN covered c USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, CAST(greatest(n_words, 1) AS DOUBLE) AS m FROM counted
+), flat AS (
+  SELECT doc_id, lang, source, base_failed, unnest(['word_length', 'symbol_ratio', 'dup_line_ratio', 'repeat_ratio']) AS feature,
+    unnest([word_chars / m, n_symbols / m, n_dup_lines / m, n_repeat_words / m]) AS v FROM judged
+), slots AS (
+  SELECT lang, source, feature, CASE WHEN v <= 0 THEN -100000 ELSE CAST(ceil(ln(v) / ln({GAMMA})) AS INTEGER) END AS slot FROM flat WHERE NOT base_failed
+), levels AS (
+  SELECT 0 AS level, coalesce('s' || lang, 'n') AS g1, coalesce('s' || source, 'n') AS g2, feature, slot FROM slots
+  UNION ALL SELECT 1, coalesce('s' || lang, 'n'), '', feature, slot FROM slots UNION ALL SELECT 2, '', '', feature, slot FROM slots
+), quartiles AS (
+  SELECT level, g1, g2, feature, count(*) AS n, list_sort(list(slot)) AS s FROM levels GROUP BY ALL
+), bounds AS (
+  SELECT *, FENCE * greatest(q3 - q1, CASE feature WHEN 'word_length' THEN 0.5 ELSE 0.05 END) AS reach FROM (
+    SELECT level, g1, g2, feature, n, list_transform([0.25, 0.5, 0.75], lambda q: CASE WHEN s[CAST(ceil(q * n) AS BIGINT)] = -100000 THEN 0
+      ELSE pow({GAMMA}, s[CAST(ceil(q * n) AS BIGINT)]) * {2 / (1 + GAMMA)} END) AS q, q[1] AS q1, q[2] AS q2, q[3] AS q3 FROM quartiles)
+), chosen AS (
+  SELECT f.doc_id, bool_and(coalesce(f.v <= b.q2 + b.reach AND (f.feature <> 'word_length' OR f.v >= b.q2 - b.reach), FALSE)) AS good
+  FROM flat f JOIN bounds o ON o.level = 0 AND o.g1 = coalesce('s' || f.lang, 'n') AND o.g2 = coalesce('s' || f.source, 'n') AND o.feature = f.feature
+  JOIN bounds l ON l.level = 1 AND l.g1 = o.g1 AND l.feature = f.feature JOIN bounds a ON a.level = 2 AND a.feature = f.feature
+  JOIN bounds b ON b.feature = f.feature AND b.level = CASE WHEN o.n >= {MIN_GROUP} THEN 0 WHEN l.n >= {MIN_GROUP} THEN 1 ELSE 2 END
+    AND b.g1 = CASE WHEN o.n >= {MIN_GROUP} OR l.n >= {MIN_GROUP} THEN o.g1 ELSE '' END AND b.g2 = CASE WHEN o.n >= {MIN_GROUP} THEN o.g2 ELSE '' END
+  GROUP BY f.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(good, FALSE) AS kept
+FROM judged LEFT JOIN chosen USING (doc_id)
+""".replace("FENCE", str(FENCE))
