@@ -13,15 +13,13 @@ from .groups import best_per_group, cast_void
 from .lookups import replace_by, small
 from .variants import join_scores
 
-#: Gene-level columns that some predictors give other names.
+#: Output names of predictor columns; tables that use other names pass their own mapping.
 RENAMES = {
     "gene_id": "gene",
-    "delta_score": "SpliceAI",
-    "delta_logit_psi": "MMSplice_SpliceMap",
-    "delta_psi": "MMSplice_SpliceMap_Psi_ref",
-    "AbSplice_DNA": "AbSplice",
-    "AbSplice_RNA": "AbSplice",
-    "score": "AbSplice",
+    "delta_score": "site_score",
+    "delta_logit_psi": "junction_score",
+    "delta_psi": "junction_psi_change",
+    "score": "splice_score",
 }
 
 
@@ -44,14 +42,17 @@ def score_variants(junctions: DataFrame, sites: DataFrame, tissues: DataFrame, s
     return full.withColumn("score", score(full)).to(ddl(SPLICE_OUTPUT))
 
 
-def best_scores(variants: DataFrame, scores: DataFrame, tissue_aliases: DataFrame | None = None, nulls_first: bool = False) -> DataFrame:
-    """Every variant with its highest score a gene and tissue. Tissue aliases are renamed before grouping, so two names
+def best_scores(
+    variants: DataFrame, scores: DataFrame, tissue_aliases: DataFrame | None = None, nulls_first: bool = False,
+    renames: dict[str, str] = RENAMES, score: str = "splice_score",
+) -> DataFrame:
+    """Every variant with its highest ``score`` a gene and tissue. Columns are renamed where they exist. Tissue aliases are renamed before grouping, so two names
     of one tissue compete."""
-    known = {old: new for old, new in RENAMES.items() if old in scores.columns}
+    known = {old: new for old, new in renames.items() if old in scores.columns}
     rows = cast_void(scores.withColumnsRenamed(known), variants)
     if tissue_aliases is not None:
         rows = replace_by(rows, "tissue", tissue_aliases, "alias", "tissue")
-    best = best_per_group(rows, [*VARIANT_KEY, "gene", "tissue"], "AbSplice", nulls_first)
+    best = best_per_group(rows, [*VARIANT_KEY, "gene", "tissue"], score, nulls_first)
     return join_scores(variants, best, list(VARIANT_KEY))
 
 

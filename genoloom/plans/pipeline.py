@@ -40,9 +40,9 @@ def feature_table(inputs: Inputs, spec: ModelSpec) -> DataFrame:
     vep = parse_annotations(inputs.annotations, inputs.chromosomes)
     sets = {"vep": tissue_features(vep, inputs.isoforms, gtf=inputs.transcripts, labels=labels)}
     if inputs.splice is not None and inputs.variants is not None:
-        sets["absplice"] = best_scores(inputs.variants, inputs.splice, inputs.tissue_names).where("gene IS NOT NULL")
+        sets["splice"] = best_scores(inputs.variants, inputs.splice, inputs.tissue_names).where("gene IS NOT NULL")
     if inputs.tracks is not None:
-        sets["enformer"] = inputs.tracks
+        sets["tracks"] = inputs.tracks
     joined = join_featuresets(sets, spec.variables, list(GROUP_KEY), spec.fill)
     return with_expression(inputs.expression, joined)
 

@@ -284,8 +284,8 @@ WITH b AS ({BEST}), v AS (SELECT DISTINCT concat('chr', CAST(o_custkey % 5 AS VA
 SELECT v.*, b.gene, b.tissue, b.score AS best FROM v LEFT JOIN b USING (chrom, start_, end_, ref, alt)""")
 def variants_left_join_scores(spark: SparkSession, d: str) -> DataFrame:
     rows = bridge.frame(spark, d, "SELECT concat('chr', CAST(o_custkey % 5 AS STRING)) AS chrom, o_orderkey AS start, o_orderkey + 1 AS `end`, 'A' AS ref, 'C' AS alt FROM orders").distinct()
-    scores = keyed(bridge.frame(spark, d, "scores")).withColumnRenamed("score", "AbSplice")
-    return plain(splice.best_scores(rows, scores)).withColumnRenamed("AbSplice", "best").drop("l_linenumber")
+    scores = keyed(bridge.frame(spark, d, "scores"))
+    return plain(splice.best_scores(rows, scores)).withColumnRenamed("splice_score", "best").drop("l_linenumber")
 
 
 @query("""

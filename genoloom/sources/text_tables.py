@@ -82,13 +82,13 @@ def tissue_aliases(spark: SparkSession, path: str) -> DataFrame:
     return df.select(q(df.columns[0]).alias("alias"), q(df.columns[1]).alias("tissue"))
 
 
-def splice_maps(spark: SparkSession, pattern: str) -> DataFrame:
-    """All splice maps that match a glob in one read, tissue and event type (psi5, psi3) from each file's name
-    ``<tissue>_splicemap_<event>.csv.gz``."""
+def splice_maps(spark: SparkSession, pattern: str, suffix: str) -> DataFrame:
+    """All splice-site tables that match a glob in one read. File names are the tissue, ``suffix`` and more, with
+    the event type (psi5, psi3) somewhere behind; both become columns."""
     df = spark.read.csv(pattern, header=True).select("*", F.col("_metadata.file_name").alias("_file"))
     name = F.url_decode("_file")
     return df.withColumns(
-        {"tissue": F.regexp_extract(name, r"^(.*?)_splicemap", 1), "event_type": F.regexp_extract(name, r"(psi[35])", 1)}
+        {"tissue": F.substring_index(name, suffix, 1), "event_type": F.regexp_extract(name, r"(psi[35])", 1)}
     ).drop("_file")
 
 

@@ -49,8 +49,8 @@ def test_tables(spark, tmp_path):
         text_tables.splice_scores(spark, f"{tmp_path}/b.csv")
     (tmp_path / "alias.tsv").write_text("#alias\tchrom\n1\tchr1\n")
     assert text_tables.chromosome_aliases(spark, f"{tmp_path}/alias.tsv").first() == ("1", "chr1")
-    (tmp_path / "Liver_splicemap_psi5.csv").write_text("junction\nj\n")
-    assert tuple(text_tables.splice_maps(spark, f"{tmp_path}/*_splicemap_*.csv").first()) == ("j", "Liver", "psi5")
+    (tmp_path / "Liver_sites_psi5.csv").write_text("junction\nj\n")
+    assert tuple(text_tables.splice_maps(spark, f"{tmp_path}/*_sites_*.csv", "_sites").first()) == ("j", "Liver", "psi5")
 
 
 def test_sinks(spark, tmp_path):
