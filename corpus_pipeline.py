@@ -23,16 +23,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.where("lang_pred <> 'und' AND NOT ambiguous").select(*docs.columns)
 
 
+#: Ids of removed documents that are broadcast at most; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; documents without a doc_id stay.
+    """The document with the smallest doc_id of each group of similar texts (five-word shingles, 0.8 or more); documents
+    without a doc_id stay.
 
     Only ids are compared and shuffled to find the groups; the documents then lose the others' ids. Rows that
     repeat a doc_id are one document to the operator, so one of them is kept, the smallest text.
     """
-    groups = common.table(simhash.near_duplicates(docs).select("doc_id", "component_id"), "groups")
+    groups = common.table(simhash.near_duplicates(docs, simhash.SIMILAR).select("doc_id", "component_id"), "groups")
     keyed = groups.where("doc_id IS NOT NULL")
-    losers = keyed.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
+    losers = common.table(keyed.where("doc_id <> component_id").select("doc_id").distinct(), "losers")
+    few = losers.count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(losers) if few else losers.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     if keyed.groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
     rest = [c for c in docs.columns if c != "doc_id"]
@@ -44,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each span of personal data replaced by its kind in brackets."""
-    found = pii.detect(docs.select("*"))
+    found = pii.detect(docs)
     clean = found.withColumn("text", pii.redacted(F.col("text"), F.col("spans")))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -230,9 +230,11 @@ def with_spans(found: DataFrame, weights: dict[tuple[str, int], float]) -> DataF
 
 
 def detect(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``df`` with ``base`` and ``spans``; the candidates are written once, as fitting and adding both read them."""
+    """``df`` with ``base`` and ``spans``. Without its text, the table of candidates is written once for fitting and
+    adding; with it, candidates are made again instead, which costs less than a copy of all texts on disk."""
     found = with_candidates(df, text)
-    found = table(found if keep_text else found.drop(text), "candidates")
+    if not keep_text:
+        found = table(found.drop(text), "candidates")
     return with_spans(found, fit(found))
 
 

@@ -154,21 +154,23 @@ def thresholds(counted: DataFrame, lang: str = "lang", source: str = "source") -
     return joined.select("g1", "g2", *[choice(f) for f in FEATURES])
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``docs`` with base counts, ``base_failed`` and ``kept``; rows and other columns stay."""
-    return judge_counted(count(docs, text), lang, source)
-
-
 def count(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with base counts and ``base_failed``."""
     return with_counts(docs.drop("base_failed", "kept"), text).withColumn("base_failed", base_failed())
 
 
-def judge_counted(counted: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """What ``count`` gave, with ``kept``. It is written first: thresholds and verdicts both read it, and the
-    optimiser would otherwise copy the counting expressions into every filter on their results."""
-    counted = table(counted, "counted")
-    limits = table(thresholds(counted, lang, source), "thresholds")
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """``docs`` with base counts, ``base_failed`` and ``kept``; rows and other columns stay. Texts are counted twice, for
+    the thresholds and for the verdicts, which costs less than a copy of all texts on disk."""
+    counted = count(docs, text)
+    small = table(counted.select(F.col(lang).alias("lang"), F.col(source).alias("source"), *BASE, "base_failed"), "counted")
+    return judge_counted(counted, small, lang, source)
+
+
+def judge_counted(counted: DataFrame, small: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """What ``count`` gave, with ``kept``. Thresholds come from ``small``, its counts (lang, source, ...) as a written table:
+    the optimiser would otherwise copy the counting expressions into every filter on their results."""
+    limits = table(thresholds(small), "thresholds")
     on = F.col(lang).eqNullSafe(F.col("g1")) & F.col(source).eqNullSafe(F.col("g2"))
     if limits.count() <= BROADCAST_GROUPS:
         joined = counted.join(F.broadcast(limits), on, "left")
@@ -181,13 +183,15 @@ def judge_counted(counted: DataFrame, lang: str = "lang", source: str = "source"
         good = good & (value <= F.col(name)["high"])
         if FEATURES[name][1]:
             good = good & (value >= F.col(name)["low"])
-    kept = ~F.col("base_failed") & F.coalesce(good, F.lit(False))
+    # one expression, so that no part of it is pushed below the join
+    kept = F.when(F.col("base_failed"), False).otherwise(F.coalesce(good, F.lit(False)))
     return joined.withColumn("kept", kept).drop("g1", "g2", *FEATURES)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang", "source")
-    return judge_counted(count(docs).drop("text")).select("doc_id", *BASE, "base_failed", "kept")
+    counted = table(count(docs).drop("text"), "counted")
+    return judge_counted(counted, counted).select("doc_id", *BASE, "base_failed", "kept")
 
 
 SQL = f"""

@@ -1,26 +1,31 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-Fingerprints that differ in at most 4 of 64 bits differ in at most one bit of one of three segments. So each
-distinct fingerprint is indexed under 64 keys: for every bit, its segment with that bit as a wildcard. Equal keys
-meet by an equality shuffle, and every candidate pair is verified on all 64 bits.
+A scheme says how fingerprints are made and linked. ``EXACT`` (four-word shingles, 64 bits, at most 4 different) cuts
+fingerprints into three segments: if at most 4 bits differ, at most one differs in some segment. So each distinct
+fingerprint is indexed under 64 keys: for every bit, its segment with that bit as a wildcard. Equal keys meet by an
+equality shuffle, and every candidate pair is verified on all bits; no link is lost.
+
+``SIMILAR`` finds texts whose sets of five-word shingles have a similarity of 0.8 or more: such fingerprints differ in a
+seventh of their bits, so 128 bits are cut into eight segments of 16, one of which differs by at most a bit with a
+probability of about 0.98, and up to 22 different bits are accepted. Here links are as likely as that says, not certain.
 
 A pair is handled under the first key that it shares, so no pair is verified twice in small buckets. A bucket of
-more than ``SMALL`` fingerprints gives a spanning forest of its links instead of all pairs: links between
-fingerprints are found by breadth-first search, and a large bucket is cut again by wildcards over its other bits.
-Every link is respected and no bucket is capped.
+more than ``SMALL`` fingerprints gives a spanning forest of its links instead of all pairs: links are found by
+breadth-first search, and a large bucket of ``EXACT`` is cut again by wildcards over its other bits. No bucket is capped.
 
 Scale: exact copies are one fingerprint before anything is joined, whatever their number. A bucket holds distinct
-fingerprints alone; a group of near copies has only as many as 64 bits allow around each of them. Components are
+fingerprints alone; a group of near copies has only as many as the bits allow around each of them. Components are
 found by ``components``, without links on the driver.
 
-Defined results: null, empty and blank texts have fingerprint zero, linked like any other; fewer than four words are
-one shingle; a component is named by its smallest doc_id; rows that share a doc_id are one node, so they share a
-component; a null doc_id has a fingerprint, no component and links nothing.
+Defined results: null, empty and blank texts have fingerprint zero, linked like any other; texts of fewer words than a
+shingle are one shingle; a component is named by its smallest doc_id; rows that share a doc_id are one node, so they
+share a component; a null doc_id has a fingerprint, no component and links nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
@@ -31,106 +36,140 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, batch_with, documents, extended, pieces, table
 from .components import components
 
-SHINGLE = 4
 SEED = 42
-MAX_DISTANCE = 4
 SMALL = 24
-#: First bit and width of each segment.
-SEGMENTS = ((0, 21), (21, 21), (42, 22))
 
 
-def fingerprint(text: str | None) -> int:
-    """64-bit SimHash of a text's word shingles, as an unsigned number."""
-    from xxhash import xxh64_intdigest
+@dataclass(frozen=True)
+class Scheme:
+    """Words of a shingle, 64-bit words of a fingerprint, segments (word, first bit, width) and the distance of a link.
+    ``complete``: the segments find every link."""
 
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    data = b" ".join(words)
-    n = max(1, len(words) - SHINGLE + 1)
-    if n == 1:
-        return xxh64_intdigest(data, SEED)
-    starts = list(accumulate((len(w) + 1 for w in words), initial=0))
-    spans = zip(starts[:n], starts[SHINGLE:])
-    hashes = np.fromiter((xxh64_intdigest(data[a : b - 1], SEED) for a, b in spans), np.uint64, n)
-    bits = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):  # a very long text is never one matrix
-        bits += np.unpackbits(hashes[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * bits > n).tobytes(), "little")
+    shingle: int
+    words: int
+    segments: tuple[tuple[int, int, int], ...]
+    distance: int
+    complete: bool
+
+    @property
+    def columns(self) -> list[str]:
+        return [f"fp{i}" for i in range(self.words)]
 
 
-def add_fingerprint(df: DataFrame, text: str = "text", output: str = "fp", drop_text: bool = False) -> DataFrame:
-    """``df`` with the fingerprint of ``text`` as a signed 64-bit number."""
-    schema = extended(df.drop(text).schema if drop_text else df.schema, (output, "bigint"))
+EXACT = Scheme(4, 1, ((0, 0, 21), (0, 21, 21), (0, 42, 22)), 4, True)
+SIMILAR = Scheme(5, 2, tuple((w, at, 16) for w in (0, 1) for at in (0, 16, 32, 48)), 22, False)
+
+
+def mixed(h: np.ndarray, word: int) -> np.ndarray:
+    """Hashes for a further fingerprint word, derived from the first word's."""
+    if word == 0:
+        return h
+    x = h + np.uint64(word * 0x9E3779B97F4A7C15 & (2**64 - 1))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str | None, scheme: Scheme = EXACT) -> tuple[int, ...]:
+    """SimHash of a text's word shingles, as unsigned 64-bit words."""
+    from xxhash import xxh64_intdigest
+
+    found = (text or "").encode().lower().split()
+    if not found:
+        return (0,) * scheme.words
+    data = b" ".join(found)
+    n = max(1, len(found) - scheme.shingle + 1)
+    if n == 1:
+        hashes = np.array([xxh64_intdigest(data, SEED)], np.uint64)
+    else:
+        starts = list(accumulate((len(w) + 1 for w in found), initial=0))
+        spans = zip(starts[:n], starts[scheme.shingle :])
+        hashes = np.fromiter((xxh64_intdigest(data[a : b - 1], SEED) for a, b in spans), np.uint64, n)
+    out = []
+    for word in range(scheme.words):
+        bits = np.zeros(64, np.int64)
+        for at in range(0, n, 1 << 16):  # a very long text is never one matrix
+            part = mixed(hashes[at : at + (1 << 16)], word).astype("<u8").view(np.uint8).reshape(-1, 8)
+            bits += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+        out.append(int.from_bytes(np.packbits(2 * bits > n).tobytes(), "little"))
+    return tuple(out)
+
+
+def add_fingerprint(df: DataFrame, scheme: Scheme = EXACT, text: str = "text", drop_text: bool = False) -> DataFrame:
+    """``df`` with the fingerprint of ``text`` as signed 64-bit columns fp0, fp1, ..."""
+    columns = scheme.columns
+    schema = extended(df.drop(text).schema if drop_text else df.schema, *[(c, "bigint") for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole, text):
-                at = batch.schema.get_field_index(text)
-                fps = np.array([fingerprint(t) for t in batch.column(at).to_pylist()], np.uint64).view(np.int64)
+                texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+                fps = np.array([fingerprint(t, scheme) for t in texts], np.uint64).reshape(-1, len(columns)).view(np.int64)
                 rest = batch.drop_columns([text]) if drop_text else batch
-                yield batch_with(rest, **{output: pa.array(fps, pa.int64())})
+                yield batch_with(rest, **{c: pa.array(np.ascontiguousarray(fps[:, i])) for i, c in enumerate(columns)})
 
     return df.mapInArrow(run, schema)
 
 
-def wildcard_masks() -> np.ndarray:
-    """For each bit, its segment's mask without it."""
-    masks = []
-    for first, width in SEGMENTS:
-        segment = ((1 << width) - 1) << first
-        masks += [segment & ~(1 << b) for b in range(first, first + width)]
-    return np.array(masks, np.uint64)
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
 
+def wildcards(scheme: Scheme) -> list[tuple[int, int]]:
+    """(word, mask) of each key: a segment's mask without one of its bits."""
+    return [(w, ((1 << width) - 1) << first & ~(1 << b)) for w, first, width in scheme.segments for b in range(first, first + width)]
 
-def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
 
+def distance(x: np.ndarray) -> np.ndarray:
+    """Different bits of fingerprints, from their xor (rows, words)."""
+    return np.bitwise_count(x).sum(axis=-1)
 
-def first_key(x: np.ndarray) -> np.ndarray:
-    """The first wildcard bit under which fingerprints with these differing bits share a key."""
-    out = np.full(x.shape, -1, np.int64)
-    for first, width in SEGMENTS:
-        part = (x >> np.uint64(first)) & np.uint64((1 << width) - 1)
+
+def first_key(x: np.ndarray, scheme: Scheme) -> np.ndarray:
+    """The number of the first key that two fingerprints with xor ``x`` (rows, words) share, -1 for none."""
+    out = np.full(len(x), -1, np.int64)
+    at = 0
+    for word, first, width in scheme.segments:
+        part = (x[:, word] >> np.uint64(first)) & np.uint64((1 << width) - 1)
         ones = np.bitwise_count(part)
-        bit = np.bitwise_count(part - np.uint64(1) & ~part).astype(np.int64)  # trailing zeros
-        here = np.where(ones == 0, first, np.where(ones == 1, first + bit, -1))
+        bit = np.bitwise_count((part - np.uint64(1)) & ~part).astype(np.int64)  # trailing zeros
+        here = np.where(ones == 0, at, np.where(ones == 1, at + bit, -1))
         out = np.where(out < 0, here, out)
+        at += width
     return out
 
 
-def forest(fps: np.ndarray, free: int = 64) -> list[tuple[int, int]]:
-    """Index pairs that connect whatever is linked among distinct fingerprints, at most one a node for each cut.
+def forest(fps: np.ndarray, scheme: Scheme = EXACT, free: int = 64) -> list[tuple[int, int]]:
+    """Index pairs that connect whatever is linked among distinct fingerprints (rows, words).
 
-    Up to 4096 by breadth-first search: each found node is compared with those not found yet. More are
-    cut by deletion variants over all bits first, as often as bits remain."""
+    By breadth-first search: each found node is compared with those not found yet. More than 4096 of a complete
+    one-word scheme are cut by deletion variants over all bits first, as often as bits remain."""
     n = len(fps)
-    if n > 4096 and free > 30:
+    if n > 4096 and scheme.complete and scheme.words == 1 and free > 30:
         edges = []
-        varying = [b for b in range(64) if len(np.unique(fps >> np.uint64(b) & np.uint64(1))) > 1]
+        only = fps[:, 0]
+        varying = [b for b in range(64) if len(np.unique(only >> np.uint64(b) & np.uint64(1))) > 1]
         thirds = [varying[i::3] for i in range(3)]
         for third in thirds:
             for skip in third:
-                mask = np.uint64(sum(1 << b for b in third if b != skip))
-                keys = fps & mask
+                keys = only & np.uint64(sum(1 << b for b in third if b != skip))
                 order = np.argsort(keys, kind="stable")
-                cuts = np.flatnonzero(np.diff(keys[order])) + 1
-                for part in np.split(order, cuts):
+                for part in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
                     if len(part) == n:
-                        return search(fps)
+                        return search(fps, scheme)
                     if len(part) > 1:
-                        edges += [(int(part[i]), int(part[j])) for i, j in forest(fps[part], free - len(third) + 1)]
+                        edges += [(int(part[i]), int(part[j])) for i, j in forest(fps[part], scheme, free - len(third) + 1)]
         return edges
-    return search(fps)
+    return search(fps, scheme)
 
 
-def search(fps: np.ndarray) -> list[tuple[int, int]]:
+def search(fps: np.ndarray, scheme: Scheme = EXACT) -> list[tuple[int, int]]:
     edges, rest = [], np.arange(len(fps))
     while len(rest):
         queue, rest = [int(rest[0])], rest[1:]
         while queue and len(rest):
             node = queue.pop()
-            near = distance(fps[rest], fps[node]) <= MAX_DISTANCE
+            near = distance(fps[rest] ^ fps[node]) <= scheme.distance
             if near.any():
                 found = rest[near].tolist()
                 edges += [(node, x) for x in found]
@@ -142,41 +181,45 @@ def search(fps: np.ndarray) -> list[tuple[int, int]]:
 LINKS = "a bigint, b bigint"
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """(a, b): links that connect all nodes (fp, node) within distance, from distinct fingerprints."""
-    masks = wildcard_masks()
-    each = F.array(*[F.lit(int(m) - (1 << 64) if m >> np.uint64(63) else int(m)) for m in masks])
-    keyed = nodes.select("fp", "node", F.posexplode(each).alias("w", "mask")).select(
-        "w", "fp", "node", F.col("fp").bitwiseAND(F.col("mask")).alias("v")
-    )
+def links(nodes: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
+    """(a, b): links that connect all nodes (fp0, ..., node) within distance, from distinct fingerprints."""
+    keys = F.array(*[F.struct(F.lit(w).cast("tinyint").alias("word"), F.lit(signed(m)).alias("mask")) for w, m in wildcards(scheme)])
+    each = nodes.select(*scheme.columns, "node", F.posexplode(keys).alias("w", "k"))
+    word = F.element_at(F.array(*scheme.columns), F.col("k.word") + 1)
+    keyed = each.select(F.col("w").cast("smallint").alias("w"), *scheme.columns, "node", word.bitwiseAND(F.col("k.mask")).alias("v"))
     dealt = keyed.repartition("w", "v").sortWithinPartitions("w", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the last bucket's rows may go on in the next batch
         schema = arrow_schema(LINKS)
+
+        def flush() -> pa.RecordBatch:
+            whole = np.concatenate(held, axis=1)
+            held.clear()
+            return pa.RecordBatch.from_arrays(_bucket_links(whole, scheme), schema=schema)
+
         for batch in batches:
-            w, fp, node, v = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
-            rows = np.stack([w, fp, node, v])
-            if held and held[-1][[0, 3], -1].tolist() != [w[0], v[0]]:
-                yield pa.RecordBatch.from_arrays(_bucket_links(np.concatenate(held, axis=1)), schema=schema)
-                held = []
-            last = (w == w[-1]) & (v == v[-1])
-            first = int(len(w) - np.argmin(last[::-1])) if not last.all() else 0
+            if not batch.num_rows:
+                continue
+            rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])
+            if held and held[-1][[0, -1], -1].tolist() != rows[[0, -1], 0].tolist():
+                yield flush()
+            last = (rows[0] == rows[0, -1]) & (rows[-1] == rows[-1, -1])
+            first = 0 if last.all() else int(len(last) - np.argmin(last[::-1]))
             if first:
-                whole = np.concatenate([*held, rows[:, :first]], axis=1)
-                held = []
-                yield pa.RecordBatch.from_arrays(_bucket_links(whole), schema=schema)
+                held.append(rows[:, :first])
+                yield flush()
             held.append(rows[:, first:])
         if held:
-            yield pa.RecordBatch.from_arrays(_bucket_links(np.concatenate(held, axis=1)), schema=schema)
+            yield flush()
 
     return dealt.mapInArrow(run, LINKS)
 
 
-def _bucket_links(rows: np.ndarray) -> list[pa.Array]:
-    """Links of whole buckets, which stand one after the other."""
-    w, fp, node, v = rows
-    fp = fp.view(np.uint64) if fp.flags.c_contiguous else np.ascontiguousarray(fp).view(np.uint64)
+def _bucket_links(rows: np.ndarray, scheme: Scheme) -> list[pa.Array]:
+    """Links of whole buckets, which stand one after the other; rows are key, fingerprint words, node, value."""
+    w, node, v = rows[0], rows[-2], rows[-1]
+    fps = np.ascontiguousarray(rows[1 : 1 + scheme.words].T).view(np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
     sizes = np.diff(np.append(starts, len(w)))
     size = np.repeat(sizes, sizes)
@@ -184,13 +227,15 @@ def _bucket_links(rows: np.ndarray) -> list[pa.Array]:
     a, b = [], []
     for d in range(1, min(SMALL, int(sizes.max(initial=1)))):
         i = np.flatnonzero((size <= SMALL) & (place + d < size))
-        x = fp[i] ^ fp[i + d]
-        i = i[(np.bitwise_count(x) <= MAX_DISTANCE) & (first_key(x) == w[i])]
+        x = fps[i] ^ fps[i + d]
+        near = distance(x) <= scheme.distance
+        i, x = i[near], x[near]
+        i = i[first_key(x, scheme) == w[i]]
         a.append(node[i])
         b.append(node[i + d])
     for s in np.flatnonzero(sizes > SMALL):
         at = starts[s]
-        pairs = forest(fp[at : at + sizes[s]])
+        pairs = forest(fps[at : at + sizes[s]], scheme)
         if pairs:
             i, j = np.array(pairs).T
             a.append(node[at + i])
@@ -199,30 +244,33 @@ def _bucket_links(rows: np.ndarray) -> list[pa.Array]:
     return [pa.array(np.concatenate([none, *x]), pa.int64()) for x in (a, b)]
 
 
-def classes(fps: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(fp, component_id) for each distinct fingerprint of rows (key, fp) with a key."""
+def classes(fps: DataFrame, scheme: Scheme = EXACT, key: str = "doc_id") -> DataFrame:
+    """(fp0, ..., component_id) for each distinct fingerprint of rows (key, fp0, ...) with a key."""
+    columns = scheme.columns
     keyed = fps.where(F.col(key).isNotNull())
-    nodes = table(keyed.groupBy("fp").agg(F.min(key).cast("bigint").alias("node")), "nodes")
-    found = links(nodes)
+    nodes = table(keyed.groupBy(*columns).agg(F.min(key).cast("bigint").alias("node")), "nodes")
+    found = links(nodes, scheme)
     # Rows that share a doc_id are one node: a fingerprint's smallest id stands for it, and its others link to it
     # where they stand under several fingerprints.
-    shared = keyed.groupBy(key).agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y").select(key)
-    more = keyed.join(shared, key, "left_semi").join(nodes, "fp").select(F.col(key).cast("bigint").alias("a"), F.col("node").alias("b"))
+    whole = F.struct(*columns)
+    shared = keyed.groupBy(key).agg(F.min(whole).alias("x"), F.max(whole).alias("y")).where("x <> y").select(key)
+    more = keyed.join(shared, key, "left_semi").join(nodes, columns).select(F.col(key).cast("bigint").alias("a"), F.col("node").alias("b"))
     labels = components(found.union(more))
     joined = nodes.join(labels, "node", "left")
-    return joined.select("fp", F.coalesce("label", "node").alias("component_id"))
+    return joined.select(*columns, F.coalesce("label", "node").alias("component_id"))
 
 
 def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
-    fps = table(add_fingerprint(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), drop_text=True), "fps")
-    joined = fps.join(classes(fps), "fp", "left")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    fps = table(add_fingerprint(rows, scheme, drop_text=True), "fps")
+    joined = fps.join(classes(fps, scheme), scheme.columns, "left")
     named = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return joined.select("doc_id", hex_of(F.col("fp")).alias("fingerprint"), named.alias("component_id"))
+    return joined.select("doc_id", F.concat(*map(hex_of, scheme.columns)).alias("fingerprint"), named.alias("component_id"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from genoloom.llm import common, packing, pii, quality
 from tests.llm.test_pii import brute as brute_pii
-from tests.llm.test_simhash import slow_components, slow_fingerprint
+from tests.llm.test_simhash import slow_components, slow_linked, slow_similar
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,7 +34,7 @@ def test_columns_and_decisions(stages):
 
 def test_one_of_each_group(stages):
     _, _, named, unique, _, _ = stages
-    labels = slow_components({r.doc_id: slow_fingerprint(r.text) for r in named})
+    labels = slow_components({r.doc_id: slow_similar(r.text) for r in named}, slow_linked)
     assert {r.doc_id for r in unique} == set(labels.values())
 
 

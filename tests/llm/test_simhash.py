@@ -17,7 +17,20 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) if hs else 0
 
 
-def slow_components(fps):
+def slow_similar(text):
+    """The 128-bit fingerprint of five-word shingles, bit by bit."""
+    words = (text or "").encode().lower().split()
+    hs = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 5]), 42) for i in range(max(1, len(words) - 4))] if words else []
+    more = [int(sh.mixed(np.array([h], np.uint64), 1)[0]) for h in hs]
+    return tuple(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in own) > len(own)) for own in (hs, more))
+
+
+def slow_linked(a, b):
+    """Whether two 128-bit fingerprints are near and alike in some 16-bit segment but for a bit."""
+    parts = [(x ^ y) >> s & 0xFFFF for x, y in zip(a, b) for s in (0, 16, 32, 48)]
+    return sum(bin(p).count("1") for p in parts) <= 22 and any(bin(p).count("1") <= 1 for p in parts)
+
+def slow_components(fps, linked=lambda a, b: bin(a ^ b).count("1") <= 4):
     """{key: smallest key reachable}, by comparing all pairs."""
     label = {k: k for k in fps}
     changed = True
@@ -25,14 +38,15 @@ def slow_components(fps):
         changed = False
         for a in fps:
             for b in fps:
-                if bin(fps[a] ^ fps[b]).count("1") <= 4 and label[b] < label[a]:
+                if label[b] < label[a] and linked(fps[a], fps[b]):
                     label[a], changed = label[b], True
     return label
 
 
 @pytest.mark.parametrize("text", [None, "", " \n ", "One", "a b c", "a b c d", "É A b C d e f g h", "x y " * 700])
 def test_fingerprint(text):
-    assert sh.fingerprint(text) == slow_fingerprint(text)
+    assert sh.fingerprint(text) == (slow_fingerprint(text),)
+    assert sh.fingerprint(text, sh.SIMILAR) == slow_similar(text)
 
 
 @pytest.mark.parametrize("small", [2, 24])
@@ -47,8 +61,8 @@ def test_links(spark, monkeypatch, small):
             for bit in rng.choice(64, int(rng.integers(0, 6)), replace=False):
                 x ^= 1 << int(bit)
     signed = [(k, x - 2**64 if x >> 63 else x) for k, x in fps.items()]
-    rows = spark.createDataFrame([*signed, (None, 5)], "doc_id long, fp long")
-    got = {r.fp: r.component_id for r in sh.classes(rows).collect()}
+    rows = spark.createDataFrame([*signed, (None, 5)], "doc_id long, fp0 long")
+    got = {r.fp0: r.component_id for r in sh.classes(rows).collect()}
     want = slow_components(fps)
     assert {k: got[x] for k, x in signed} == want
 
@@ -73,7 +87,7 @@ def test_forest_of_a_large_bucket():
             parent[b] = a
         return [root(i) for i in range(len(fps))]
 
-    assert labels(sh.forest(fps)) == labels(sh.search(fps))
+    assert labels(sh.forest(fps[:, None])) == labels(sh.search(fps[:, None]))
 
 
 def test_documents(spark):
@@ -91,3 +105,19 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 100), (300, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {200: 100}
+
+
+@pytest.mark.parametrize("small", [2, 24])
+def test_similar_links(spark, monkeypatch, small):
+    monkeypatch.setattr(sh, "SMALL", small)
+    rng = np.random.default_rng(8)
+    texts = {}
+    for _ in range(12):
+        words = [f"w{rng.integers(5000)}" for _ in range(150)]
+        for _ in range(int(rng.integers(1, 7))):
+            texts[len(texts)] = " ".join(words)
+            words[int(rng.integers(150))] = f"x{rng.integers(5000)}"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in sh.near_duplicates(docs, sh.SIMILAR).collect()}
+    assert got == slow_components({k: slow_similar(t) for k, t in texts.items()}, slow_linked)
+    assert len(set(got.values())) == 12
