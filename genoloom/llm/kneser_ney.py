@@ -34,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, crc_mod, documents, row_of, scratch
+from .common import arrow_schema, crc_mod, documents, row_of, scratch, small_batches
 
 SALT = 16
 PART_BYTES = 24 << 20
-#: Tokens counted or scored at once, and distinct bigrams a counting task holds.
-BLOCK = 1 << 20
-HELD = 3_000_000
-WORD_CACHE = 300_000
+#: Tokens counted or scored at once, and bigrams (distinct in their block) a counting task holds.
+BLOCK = 1 << 19
+HELD = 6_000_000
+WORD_CACHE = 200_000
 ALPHA = 0.1
 
 
@@ -131,32 +131,36 @@ TOTALS = "part bigint, kind int, words bigint, tokens bigint, c1 bigint, c2 bigi
 
 
 def _counter(parts: int):
-    def dealt(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        _, v, w, c = summed(*(np.concatenate(x) for x in zip(*held)))
-        part = bigram_part(v, w, parts)
-        order = np.lexsort((w, v, part))
-        v, w, c, part = v[order], w[order], c[order], part[order]
-        edges = np.searchsorted(part, np.arange(parts + 1))
-        for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-            if a < b:
-                first = np.flatnonzero(np.concatenate([[True], v[a + 1 : b] != v[a : b - 1]]))
-                runs = np.diff(np.append(first, b - a)).astype(np.uint32)
-                raw = (v[a:b][first], runs, w[a:b], c[a:b].astype(np.uint32))
+    def dealt(held: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
+        for p, own in enumerate(held):
+            if own:
+                _, v, w, c = summed(*(np.concatenate(x) for x in zip(*own)))
+                own.clear()
+                order = np.lexsort((w, v))
+                v, w, c = v[order], w[order], c[order]
+                first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+                runs = np.diff(np.append(first, len(v))).astype(np.uint32)
+                raw = (v[first], runs, w, c.astype(np.uint32))
                 yield row_of(COUNTED, p, *(x.tobytes() for x in raw))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        held: list[list[tuple]] = [[] for _ in range(parts)]
+        n = 0
         for v, w, _ in blocks(t for b in batches for t in b.column(0).to_pylist()):
-            held.append(summed(v, w)[1:])
-            n += len(held[-1][0])
+            _, v, w, c = summed(v, w)
+            c = c.astype(np.uint32)
+            part = bigram_part(v, w, parts)
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                if a < b:
+                    at = order[a:b]
+                    held[p].append((v[at], w[at], c[at]))
+            n += len(v)
             if n >= HELD:
-                held = [summed(*(np.concatenate(x) for x in zip(*held)))[1:]]
-                n = len(held[0][0])
-                if n >= HELD:
-                    yield from dealt(held)
-                    held, n = [], 0
-        if held:
-            yield from dealt(held)
+                yield from dealt(held)
+                n = 0
+        yield from dealt(held)
 
     return run
 
@@ -359,7 +363,8 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     parts = max(1, -(-size // PART_BYTES))
     counted = column.mapInArrow(_counter(parts), COUNTED)
     passed = counted.groupBy("part").applyInArrow(_bigram_reducer(folder, parts), PASSED)
-    totals = passed.groupBy("part").applyInArrow(_word_reducer(folder), TOTALS).collect()  # a row a part
+    with small_batches(spark):
+        totals = passed.groupBy("part").applyInArrow(_word_reducer(folder), TOTALS).collect()  # a row a part
     return Model(folder, parts, [tuple(t) for t in totals])
 
 
