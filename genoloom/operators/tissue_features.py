@@ -70,7 +70,10 @@ def tissue_features(
     flags = flags_of(vep, labels)
     keys = [*VARIANT_KEY, "gene"]
     tissues = (isoforms if tissues is None else tissues).select("tissue").distinct()
-    rows = annotated(vep, gtf, dedupe)
+    # Nulls stand in groups of their own; with stand-ins for them, groups and sums meet by plain equality on the
+    # columns that both are partitioned by already.
+    stand_in = {k: F.lit("\0") if kind == "string" else F.lit(-(1 << 63)).cast(kind) for k, kind in vep.dtypes if k in keys}
+    rows = annotated(vep, gtf, dedupe).withColumns({k: F.coalesce(q(k), v) for k, v in stand_in.items()})
     on = {k: F.coalesce(v, F.lit(False)) for k, v in flags.items()}
     groups = rows.groupBy(*keys).agg(
         *[F.max(v).alias(f"{k}.max") for k, v in flags.items()],
@@ -88,12 +91,11 @@ def tissue_features(
     sums = sums.agg(*[F.sum(F.col("w") * q(f"n_{k}")).alias(f"p_{k}") for k in flags])
     entry = F.struct(F.col("tissue"), F.struct(*[q(f"p_{k}") for k in flags]))
     by_tissue = sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("by_tissue"))
-    left, right = groups.alias("l"), by_tissue.alias("r")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    joined = left.join(right, same, "left").select("l.*", "r.by_tissue")
+    joined = groups.join(by_tissue, keys, "left")
     spread = joined.crossJoin(small(tissues)).withColumn("own", F.try_element_at("by_tissue", F.col("tissue")))
     share = [F.coalesce(q("own").getField(f"p_{k}"), F.lit(0.0)).cast("float").alias(f"{k}.proportion") for k in flags]
-    return spread.select(*keys, "tissue", features_struct(flags, share, groups.columns))
+    back = [F.nullif(q(k), v).alias(k) for k, v in stand_in.items()]
+    return spread.select(*back, "tissue", features_struct(flags, share, groups.columns)).select(*keys, "tissue", "features")
 
 
 def features_struct(flags: dict[str, Column], share: list[Column], columns: list[str]) -> Column:

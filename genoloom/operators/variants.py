@@ -30,6 +30,12 @@ def on_contigs(df: DataFrame, contigs: DataFrame) -> DataFrame:
     return df.join(c, (q("chrom") == F.col("_contig")) & (q("pos") <= F.col("_end")), "left_semi")
 
 
+def in_region(df: DataFrame, chrom: str, start: int, end: int) -> DataFrame:
+    """Rows that lie within [start, end) of a chromosome: plain comparisons, which reach the Parquet scan. Regions side by
+    side leave out what spans their border; use ``range_join`` to assign every row."""
+    return df.where((q("chrom") == chrom) & (q("start") >= start) & (q("end") <= end))
+
+
 def with_keys(df: DataFrame, info_end: str | None = None) -> DataFrame:
     """``start`` (0-based) and ``end`` from 1-based ``pos`` and ``ref``; an END value given in INFO wins."""
     end = q("pos") - 1 + F.length(q("ref"))

@@ -210,6 +210,18 @@ def distinct_union(spark: SparkSession, d: str) -> DataFrame:
     return groups.distinct_union(frames, "k")
 
 
+@query("SELECT chrom, start_, end_, gene, tissue, score FROM scores WHERE chrom = 'chr1' AND start_ >= 1000 AND end_ <= 5000")
+def region_filter(spark: SparkSession, d: str) -> DataFrame:
+    return plain(variants.in_region(keyed(bridge.frame(spark, d, "scores")), "chr1", 1000, 5000)).select("chrom", "start_", "end_", "gene", "tissue", "score")
+
+
+@query("SELECT DISTINCT concat('chr', CAST(l_suppkey % 5 AS VARCHAR)) AS contig FROM lineitem")
+def contig_lines(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    bridge.frame(spark, d, "SELECT concat('##contig=<ID=chr', CAST(l_suppkey % 5 AS STRING), ',length=10>') AS value FROM lineitem").write.text(path)
+    return genome.vcf_contigs(spark, path)
+
+
 @query("SELECT o_orderkey, r_name AS tissue FROM orders CROSS JOIN region")
 def tissue_cross_expand(spark: SparkSession, d: str) -> DataFrame:
     tissues = bridge.frame(spark, d, "SELECT r_name AS tissue FROM region")
@@ -483,6 +495,11 @@ def isoform_weighted_mean(spark: SparkSession, d: str) -> DataFrame:
     return tracks.over_isoforms(rows, ["gene"], ["x"], "weighted", "w").withColumn("x", F.round("x", 8))
 
 
+@query("SELECT l_partkey AS gene, max(l_tax) AS x FROM lineitem GROUP BY 1")
+def isoform_max(spark: SparkSession, d: str) -> DataFrame:
+    return tracks.over_isoforms(bridge.frame(spark, d, "SELECT l_partkey AS gene, l_tax AS x FROM lineitem"), ["gene"], ["x"], "max")
+
+
 @query("SELECT l_partkey AS gene, round(avg(l_tax), 8) AS x FROM lineitem WHERE l_linenumber = 1 GROUP BY 1")
 def isoform_canonical(spark: SparkSession, d: str) -> DataFrame:
     rows = bridge.frame(spark, d, "SELECT l_partkey AS gene, l_tax AS x, l_linenumber = 1 AS canonical FROM lineitem")

@@ -40,6 +40,12 @@ def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def vcf_contigs(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct contig names of the header lines."""
+    name = F.regexp_extract("value", r"^##contig=<(?:.*,)?ID=([^,>]+)", 1)
+    return spark.read.text(path).select(name.alias("contig")).where("contig <> ''").distinct()
+
+
 def as_variant_table(vcf: DataFrame) -> DataFrame:
     """The column layout of converted variant files: chromosome, position, identifier, reference, alternate, info_END."""
     return vcf.select(
