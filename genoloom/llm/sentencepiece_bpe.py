@@ -34,9 +34,9 @@ from .common import arrow_type, batch_with, documents, extended, pieces
 
 MARK = "▁"
 UNKNOWN = " ⁇ "
-WORD_CACHE = 200_000
-UNIT_CACHE = 200_000
-PAIR_CACHE = 200_000
+WORD_CACHE = 600_000
+UNIT_CACHE = 400_000
+PAIR_CACHE = 300_000
 #: Words of a marked text: a run of marks and what follows up to the next.
 MARKED = re.compile(f"{MARK}+[^{MARK}]*")
 
