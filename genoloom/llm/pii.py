@@ -5,11 +5,12 @@
 2. Candidates: every match of the base patterns, valid or not, and of looser ones (addresses spelt with "(at)", numbers
    without a plus sign).
 3. Labelers vote on each candidate: the base check, a stricter shape, a gazetteer of words before it, the characters
-   before and after it. A vote is yes, no or abstains.
+   before and after it. A vote is yes, no or abstains; without a word before it, the gazetteer is against a loose match.
 4. Expectation-maximisation over the histogram of vote patterns (at most 4 * 2 * 3 ** 5 * 3 rows, whatever the corpus)
    estimates how often each labeler is right and the probability of each pattern; a logistic span classifier over kind,
    votes and digits is fitted to those probabilities. Both are sums over that histogram.
-5. Candidates with a probability of ``ACCEPT`` or more that touch no base span are added.
+5. Loose candidates with a word or plus sign for them and a probability of ``ACCEPT`` or more are added unless they touch
+   a base span. Matches that fail their base check only tell labelers' reliabilities.
 
 Scale: everything but the histogram stays inside a row, so long texts, hot sources and copies cause no shuffle of their
 own; texts are read once. The patterns are written so that no text makes them backtrack: a match starts at the first
@@ -49,7 +50,8 @@ LOOSE = (
         rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]{{1,64}}+ ?(?:\(at\)|\[at\]|\{{at\}}) ?[A-Za-z0-9-]{{1,63}}(?: ?(?:\(dot\)|\[dot\]|\{{dot\}}|\.) ?[A-Za-z0-9-]{{2,63}}){{1,4}}",
         r"[(\[{]at[)\]}]",
     ),
-    (PHONE, r"(?<![0-9A-Za-z+@.:/=_-])\(?[0-9]{2,4}\)?[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9A-Za-z@_-]|\.[0-9])", r"[0-9][ .)-]"),
+    (PHONE, r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){1,3}+(?![0-9])", r"\+[0-9]"),
+    (PHONE, r"(?<![0-9A-Za-z(+@.:/=_-])(?<!\+[0-9]{1,3}[ .-])\(?[0-9]{2,4}\)?[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9A-Za-z@_-]|\.[0-9])", r"[0-9][ .)-]"),
 )
 SHAPES = (
     r"^[A-Za-z0-9][^@]*@[^@]*\.[A-Za-z]{2,24}$",
@@ -64,6 +66,8 @@ GAZETTEER = (
     r"phone|\btel|call|fax|mobil|cell|handy|portable|whatsapp|sms",
 )
 AGAINST = r"version|licen[sc]e|isbn|issn|order|invoice|page|chapter|section|release|build|\bid\b|\bno\b|[#$€£§v]$"
+#: Numbers that look like calendar dates.
+DATE = r"^(?:(?:19|20)[0-9]{2}[ .-][0-9]{1,2}[ .-][0-9]{1,2}|[0-9]{1,2}[ .-][0-9]{1,2}[ .-](?:19|20)?[0-9]{2})$"
 CONTEXT = 32
 
 SPAN = "struct<start:int,kind:int,end:int>"
@@ -127,8 +131,8 @@ def candidates(text: Column, kind: int, found: Column, loose: bool) -> Column:
             F.lit(int(loose)).alias("loose"),
             own.alias("valid"),
             (F.lit(1) if loose else F.when(own, 2).otherwise(0)).alias("v_base"),
-            vote(shape.rlike(SHAPES[kind]), F.lit(True)).alias("v_shape"),
-            vote(left.rlike(GAZETTEER[kind]), left.rlike(AGAINST)).alias("v_words"),
+            vote(shape.rlike(SHAPES[kind]) & ~shape.rlike(DATE), F.lit(True)).alias("v_shape"),
+            vote(left.rlike(GAZETTEER[kind]) | x["m"].startswith("+"), F.lit(True) if loose else left.rlike(AGAINST)).alias("v_words"),
             vote(left.rlike(r"(^|[\s(\[:,;<\"'])$"), left.rlike(r"[\w=./@#-]$")).alias("v_before"),
             vote(right.rlike(r"^([\s)\]:,;>!?\"']|$|\.(\s|$))"), right.rlike(r"^[\w=/@#.-]")).alias("v_after"),
             F.when(size < 7, 0).when(size <= 15, 1).otherwise(2).alias("size"),
@@ -142,16 +146,16 @@ PATTERN = ("kind", "loose", *VOTES, "size")
 
 
 def with_candidates(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the array ``found`` of all candidates. Each step is a projection, so matches aren't made twice."""
+    """``df`` with the array ``_p_found`` of all candidates. Each step is a projection, so matches aren't made twice."""
     body = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<struct<start:int,end:int,m:string>>")
     has = {EMAIL: F.contains(body, F.lit("@")), PHONE: F.contains(body, F.lit("+"))}
-    plans = [(k, p, has.get(k, F.col("_digit")), False) for k, p in enumerate(PATTERNS)]
-    plans += [(k, p, body.rlike(g) if k == EMAIL else F.col("_digit") & body.rlike(g), True) for k, p, g in LOOSE]
-    step = df.drop("found").withColumn("_digit", body.rlike("[0-9]"))
-    step = step.withColumns({f"_m{i}": F.when(ok, matches(body, p)).otherwise(none) for i, (_, p, ok, _) in enumerate(plans)})
-    arrays = [candidates(body, k, F.col(f"_m{i}"), loose) for i, (k, _, _, loose) in enumerate(plans)]
-    return step.withColumn("found", F.concat(*arrays)).drop("_digit", *[f"_m{i}" for i in range(len(plans))])
+    plans = [(k, p, has.get(k, F.col("_p_digit")), False) for k, p in enumerate(PATTERNS)]
+    plans += [(k, p, body.rlike(g) if k == EMAIL else F.col("_p_digit") & body.rlike(g), True) for k, p, g in LOOSE]
+    step = df.withColumn("_p_digit", body.rlike("[0-9]"))
+    step = step.withColumns({f"_p_m{i}": F.when(ok, matches(body, p)).otherwise(none) for i, (_, p, ok, _) in enumerate(plans)})
+    arrays = [candidates(body, k, F.col(f"_p_m{i}"), loose) for i, (k, _, _, loose) in enumerate(plans)]
+    return step.withColumn("_p_found", F.concat(*arrays)).drop("_p_digit", *[f"_p_m{i}" for i in range(len(plans))])
 
 
 # --- expectation-maximisation and the span classifier, over the pattern histogram --------------
@@ -201,8 +205,8 @@ def span_classifier(rows: list[dict], p: list[float]) -> dict[tuple[str, int], f
 
 
 def fit(found: DataFrame) -> dict[tuple[str, int], float]:
-    """The span classifier from all candidates in the column ``found``."""
-    flat = found.select(F.explode("found").alias("f")).select(*[F.col(f"f.{x}") for x in PATTERN])
+    """The span classifier from all candidates in the column ``_p_found``."""
+    flat = found.select(F.explode("_p_found").alias("f")).select(*[F.col(f"f.{x}") for x in PATTERN])
     rows = [r.asDict() for r in flat.groupBy(*PATTERN).agg(F.count(F.lit(1)).alias("n")).collect()]  # bounded
     rows.sort(key=lambda r: tuple(r[x] for x in PATTERN))
     return span_classifier(rows, posteriors(rows)) if rows else {}
@@ -219,14 +223,15 @@ def probability(c: Column, weights: dict[tuple[str, int], float]) -> Column:
 def with_spans(found: DataFrame, weights: dict[tuple[str, int], float]) -> DataFrame:
     """``found`` with the arrays ``base`` and ``spans`` of (start, kind, end)."""
     span = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
-    step = found.withColumn("base", F.array_sort(F.transform(F.filter("found", lambda c: c["valid"]), span)))
-    more = F.filter("found", lambda c: ~c["valid"] & (probability(c, weights) >= ACCEPT))
-    step = step.withColumn("_more", F.transform(more, span))
+    step = found.withColumn("base", F.array_sort(F.transform(F.filter("_p_found", lambda c: c["valid"]), span)))
+    # A failed base check is final; a loose match needs a word of its gazetteer or a plus sign before it.
+    more = F.filter("_p_found", lambda c: (c["loose"] == 1) & (c["v_words"] == 2) & (probability(c, weights) >= ACCEPT))
+    step = step.withColumn("_p_more", F.transform(more, span))
     meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    alone = F.filter("_more", lambda a: ~F.exists("base", lambda b: meets(a, b)))
-    step = step.withColumn("_more", alone)
-    first = F.filter("_more", lambda a: ~F.exists("_more", lambda b: meets(a, b) & ((b["kind"] < a["kind"]) | (b["kind"] == a["kind"]) & (b["start"] < a["start"]))))
-    return step.withColumn("spans", F.array_sort(F.concat("base", first))).drop("_more", "found")
+    alone = F.filter("_p_more", lambda a: ~F.exists("base", lambda b: meets(a, b)))
+    step = step.withColumn("_p_more", alone)
+    first = F.filter("_p_more", lambda a: ~F.exists("_p_more", lambda b: meets(a, b) & ((b["kind"] < a["kind"]) | (b["kind"] == a["kind"]) & (b["start"] < a["start"]))))
+    return step.withColumn("spans", F.array_sort(F.concat("base", first))).drop("_p_more", "_p_found")
 
 
 def detect(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:

@@ -52,31 +52,31 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     pair = lambda c, d: F.zip_with(
         F.slice(c, F.lit(1), F.size(c) - d), F.slice(c, F.lit(1 + d), F.size(c) - d), lambda a, b: F.xxhash64(a, b)
     )
-    step = df.drop(*BASE).withColumn("_w", words(F.col(text)))
+    step = df.drop(*BASE).withColumn("_q_w", words(F.col(text)))
     step = step.withColumns(
         {
-            "n_words": F.size("_w").cast("bigint"),
-            "word_chars": F.length(F.array_join("_w", "")).cast("bigint"),
+            "n_words": F.size("_q_w").cast("bigint"),
+            "word_chars": F.length(F.array_join("_q_w", "")).cast("bigint"),
             "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)).cast("bigint"),
-            "_l": F.filter(F.split(body, "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != ""),
-            "_h": F.when(F.size("_w") >= WINDOW, F.transform("_w", lambda w: F.xxhash64(w))),
+            "_q_l": F.filter(F.split(body, "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != ""),
+            "_q_h": F.when(F.size("_q_w") >= WINDOW, F.transform("_q_w", lambda w: F.xxhash64(w))),
         }
-    ).drop("_w")
+    ).drop("_q_w")
     step = step.withColumns(
-        {"n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint"), "_h": pair(F.col("_h"), 1)}
-    ).drop("_l")
+        {"n_dup_lines": (F.size("_q_l") - F.size(F.array_distinct("_q_l"))).cast("bigint"), "_q_h": pair(F.col("_q_h"), 1)}
+    ).drop("_q_l")
     for d in (2, 4):
-        step = step.withColumn("_h", pair(F.col("_h"), d))
-    twice = F.size(F.array_distinct("_h")) < F.size("_h")
+        step = step.withColumn("_q_h", pair(F.col("_q_h"), d))
+    twice = F.size(F.array_distinct("_q_h")) < F.size("_q_h")
     # (hash, position) in order: equal hashes stand together. Positions of those that do, in order again.
-    at = F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    step = step.withColumn("_h", F.when(twice, F.sort_array(at)))
-    same = lambda a, b: F.get(F.col("_h"), a)["h"] == F.get(F.col("_h"), b)["h"]
-    held = F.filter("_h", lambda x, k: F.coalesce(same(k, k + 1), F.lit(False)) | F.coalesce(same(k, k - 1), F.lit(False)))
-    step = step.withColumn("_h", F.sort_array(F.transform(held, lambda x: x["i"])))
-    gap = lambda x, k: F.coalesce(F.least(F.lit(WINDOW), F.get(F.col("_h"), k + 1) - x), F.lit(WINDOW))
-    covered = F.aggregate(F.transform("_h", gap), F.lit(0), lambda a, x: a + x)
-    return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop("_h")
+    at = F.transform("_q_h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    step = step.withColumn("_q_h", F.when(twice, F.sort_array(at)))
+    same = lambda a, b: F.get(F.col("_q_h"), a)["h"] == F.get(F.col("_q_h"), b)["h"]
+    held = F.filter("_q_h", lambda x, k: F.coalesce(same(k, k + 1), F.lit(False)) | F.coalesce(same(k, k - 1), F.lit(False)))
+    step = step.withColumn("_q_h", F.sort_array(F.transform(held, lambda x: x["i"])))
+    gap = lambda x, k: F.coalesce(F.least(F.lit(WINDOW), F.get(F.col("_q_h"), k + 1) - x), F.lit(WINDOW))
+    covered = F.aggregate(F.transform("_q_h", gap), F.lit(0), lambda a, x: a + x)
+    return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop("_q_h")
 
 
 def base_failed() -> Column:
@@ -170,22 +170,24 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 def judge_counted(counted: DataFrame, small: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """What ``count`` gave, with ``kept``. Thresholds come from ``small``, its counts (lang, source, ...) as a written table:
     the optimiser would otherwise copy the counting expressions into every filter on their results."""
-    limits = table(thresholds(small), "thresholds")
-    on = F.col(lang).eqNullSafe(F.col("g1")) & F.col(source).eqNullSafe(F.col("g2"))
+    limits = table(thresholds(small).select(*[F.col(c).alias(f"_q_{c}") for c in ("g1", "g2", *FEATURES)]), "thresholds")
+    on = F.col(lang).eqNullSafe(F.col("_q_g1")) & F.col(source).eqNullSafe(F.col("_q_g2"))
     if limits.count() <= BROADCAST_GROUPS:
         joined = counted.join(F.broadcast(limits), on, "left")
     else:
-        salted = limits.withColumn("g3", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-        keyed = counted.withColumn("_salt", F.pmod(F.xxhash64(*BASE), F.lit(SALTS)))
-        joined = keyed.join(salted, on & (F.col("_salt") == F.col("g3")), "left").drop("_salt", "g3")
+        salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+        salted = limits.withColumn("_q_g3", F.explode(salts))
+        keyed = counted.withColumn("_q_salt", F.pmod(F.xxhash64(*BASE), F.lit(SALTS)))
+        joined = keyed.join(salted, on & (F.col("_q_salt") == F.col("_q_g3")), "left").drop("_q_salt", "_q_g3")
     good = F.lit(True)
     for name, value in features().items():
-        good = good & (value <= F.col(name)["high"])
+        fence = F.col(f"_q_{name}")
+        good = good & (value <= fence["high"])
         if FEATURES[name][1]:
-            good = good & (value >= F.col(name)["low"])
+            good = good & (value >= fence["low"])
     # one expression, so that no part of it is pushed below the join
     kept = F.when(F.col("base_failed"), False).otherwise(F.coalesce(good, F.lit(False)))
-    return joined.withColumn("kept", kept).drop("g1", "g2", *FEATURES)
+    return joined.withColumn("kept", kept).drop(*limits.columns)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

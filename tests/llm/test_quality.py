@@ -73,7 +73,7 @@ def test_against_plain_loops(spark, monkeypatch, broadcast, least):
 def test_edge_rows(spark):
     word = " ".join(f"w{i}" for i in range(30))
     rows = [(1, None, None, None, 5), (2, "", "en", None, 5), (3, word, None, "s", 5), (3, word, None, "s", 5), (4, "a b c d e f g h " * 60, "en", "s", 5), (5, "\x0b\x0c \r\n", "en", "s", 5)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, N_WORDS int")
+    docs = spark.createDataFrame([(*r, 0, 0) for r in rows], "doc_id long, text string, lang string, source string, N_WORDS int, g1 int, word_length int")
     got = {r.doc_id: r for r in quality.judge(docs).collect()}
     assert not got[1].kept and not got[2].kept and got[3].kept and got[4].base_failed and got[5].n_words == 0
     assert got[4].n_repeat_words == 480 and got[3].n_repeat_words == 0
