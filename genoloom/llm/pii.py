@@ -50,7 +50,7 @@ LOOSE = (
         rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]{{1,64}}+ ?(?:\(at\)|\[at\]|\{{at\}}) ?[A-Za-z0-9-]{{1,63}}(?: ?(?:\(dot\)|\[dot\]|\{{dot\}}|\.) ?[A-Za-z0-9-]{{2,63}}){{1,4}}",
         r"[(\[{]at[)\]}]",
     ),
-    (PHONE, r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){1,3}+(?![0-9])", r"\+[0-9]"),
+    (PHONE, r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){1,3}(?![0-9]|\.[0-9])", r"\+[0-9]"),
     (PHONE, r"(?<![0-9A-Za-z(+@.:/=_-])(?<!\+[0-9]{1,3}[ .-])\(?[0-9]{2,4}\)?[ .-][0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9A-Za-z@_-]|\.[0-9])", r"[0-9][ .)-]"),
 )
 SHAPES = (
