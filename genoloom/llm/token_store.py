@@ -41,9 +41,9 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, documents, row_of, scratch, small_batches, table
 
 END_ID = 2
-CHUNK_IDS = 1 << 20
+CHUNK_IDS = 1 << 19
 SHARD_BYTES = 48 << 20
-WORD_CACHE = 200_000
+WORD_CACHE = 120_000
 BUCKET_KEYS = 50_000
 GAMMA = 1.6
 NULL_KEY = -(1 << 63)
