@@ -1,9 +1,10 @@
 """Isoform-weighted consequence features for each (variant, gene, tissue).
 
 The direct form crosses every annotation row with every tissue and aggregates. Only the ``.proportion`` features
-depend on the tissue, so the default form aggregates once for each (variant, gene), sums the isoform-weighted labels
-of the rows that carry a label into a map by tissue, and spreads the groups over tissues last. All of it is keyed by
-(variant, gene): one shuffle for each input, none after the spreading.
+depend on the tissue, so the default forms aggregate once for each (variant, gene) and spread the groups over tissues
+last, without a shuffle after that. With few labels and tissues, isoform weights stand beside each transcript, a column a
+tissue, and all features are sums of one aggregation. With many, the isoform-weighted labels of the rows that carry a
+label are summed by tissue into a map, which meets the other features by (variant, gene).
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from ..schemas import VARIANT_KEY, q
 from .lookups import small
 
 WEIGHT = "median_transcript_proportions"
+#: Labels times tissues up to which isoform-weighted sums are columns of the one aggregation.
+WIDE = 256
 SCORES = {"sift_score": "sift_score.pval_max_significant", "CADD_RAW": "cadd_raw.max", "polyphen_score": "polyphen_score.max", "condel_score": "condel_score.max"}
 
 
@@ -68,12 +71,42 @@ def tissue_features(
     if check and not isoforms_are_unique(isoforms):
         return tissue_features_direct(vep, isoforms, tissues, gtf, labels, dedupe)
     flags = flags_of(vep, labels)
-    keys = [*VARIANT_KEY, "gene"]
     tissues = (isoforms if tissues is None else tissues).select("tissue").distinct()
+    names = [r[0] for r in tissues.limit(WIDE + 1).collect()]
+    if names and None not in names and len(names) * len(flags) <= WIDE:
+        return wide_form(vep, isoforms, sorted(names), flags, annotated(vep, gtf, dedupe))
+    return map_form(vep, isoforms, tissues, flags, annotated(vep, gtf, dedupe))
+
+
+def wide_form(vep: DataFrame, isoforms: DataFrame, names: list[str], flags: dict[str, Column], rows: DataFrame) -> DataFrame:
+    """One join by transcript and one aggregation by (variant, gene)."""
+    keys = [*VARIANT_KEY, "gene"]
+    weight = q(WEIGHT).cast("double")
+    weights = isoforms.groupBy("gene", "transcript").agg(*[F.max(F.when(F.col("tissue") == t, weight)).alias(f"w{i}") for i, t in enumerate(names)], F.lit(1).alias("w"))
+    joined = rows.join(weights, ["gene", "transcript"], "left")
+    counts = {k: F.when(F.coalesce(v, F.lit(False)), F.col("copies")).otherwise(0) for k, v in flags.items()}
+    sums = {(k, i): F.sum(F.col(f"w{i}") * c).alias(f"p{i}_{k}") for k, c in counts.items() for i in range(len(names))}
+    groups = joined.groupBy(*keys).agg(
+        *[F.max(v).alias(f"{k}.max") for k, v in flags.items()],
+        *[F.sum(c).cast("int").alias(f"{k}.sum") for k, c in counts.items()],
+        *group_scores(vep),
+        F.sum(F.when(q("Consequence").isNotNull(), F.col("copies")).otherwise(0)).alias("num_transcripts"),
+        *sums.values(),
+    )
+    own = [F.struct(F.lit(t).alias("tissue"), *[F.coalesce(q(f"p{i}_{k}"), F.lit(0.0)).cast("float").alias(k) for k in flags]) for i, t in enumerate(names)]
+    kept = [q(c) for c in groups.columns if not any(c == f"p{i}_{k}" for k, i in sums)]
+    spread = groups.select(*kept, F.explode(F.array(*own)).alias("own"))
+    share = [q("own").getField(k).alias(f"{k}.proportion") for k in flags]
+    return spread.select(*keys, F.col("own.tissue").alias("tissue"), features_struct(flags, share, groups.columns))
+
+
+def map_form(vep: DataFrame, isoforms: DataFrame, tissues: DataFrame, flags: dict[str, Column], rows: DataFrame) -> DataFrame:
+    """Two aggregations by (variant, gene) that meet on it."""
+    keys = [*VARIANT_KEY, "gene"]
     # Nulls stand in groups of their own; with stand-ins for them, groups and sums meet by plain equality on the
     # columns that both are partitioned by already.
     stand_in = {k: F.lit("\0") if kind == "string" else F.lit(-(1 << 63)).cast(kind) for k, kind in vep.dtypes if k in keys}
-    rows = annotated(vep, gtf, dedupe).withColumns({k: F.coalesce(q(k), v) for k, v in stand_in.items()})
+    rows = rows.withColumns({k: F.coalesce(q(k), v) for k, v in stand_in.items()})
     on = {k: F.coalesce(v, F.lit(False)) for k, v in flags.items()}
     groups = rows.groupBy(*keys).agg(
         *[F.max(v).alias(f"{k}.max") for k, v in flags.items()],

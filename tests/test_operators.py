@@ -38,7 +38,9 @@ def flat(df):
     return {(r.start, r.gene, r.tissue): r.features.asDict() for r in df.collect()}
 
 
-def test_forms_agree(spark, vep, iso):
+@pytest.mark.parametrize("wide", [0, 256])
+def test_forms_agree(spark, monkeypatch, vep, iso, wide):
+    monkeypatch.setattr(tissue_features, "WIDE", wide)
     gtf = spark.createDataFrame([("g.1", "t1.1"), ("g.1_PAR", "t1.2"), ("g.2", "t2")], "gene_id string, transcript_id string")
     for kw in ({}, {"gtf": gtf}, {"gtf": gtf, "dedupe": True}, {"labels": ["stop", "LoF_HC"]}):
         assert flat(tissue_features.tissue_features(vep, iso, **kw)) == flat(tissue_features.tissue_features_direct(vep, iso, **kw))
@@ -46,7 +48,9 @@ def test_forms_agree(spark, vep, iso):
     assert copies[1, "g", "liver"]["stop.sum"] == 3 and copies[1, "g", "liver"]["num_transcripts"] == 3
 
 
-def test_feature_values(vep, iso):
+@pytest.mark.parametrize("wide", [0, 256])
+def test_feature_values(monkeypatch, vep, iso, wide):
+    monkeypatch.setattr(tissue_features, "WIDE", wide)
     got = flat(tissue_features.tissue_features(vep, iso))
     one = got[1, "g", "liver"]
     assert one["stop.sum"] == 2 and one["stop.proportion"] == 0.75 and one["stop.max"] is True
