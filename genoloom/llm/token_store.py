@@ -41,9 +41,9 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, documents, row_of, scratch, small_batches, table
 
 END_ID = 2
-CHUNK_IDS = 1 << 19
-SHARD_BYTES = 48 << 20
-WORD_CACHE = 120_000
+CHUNK_IDS = 1 << 16
+SHARD_BYTES = 16 << 20
+WORD_CACHE = 150_000
 BUCKET_KEYS = 50_000
 GAMMA = 1.6
 NULL_KEY = -(1 << 63)
@@ -211,7 +211,9 @@ def write_store(
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(int(shards), *order).sortWithinPartitions(*order)
     with small_batches(spark):
-        ranged.mapInArrow(_encoder(tokenizer, dtype, end_id), PAYLOAD).write.parquet(f"{path}/payload")
+        # ids don't repeat as whole values: no dictionary, and small row groups to keep writers' buffers small
+        writer = ranged.mapInArrow(_encoder(tokenizer, dtype, end_id), PAYLOAD).write
+        writer.options(**{"parquet.enable.dictionary": "false", "parquet.block.size": str(8 << 20)}).parquet(f"{path}/payload")
     places = spark.read.schema(PAYLOAD).parquet(f"{path}/payload").select("shard", "base", "keys")
     keyed = places.mapInArrow(_places, PLACES).withColumn("bucket", bucket(F.col("key"), n_buckets))
     keyed.groupBy("bucket").applyInArrow(_index, INDEX).write.parquet(f"{path}/index")
@@ -356,7 +358,7 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_store(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32) of all stored rows of ``keys``: each non-null key goes through
     the index to its places, and what the payload holds there is returned; null keys by reading."""
-    with small_batches(spark, 2):  # rows of some MB each
+    with small_batches(spark, 32):  # rows of 0.1 MB and more each
         stored = table(scan(spark, path), "stored")
     placed = locate(spark, path, keys, key).join(stored.drop("key"), ["shard", "position"])
     rows = placed.unionByName(stored.where("key is null"))
