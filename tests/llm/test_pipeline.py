@@ -1,10 +1,9 @@
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
-from genoloom.llm import common, packing, pii, quality
+from genoloom.llm import common, packing
 from tests.llm.test_pii import brute as brute_pii
 from tests.llm.test_simhash import slow_components, slow_linked, slow_similar
 
