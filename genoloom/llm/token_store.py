@@ -43,7 +43,7 @@ from .common import arrow_schema, documents, row_of, scratch, small_batches, tab
 END_ID = 2
 CHUNK_IDS = 1 << 16
 SHARD_BYTES = 16 << 20
-WORD_CACHE = 150_000
+WORD_CACHE = 350_000
 BUCKET_KEYS = 50_000
 GAMMA = 1.6
 NULL_KEY = -(1 << 63)
