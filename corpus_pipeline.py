@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genoloom.llm import common, language_id, packing, pii, quality, simhash
+from genoloom.llm import common, language_id, packing, pii, quality, shingles
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Only ids are compared and shuffled to find the groups; the documents then lose the others' ids. Rows that
     repeat a doc_id are one document to the operator, so one of them is kept, the smallest text.
     """
-    groups = common.table(simhash.near_duplicates(docs, simhash.SIMILAR).select("doc_id", "component_id"), "groups")
+    groups = common.table(shingles.groups(docs), "groups")
     keyed = groups.where("doc_id IS NOT NULL")
     losers = common.table(keyed.where("doc_id <> component_id").select("doc_id").distinct(), "losers")
     few = losers.count() <= BROADCAST_IDS

@@ -5,9 +5,9 @@ fingerprints into three segments: if at most 4 bits differ, at most one differs
 fingerprint is indexed under 64 keys: for every bit, its segment with that bit as a wildcard. Equal keys meet by an
 equality shuffle, and every candidate pair is verified on all bits; no link is lost.
 
-``SIMILAR`` finds texts whose sets of five-word shingles have a similarity of 0.8 or more: such fingerprints differ in a
-seventh of their bits, so 128 bits are cut into eight segments of 16, one of which differs by at most a bit with a
-probability of about 0.98, and up to 22 different bits are accepted. Here links are as likely as that says, not certain.
+``SIMILAR`` (five-word shingles, 128 bits) cuts them into eight segments of 16, one of which may differ by a bit, and
+accepts up to 22 different bits. It estimates a similarity of 0.8 only: about a quarter of the pairs there are lost and
+less similar ones are linked. The pipeline uses ``shingles`` instead, which decides by the sets themselves.
 
 A pair is handled under the first key that it shares, so no pair is verified twice in small buckets. A bucket of
 more than ``SMALL`` fingerprints gives a spanning forest of its links instead of all pairs: links are found by
