@@ -7,8 +7,9 @@ equal codes. Peaks are kept per band where a band's loudest bin also beats the s
 bins within ``REACH`` frames; pairs join each peak with the next ``FAN`` ones in time.
 
 Defined results: a null or empty text is one block of zero bytes (one silent WAV without peaks);
-ties go to the lower bin and the earlier frame; equal bytes give equal columns; columns of the
-input keep their place and those named like an output column are replaced.
+a payload that ends inside a frame is followed by silence up to the frame's end; ties go to the lower bin and the
+earlier frame; equal bytes give equal columns; columns of the input keep their place and those named like an output
+column are replaced.
 """
 
 from __future__ import annotations
@@ -80,6 +81,12 @@ def band_peaks(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bins, power
 
 
+def framed(samples: np.ndarray) -> np.ndarray:
+    """``samples`` with silence up to whole frames, so that ``fingerprint`` leaves none of them out."""
+    size = FRAME + max(0, -(-(len(samples) - FRAME) // HOP)) * HOP
+    return np.concatenate([samples, np.full(size - len(samples), 128, np.uint8)])
+
+
 def fingerprint(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Times and codes of the peak pairs of one recording."""
     bins, power = band_peaks(samples)
@@ -121,7 +128,7 @@ def media_row(text: str | None) -> dict:
     data = (text or "").encode()
     media = to_wav(padded(data))
     payload = from_wav(media)
-    times, codes = fingerprint(np.frombuffer(payload, np.uint8))
+    times, codes = fingerprint(framed(np.frombuffer(payload, np.uint8)))
     digest = hashlib.sha256(times.astype("<i4").tobytes() + codes.astype("<i4").tobytes()).hexdigest()
     return {
         "media": media,

@@ -50,3 +50,17 @@ def test_edge_rows(spark):
     assert got[0].media == got[1].media and got[0].n_bytes == 0 and got[0].payload_bytes == 64
     assert got[2].feature == got[3].feature and len(got[2].times) == len(got[2].codes)
     assert media.add_media(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_last_frame_counts():
+    rng = np.random.default_rng(2)
+    for size in (320, 448, 64 * 47):  # 64 bytes beyond the last whole frame
+        head = "".join(map(chr, rng.integers(32, 127, size - 64)))
+        ends = ["".join(map(chr, rng.integers(32, 127, 64))) for _ in range(4)]
+        rows = [media.media_row(head + end) for end in ends]
+        assert all(r["payload_bytes"] == size for r in rows) and len({r["feature"] for r in rows}) > 1  # peaks are few: some ends agree
+        samples = np.frombuffer(media.from_wav(rows[0]["media"]), np.uint8)
+        assert list(zip(rows[0]["times"].tolist(), rows[0]["codes"].tolist())) == brute(np.append(samples, np.full(64, 128, np.uint8)))
+    for size in (1, 64, 255, 256, 257, 384, 385):
+        padded = media.framed(np.arange(size).astype(np.uint8))
+        assert len(padded) >= size and (len(padded) - media.FRAME) % media.HOP == 0 and len(padded) - size < max(media.FRAME, media.HOP)
