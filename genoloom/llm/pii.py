@@ -9,8 +9,8 @@
 4. Expectation-maximisation over the histogram of vote patterns (at most 4 * 2 * 3 ** 5 * 3 rows, whatever the corpus)
    estimates how often each labeler is right and the probability of each pattern; a logistic span classifier over kind,
    votes and digits is fitted to those probabilities. Both are sums over that histogram.
-5. Loose candidates with a word or plus sign for them and a probability of ``ACCEPT`` or more are added unless they touch
-   a base span. Matches that fail their base check only tell labelers' reliabilities.
+5. Loose candidates with a probability of ``ACCEPT`` or more, numbers only with a word or plus sign for them, are added
+   unless they touch a base span. Matches that fail their base check only tell labelers' reliabilities.
 
 Scale: everything but the histogram stays inside a row, so long texts, hot sources and copies cause no shuffle of their
 own; texts are read once. The patterns are written so that no text makes them backtrack: a match starts at the first
@@ -224,8 +224,9 @@ def with_spans(found: DataFrame, weights: dict[tuple[str, int], float]) -> DataF
     """``found`` with the arrays ``base`` and ``spans`` of (start, kind, end)."""
     span = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
     step = found.withColumn("base", F.array_sort(F.transform(F.filter("_p_found", lambda c: c["valid"]), span)))
-    # A failed base check is final; a loose match needs a word of its gazetteer or a plus sign before it.
-    more = F.filter("_p_found", lambda c: (c["loose"] == 1) & (c["v_words"] == 2) & (probability(c, weights) >= ACCEPT))
+    # A failed base check is final; a loose number needs a word of its gazetteer or a plus sign before it.
+    named = lambda c: (c["kind"] == EMAIL) | (c["v_words"] == 2)
+    more = F.filter("_p_found", lambda c: (c["loose"] == 1) & named(c) & (probability(c, weights) >= ACCEPT))
     step = step.withColumn("_p_more", F.transform(more, span))
     meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
     alone = F.filter("_p_more", lambda a: ~F.exists("base", lambda b: meets(a, b)))

@@ -91,3 +91,9 @@ def test_reliabilities():
 
 def test_empty(spark):
     assert pii.detect(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_spelt_addresses_need_no_word_before_them(spark):
+    rows = [(1, "say jane (at) example (dot) org please"), (2, "jane.doe [at] example.org"), (3, "ask a@b.com or c.d@mail3.example.com"), (4, "100 200 300")]
+    got = {r.doc_id: r.s for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", pii.written(F.col("spans")).alias("s")).collect()}
+    assert got == {1: "email:4:31", 2: "email:0:25", 3: brute(rows[2][1]), 4: ""}
