@@ -68,13 +68,17 @@ def test_sinks(spark, tmp_path):
 
 
 def test_config():
-    base = {"a": {"x": 1, "y": [1]}, "b": 2}
-    assert config.merged(base, {"a": {"y": [2]}}, {"c": 3}) == {"a": {"x": 1, "y": [2]}, "b": 2, "c": 3} and base["a"]["y"] == [1]
-    assert config.filled({"p": ["{a}/{b}", 3]}, {"a": "x"}) == {"p": ["x/{b}", 3]}
-    with pytest.raises(ValueError):
-        config.filled(3, {}, strict=True)
+    base = {"a": {"x": 1, "y": [1], "z": {"k": 1}}, "b": 2, "e": {}}
+    both = config.Settings(base, {"a": {"y": [2], "z": {}}, "b": {"n": 0}}, None, {"c": 3, "a": {"x": {"m": None}}})
+    assert both.nested() == {"a": {"y": [2], "z": {"k": 1}, "x": {"m": None}}, "e": {}, "b": {"n": 0}, "c": 3} and base["a"]["y"] == [1]
+    assert both["a.z"] == {"k": 1} and both.get("a.q", 7) == 7
+    with pytest.raises(KeyError, match="a.x.m, nothing"):
+        both.require("c", "a.x.m", "nothing")
+    made = config.Settings({"out": "{root}/o", "root": "{base.dir}/r", "n": 3, "files": ["{out}/{{vcf}}.p", "{later}", 5]})
+    assert made.resolved(base={"dir": "/d"}).nested() == {"out": "/d/r/o", "root": "/d/r", "n": 3, "files": ["/d/r/o/{vcf}.p", "{later}", 5]}
+    assert config.Settings({"a": "{b}x", "b": "{a}"}).resolved().nested() == {"a": "{b}x", "b": "{a}"}
     paths = ["in/a.vcf", "in/b.txt", "out/c.vcf"]
-    assert config.matched(paths, "in/{f}", "o/{f}.gz", {"f": r".+\.vcf$"}) == ["o/a.vcf.gz"]
+    assert config.outputs_for(paths, "in/{f}", "o/{f}.gz", {"f": r".+\.vcf"}) == ["o/a.vcf.gz"]
     with pytest.raises(ValueError):
         config.assembly("hg17", {})
     with pytest.raises(FileNotFoundError):
@@ -82,6 +86,19 @@ def test_config():
     assert config.has_nmd(108) and not config.has_nmd(104)
 
 
+def test_yaml_files(tmp_path):
+    (tmp_path / "d.yaml").write_text("dirs:\n  out: '{RESULTS_DIR}/x'\n  keep: [1, 2]\n")
+    (tmp_path / "s.yaml").write_text("")
+    (tmp_path / "u.yaml").write_text("dirs: {keep: [3]}\n")
+    read = config.Settings.read(tmp_path / "d.yaml", tmp_path / "s.yaml", tmp_path / "u.yaml").resolved(RESULTS_DIR="/r")
+    read.write(tmp_path / "o.yaml")
+    assert config.read_yaml(tmp_path / "o.yaml") == {"dirs": {"out": "/r/x", "keep": [3]}} == read.nested()
+    (tmp_path / "features.yaml").write_text("- feature.e@Cells%20-%20x.missing\n- plain\n")
+    (tmp_path / "set.yaml").write_text("variables:\n  vep:\n  - features: [a.max]\n  e:\nrequired_features: [plain]\nfill_values:\n")
+    spec = config.ModelSpec.read("m", tmp_path / "set.yaml", tmp_path / "features.yaml", tissues=["liver"])
+    assert spec == config.ModelSpec("m", ["feature.e@Cells - x.missing", "plain"], {"vep": [{"features": ["a.max"]}], "e": []}, ["plain"], tissues=["liver"])
+
+
 def test_whole_plan(spark):
     names = ["#Uploaded_variation", "Gene", "Feature", "Feature_type", "Consequence", "IMPACT", "LoF", "CADD_RAW"]
     raw = spark.createDataFrame([("1:5:6:A>C", "g", "t", "Transcript", "stop_gained", "HIGH", "HC", "1.5"), ("1:7:8:A>C", "h", "t", "Transcript", "stop_gained", "HIGH", None, None)], names)
