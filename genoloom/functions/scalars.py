@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VARIANT_ID = r"(.+):([0-9]+):([0-9]+):(.+?)>(.+)"
+#: Ids without further marks. Repeats are possessive: no id makes them backtrack.
+PLAIN_ID = r"^[^:\s]++:[0-9]++:[0-9]++:[^:>\s]++>[^:\s]++$"
 
 
 def capture(c: Column, pattern: str, group: int) -> Column:
@@ -16,8 +18,14 @@ def capture(c: Column, pattern: str, group: int) -> Column:
 
 
 def parse_variant_id(c: Column) -> dict[str, Column]:
-    """``chrom:start:end:ref>alt`` in parts; ``-`` stands for an empty allele."""
-    parts = {name: capture(c, VARIANT_ID, i + 1) for i, name in enumerate(("chrom", "start", "end", "ref", "alt"))}
+    """``chrom:start:end:ref>alt`` in parts; ``-`` stands for an empty allele. Plain ids are cut at their marks; only those
+    with further marks (contigs or breakends that hold ``:``) and ids that don't parse meet the capturing pattern."""
+    plain = c.rlike(PLAIN_ID)
+    last = F.substring_index(c, ":", -1)
+    ref = F.substring_index(last, ">", 1)
+    inner = lambda n: F.substring_index(F.substring_index(c, ":", n), ":", -1)
+    cut = {"chrom": F.substring_index(c, ":", 1), "start": inner(2), "end": inner(3), "ref": ref, "alt": F.substr(last, F.length(ref) + 2)}
+    parts = {name: F.when(plain, value).otherwise(capture(c, VARIANT_ID, i + 1)) for i, (name, value) in enumerate(cut.items())}
     parts["start"], parts["end"] = parts["start"].cast("bigint"), parts["end"].cast("bigint")
     for allele in ("ref", "alt"):
         parts[allele] = F.when(parts[allele] == "-", "").otherwise(parts[allele])
@@ -92,5 +100,13 @@ def is_usable(c: Column, kind: str) -> Column:
     return c.isNotNull() & ~F.isnan(c) if kind in ("float", "double") else c.isNotNull()
 
 
+def variant_type(ref: Column, alt: Column) -> Column:
+    """Type of a variant by its alleles: REF, SNP, MNP, INDEL, or OTHER for symbolic alleles and breakends; null in, null out."""
+    bases = only_bases(ref) & only_bases(alt)
+    same = F.length(ref) == F.length(alt)
+    known = F.when(same & (F.upper(ref) == F.upper(alt)), "REF").when(same & (F.length(ref) == 1), "SNP").when(same, "MNP").otherwise("INDEL")
+    return F.when((alt == ".") | (alt == ref), "REF").when(bases, known).when(ref.isNotNull() & alt.isNotNull(), "OTHER")
+
+
 def only_bases(c: Column) -> Column:
     return c.rlike("^[ACGTacgt]+$")

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from ..schemas import q
 
-#: Rows up to which a lookup is broadcast; beyond, Spark joins it by key.
+#: Rows and bytes (of their JSON form) up to which a lookup is broadcast; beyond, Spark joins it by key.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows; counting stops one row later."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows of ``size`` bytes in all; measuring stops one row later."""
+    each = F.length(F.to_json(F.struct(*map(q, df.columns)))).cast("bigint")
+    n, held = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(each), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and held <= size else df
 
 
 def replace_by(df: DataFrame, column: str, lookup: DataFrame, alias: str, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as s
 from ..schemas import SPLICE_OUTPUT, VARIANT_KEY, ddl, q
 from .groups import best_per_group, cast_void
+from .intervals import range_join
 from .lookups import replace_by, small
 from .variants import join_scores
 
@@ -23,6 +24,23 @@ RENAMES = {
 }
 
 
+def junction_sites(maps: DataFrame, junction: str = "junction") -> DataFrame:
+    """The two splice sites of each junction ``chrom:start-end:strand`` (0-based, half-open): chrom, strand, ``site`` and whether
+    it is the donor. Junctions that don't parse have no sites."""
+    pattern = r"^(.+):([0-9]+)-([0-9]+):([+-])$"
+    part = lambda i: s.capture(q(junction), pattern, i)
+    parsed = maps.withColumns({"chrom": part(1), "strand": part(4), "_low": part(2).cast("bigint"), "_high": part(3).cast("bigint")})
+    plus = F.col("strand") == "+"
+    ends = F.array(F.struct(F.col("_low").alias("site"), plus.alias("donor")), F.struct(F.col("_high").alias("site"), (~plus).alias("donor")))
+    return parsed.where("_low IS NOT NULL").withColumn("_s", F.explode(ends)).select(*map(q, parsed.columns[:-2]), "_s.site", "_s.donor")
+
+
+def near_sites(variants: DataFrame, sites: DataFrame, reach: int = 100) -> DataFrame:
+    """Variants (chrom, start, ...) with every splice site of their contig at most ``reach`` bases away, by a range join."""
+    windows = sites.withColumns({"_low": q("site") - reach, "_high": q("site") + reach})
+    return range_join(variants, windows, "chrom", "start", "_low", "_high", width=2 * reach + 1).drop("_low", "_high")
+
+
 def join_predictors(junctions: DataFrame, sites: DataFrame, tissues: DataFrame) -> DataFrame:
     """Full join of junction scores (by tissue) and site scores (without): on (variant, gene_name, tissue), site rows
     standing for every tissue. Gene ids known from junction rows fill site-only rows of the same gene name."""

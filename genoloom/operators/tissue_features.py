@@ -67,14 +67,24 @@ def tissue_features(
     labels: list[str] | None = None, dedupe: bool = False, check: bool = True,
 ) -> DataFrame:
     """One row a (variant, gene, tissue) with the struct ``features``. Isoform keys that repeat multiply sums in the
-    direct form; if ``check`` finds such keys, the direct form is used."""
-    if check and not isoforms_are_unique(isoforms):
-        return tissue_features_direct(vep, isoforms, tissues, gtf, labels, dedupe)
+    direct form; if ``check`` finds such keys, the direct form is used. A null tissue is a tissue without isoform weights:
+    its rows have proportions of 0."""
     flags = flags_of(vep, labels)
-    tissues = (isoforms if tissues is None else tissues).select("tissue").distinct()
-    names = [r[0] for r in tissues.limit(WIDE + 1).collect()]
-    if names and None not in names and len(names) * len(flags) <= WIDE:
-        return wide_form(vep, isoforms, sorted(names), flags, annotated(vep, gtf, dedupe))
+    own = tissues is None
+    tissues = (isoforms if own else tissues).select("tissue").distinct()
+    names = None
+    if check and own:  # one pass over the isoforms tells their tissues and whether their keys repeat
+        found = isoforms.groupBy("gene", "transcript", "tissue").count().groupBy("tissue").agg(F.max("count")).limit(WIDE + 1).collect()
+        names = [r[0] for r in found]
+        unique = all(r[1] == 1 for r in found) and (len(found) <= WIDE or isoforms_are_unique(isoforms))
+    else:
+        unique = not check or isoforms_are_unique(isoforms)
+    if not unique:
+        return tissue_features_direct(vep, isoforms, tissues, gtf, labels, dedupe)
+    names = [r[0] for r in tissues.limit(WIDE + 1).collect()] if names is None else names
+    if names and len(names) * len(flags) <= WIDE:
+        ordered = sorted(names, key=lambda n: (n is not None, n))
+        return wide_form(vep, isoforms, ordered, flags, annotated(vep, gtf, dedupe))
     return map_form(vep, isoforms, tissues, flags, annotated(vep, gtf, dedupe))
 
 
@@ -93,7 +103,7 @@ def wide_form(vep: DataFrame, isoforms: DataFrame, names: list[str], flags: dict
         F.sum(F.when(q("Consequence").isNotNull(), F.col("copies")).otherwise(0)).alias("num_transcripts"),
         *sums.values(),
     )
-    own = [F.struct(F.lit(t).alias("tissue"), *[F.coalesce(q(f"p{i}_{k}"), F.lit(0.0)).cast("float").alias(k) for k in flags]) for i, t in enumerate(names)]
+    own = [F.struct(F.lit(t).cast("string").alias("tissue"), *[F.coalesce(q(f"p{i}_{k}"), F.lit(0.0)).cast("float").alias(k) for k in flags]) for i, t in enumerate(names)]
     kept = [q(c) for c in groups.columns if not any(c == f"p{i}_{k}" for k, i in sums)]
     spread = groups.select(*kept, F.explode(F.array(*own)).alias("own"))
     share = [q("own").getField(k).alias(f"{k}.proportion") for k in flags]
@@ -119,7 +129,7 @@ def map_form(vep: DataFrame, isoforms: DataFrame, tissues: DataFrame, flags: dic
         carries = carries | v
     counts = {k: F.when(v, F.col("copies")).otherwise(0) for k, v in on.items()}
     carrying = rows.where(carries).select(*keys, "transcript", *[v.alias(f"n_{k}") for k, v in counts.items()])
-    weights = isoforms.select("gene", "transcript", "tissue", q(WEIGHT).cast("double").alias("w"))
+    weights = isoforms.where("tissue IS NOT NULL").select("gene", "transcript", "tissue", q(WEIGHT).cast("double").alias("w"))
     sums = carrying.join(weights, ["gene", "transcript"]).repartition(*keys).groupBy(*keys, "tissue")
     sums = sums.agg(*[F.sum(F.col("w") * q(f"n_{k}")).alias(f"p_{k}") for k in flags])
     entry = F.struct(F.col("tissue"), F.struct(*[q(f"p_{k}") for k in flags]))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import q
+from .intervals import range_join, strand_window
 
 
 def central_mean(values: Column, n: int) -> Column:
@@ -20,6 +21,22 @@ def central_mean(values: Column, n: int) -> Column:
     return F.when(size > 0, total / k)
 
 
+def sequence_requests(
+    kind: str, genes: DataFrame, variants: DataFrame | None = None, shift: int = 43, before: int = 50, after: int = 200,
+) -> DataFrame:
+    """What a sequence model has to be asked: for ``reference`` each transcript (chrom, tss, strand, ...), for ``alternative``
+    each transcript with every variant in the window around its start; both once for each shift of the sequence.
+    Another allele type is an error."""
+    if kind not in ("reference", "alternative"):
+        raise ValueError(f"unknown allele type: {kind}")
+    if kind == "alternative":
+        if variants is None:
+            raise ValueError("alternative sequences need variants")
+        genes = range_join(variants, strand_window(genes, before=before, after=after), "chrom", "start", width=before + after).drop("low", "high")
+    shifts = [-shift, 0, shift] if shift else [0]
+    return genes.withColumn("shift", F.explode(F.array(*map(F.lit, shifts))))
+
+
 def over_shifts(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Mean of each track over the shifted predictions of a sequence."""
     return df.groupBy(*map(q, keys)).agg(*[F.avg(q(v)).alias(v) for v in values])

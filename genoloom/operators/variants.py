@@ -44,6 +44,13 @@ def with_keys(df: DataFrame, info_end: str | None = None) -> DataFrame:
     return df.withColumns({"start": q("pos").cast("bigint") - 1, "end": end.cast("bigint")})
 
 
+def with_tags(df: DataFrame, info_end: str = "info_END", info_type: str = "info_TYPE") -> DataFrame:
+    """The tags END and TYPE filled in from position and alleles where the file doesn't give them."""
+    end = q("pos").cast("bigint") - 1 + F.length(q("ref"))
+    fill = {info_end: end, info_type: s.variant_type(q("ref"), q("alt"))}
+    return df.withColumns({c: F.coalesce(q(c), v) if c in df.columns else v for c, v in fill.items()})
+
+
 def rename_contigs(df: DataFrame, aliases: DataFrame) -> DataFrame:
     return replace_by(df, "chrom", aliases, "alias", "chrom")
 
@@ -73,12 +80,13 @@ def left_align(df: DataFrame, chunks: DataFrame) -> DataFrame:
     """Indels moved left against the reference; other rows unchanged.
 
     ``chunks`` (contig, chunk, first, bases) cuts contigs into pieces, each with the bases of the piece before it, so a
-    row meets one chunk by an equality join and can move at least one whole piece. Rows without reference stay.
+    row meets one chunk by an equality join and can move at least one whole piece. Rows without reference stay. Only
+    indels are joined and moved; all other rows pass by.
     """
     width = chunks.agg(F.max(F.length("bases"))).first()[0] or 1
     piece = F.floor((q("pos") - 1) / F.lit(max(1, (width + 1) // 2))).cast("bigint")
-    indel = (F.length("ref") != F.length("alt")) & s.only_bases(q("ref")) & s.only_bases(q("alt"))
-    rows = df.withColumn("_piece", F.when(indel, piece))
+    indel = F.coalesce((F.length("ref") != F.length("alt")) & s.only_bases(q("ref")) & s.only_bases(q("alt")), F.lit(False))
+    rows = df.where(indel).withColumn("_piece", piece)
     c = chunks.select(q("contig").alias("_contig"), q("chunk").alias("_chunk"), q("first").alias("_first"), q("bases").alias("_bases"))
     joined = rows.join(c, (q("chrom") == F.col("_contig")) & (F.col("_piece") == F.col("_chunk")), "left").drop("_contig", "_chunk", "_piece")
     names = df.columns
@@ -94,7 +102,7 @@ def left_align(df: DataFrame, chunks: DataFrame) -> DataFrame:
             columns = [pa.array(new[n], batch.schema.field(n).type) if n in new else batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return joined.mapInArrow(run, df.schema)
+    return df.where(~indel).unionAll(joined.mapInArrow(run, df.schema))
 
 
 def first_of(df: DataFrame, column: str):

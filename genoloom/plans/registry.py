@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import annotations, featureset, groups, intervals, lookups, predict, splice, tissue_features, tracks, variants
-from ..schemas import VARIANT_KEY, q
-from ..sources import genome, text_tables
+from ..schemas import SPLICE_OUTPUT, SPLICE_SCORES, VARIANT_KEY, ddl, q
+from ..sources import genome, sinks, text_tables
 from . import bridge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,8 +43,12 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh path in the folder that the session shares, for queries that read text files."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    """A fresh path in the folder that the session shares, for queries that read files. Only local mode may go without."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+        base = "/tmp/checkpoints"
     return f"{base.rstrip('/')}/text-{uuid.uuid4().hex}"
 
 
@@ -152,7 +156,7 @@ def annotation_parse(spark: SparkSession, d: str) -> DataFrame:
     }
     raw = bridge.frame(spark, d, ANNOTATION).withColumnsRenamed(names)
     aliases = spark.createDataFrame([("1", "chr1"), ("2", "chr2")], "alias string, chrom string")
-    out = annotations.parse_annotations(raw, aliases)
+    out = annotations.parse_annotations(raw, aliases, ("stop_gained", "intron_variant"))
     return plain(out).select(
         "chrom", "start_", "end_", "ref", "alt", "gene", "transcript", "Consequence.stop_gained", "Consequence.intron_variant",
         F.col("Consequence.NMD_escaping_variant").alias("nmd"), F.col("IMPACT.HIGH").alias("high"), F.col("LoF.HC").alias("hc"),
@@ -314,7 +318,7 @@ def tissue_alias_best(spark: SparkSession, d: str) -> DataFrame:
 @query("""
 WITH m AS (SELECT concat('chr1:', CAST(l_orderkey AS VARCHAR), ':AC>G') AS variant, concat('N', CAST(l_partkey AS VARCHAR)) AS gene_name,
     concat('E', CAST(l_partkey AS VARCHAR)) AS gene_id, l_returnflag AS tissue, l_discount AS delta_logit_psi, l_quantity - 10 AS median_n
-    FROM lineitem WHERE l_linenumber = 1),
+    FROM lineitem),
   a AS (SELECT concat('chr1:', CAST(o_orderkey AS VARCHAR), ':AC>G') AS variant, concat('N', CAST(o_custkey AS VARCHAR)) AS gene_name, CAST(o_totalprice AS FLOAT) AS delta_score FROM orders),
   t AS (SELECT DISTINCT l_returnflag AS tissue FROM lineitem),
   g AS (SELECT gene_name, min(gene_id) AS own FROM m GROUP BY 1),
@@ -327,7 +331,7 @@ def splice_predictor_join(spark: SparkSession, d: str) -> DataFrame:
     junctions = bridge.frame(spark, d, """
         SELECT concat('chr1:', CAST(l_orderkey AS STRING), ':AC>G') AS variant, l_returnflag AS tissue, '' AS junction, '' AS event_type, '' AS splice_site,
           concat('E', CAST(l_partkey AS STRING)) AS gene_id, concat('N', CAST(l_partkey AS STRING)) AS gene_name, l_discount AS delta_logit_psi,
-          CAST(0 AS DOUBLE) AS ref_psi, l_quantity - 10 AS median_n, CAST(0 AS DOUBLE) AS delta_psi FROM lineitem WHERE l_linenumber = 1""")
+          CAST(0 AS DOUBLE) AS ref_psi, l_quantity - 10 AS median_n, CAST(0 AS DOUBLE) AS delta_psi FROM lineitem""")
     sites = bridge.frame(spark, d, """
         SELECT concat('chr1:', CAST(o_orderkey AS STRING), ':AC>G') AS variant, concat('N', CAST(o_custkey AS STRING)) AS gene_name,
           CAST(o_totalprice AS FLOAT) AS delta_score FROM orders""")
@@ -468,11 +472,11 @@ def tree_ensemble_predict(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 SELECT l_orderkey, l_linenumber, o_orderkey FROM (SELECT l_orderkey, l_linenumber, l_suppkey % 5 AS c, l_partkey * 10 + l_linenumber AS p FROM lineitem) l
-JOIN (SELECT o_orderkey, o_custkey % 5 AS c, o_custkey * 10 AS t, o_orderstatus = 'F' AS minus FROM orders WHERE o_orderkey % 8 = 0) o
+JOIN (SELECT o_orderkey, o_custkey % 5 AS c, o_custkey * 10 AS t, o_orderstatus = 'F' AS minus FROM orders) o
   ON l.c = o.c AND p BETWEEN t - CASE WHEN minus THEN 200 ELSE 50 END AND t + CASE WHEN minus THEN 50 ELSE 200 END""")
 def tss_window_join(spark: SparkSession, d: str) -> DataFrame:
     points = bridge.frame(spark, d, "SELECT l_orderkey, l_linenumber, l_suppkey % 5 AS chrom, l_partkey * 10 + l_linenumber AS start FROM lineitem")
-    genes = bridge.frame(spark, d, "SELECT o_orderkey, o_custkey % 5 AS chrom, o_custkey * 10 AS tss, CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '+' END AS strand FROM orders WHERE o_orderkey % 8 = 0")
+    genes = bridge.frame(spark, d, "SELECT o_orderkey, o_custkey % 5 AS chrom, o_custkey * 10 AS tss, CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '+' END AS strand FROM orders")
     out = intervals.range_join(points, intervals.strand_window(genes), "chrom", "start", width=250)
     return out.select("l_orderkey", "l_linenumber", "o_orderkey")
 
@@ -574,3 +578,238 @@ def typed_tsv_read(spark: SparkSession, d: str) -> DataFrame:
     rows.coalesce(1).write.csv(path, header=True, sep="\t")
     out = text_tables.expected_expression(spark, path)
     return out.select("gene", "tissue", "gene_is_expressed", F.col("median_expression").cast("double").alias("median_expression"))
+
+
+# --- whole tables through writers and readers ----------------------------------------------------
+
+PLACES = """
+SELECT concat('chr', CAST(l_suppkey % 5 AS VARCHAR(10))) AS chrom, l_orderkey AS start_, l_orderkey + l_linenumber AS end_, l_returnflag AS ref,
+  l_linestatus AS alt FROM lineitem"""
+
+
+@query(f"SELECT * FROM ({PLACES})")
+def sorted_parquet(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_parquet(bridge.frame(spark, d, PLACES), path, sort=["chrom", "start_"])
+    return text_tables.parquet(spark, path)
+
+
+@query(f"SELECT * FROM ({PLACES})")
+def parquet_by_input_file(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_parquet(bridge.frame(spark, d, PLACES).withColumn("vcf_file", F.concat("chrom", F.lit(".vcf"))), path, by=["vcf_file"])
+    out = text_tables.parquet(spark, path, partitions=True)
+    return out.where(F.col("vcf_file") == F.concat("chrom", F.lit(".vcf"))).drop("vcf_file")
+
+
+@query("""
+SELECT concat('chr', CAST(l_suppkey % 5 AS VARCHAR)) AS chrom, l_orderkey AS start_, l_returnflag AS tissue, l_discount AS delta_psi, CAST(NULL AS VARCHAR) AS junction FROM lineitem""")
+def declared_schema_parquet(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, "SELECT l_discount AS delta_psi, 1 AS other, l_returnflag AS tissue, l_orderkey AS start, concat('chr', CAST(l_suppkey % 5 AS STRING)) AS chrom FROM lineitem")
+    sinks.write_schema(rows, path, ddl(SPLICE_OUTPUT))
+    return plain(text_tables.parquet(spark, path)).select("chrom", "start_", "tissue", "delta_psi", "junction")
+
+
+@query("SELECT count(*) AS n, 26 AS columns FROM lineitem WHERE l_quantity < 0")
+def empty_table_keeps_schema(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_schema(bridge.frame(spark, d, "SELECT l_returnflag AS chrom FROM lineitem WHERE l_quantity < 0"), path, ddl(SPLICE_OUTPUT))
+    out = text_tables.parquet(spark, path)
+    return out.agg(F.count(F.lit(1)).alias("n")).withColumn("columns", F.lit(len(out.columns)))
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, l_returnflag, CASE WHEN l_linenumber = 2 THEN NULL ELSE 'a,\"b' END AS cell FROM lineitem")
+def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, "SELECT l_orderkey, l_returnflag, l_linenumber FROM lineitem")
+    sinks.write_csv(rows.select("l_orderkey", "l_returnflag", F.when(F.col("l_linenumber") != 2, F.lit('a,"b')).alias("cell")), path)
+    return spark.read.csv(path, header=True)
+
+
+VCF_WRITTEN = f"""
+SELECT chrom, start_ + 1 AS pos, concat(chrom, ':', CAST(start_ AS VARCHAR(20)), ':', CAST(end_ AS VARCHAR(20)), ':', ref, '>', alt) AS id, ref, alt, end_ AS info_end FROM ({PLACES})"""
+
+
+def vcf_written(spark: SparkSession, d: str, shards: int | None) -> DataFrame:
+    path = scratch(spark)
+    sinks.write_vcf(keyed(bridge.frame(spark, d, PLACES)), path, ["##fileformat=VCFv4.2"], shards=shards)
+    return genome.read_vcf(spark, path).select("chrom", "pos", "id", "ref", "alt", F.col("info_END").alias("info_end"))
+
+
+@query(VCF_WRITTEN)
+def vcf_write_read(spark: SparkSession, d: str) -> DataFrame:
+    return vcf_written(spark, d, 1)
+
+
+@query(VCF_WRITTEN)
+def vcf_shards_write_read(spark: SparkSession, d: str) -> DataFrame:
+    return vcf_written(spark, d, 7)
+
+
+@query("""
+SELECT 'chr1' AS chromosome, CAST(pos AS INTEGER) AS position, ref AS reference, len(string_split(alt, ',')) AS n_alternate, string_split(alt, ',')[1] AS first_alternate,
+  CASE WHEN pos % 2 = 0 THEN CAST(pos + 3 AS INTEGER) END AS info_end FROM alleles""")
+def vcf_to_parquet(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    info = F.when(F.col("pos") % 2 == 0, F.concat(F.lit("SVTYPE=DEL;END="), (F.col("pos") + 3).cast("string"))).otherwise(".")
+    cells = [F.lit("chr1"), q("pos").cast("string"), F.lit("."), q("ref"), q("alt"), F.lit("."), F.lit("PASS"), info]
+    bridge.frame(spark, d, "alleles").select(F.concat_ws("\t", *cells).alias("value")).write.text(f"{path}/t")
+    sinks.write_parquet(genome.as_variant_table(genome.read_vcf(spark, f"{path}/t")), f"{path}/p")
+    table = text_tables.parquet(spark, f"{path}/p").withColumnRenamed("info_END", "info_end")
+    return table.select("chromosome", "position", "reference", F.size("alternate").cast("bigint").alias("n_alternate"), F.get("alternate", F.lit(0)).alias("first_alternate"), "info_end")
+
+
+@query(f"SELECT id, gene AS x, consequence AS x_2, lof AS x_3 FROM ({ANNOTATION})")
+def duplicate_header_names(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, ANNOTATION).select(F.concat_ws("\t", "id", "gene", F.coalesce("consequence", F.lit("-")), F.coalesce("lof", F.lit("-"))).alias("value"))
+    spark.createDataFrame([("## x",), ("#Uploaded_variation\tx\tx\tx",)], "value string").coalesce(1).write.text(f"{path}/head")
+    rows.write.text(f"{path}/rows")
+    return text_tables.read_annotations(spark, f"{path}/rows", header=f"{path}/head").withColumnRenamed(annotations.ID, "id")
+
+
+@query("""
+SELECT concat('G', CAST(p_partkey AS VARCHAR)) AS gene, p_brand AS tissue, p_type AS transcript, CAST(CAST(p_size AS FLOAT) AS DOUBLE) AS median_proportion FROM part""")
+def isoform_tsv_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, """
+        SELECT p_type AS transcript, '0.25' AS mean_transcript_proportions, CAST(p_size AS STRING) AS median_transcript_proportions, '' AS sd_transcript_proportions,
+          concat('G', CAST(p_partkey AS STRING)) AS gene, 'all' AS tissue_type, p_brand AS tissue FROM part""")
+    rows.coalesce(1).write.csv(path, header=True, sep="\t")
+    out = text_tables.isoform_proportions(spark, path)
+    return out.select("gene", "tissue", "transcript", F.col("median_transcript_proportions").cast("double").alias("median_proportion"))
+
+
+@query("""
+SELECT concat('chr1:', CAST(l_orderkey AS VARCHAR), ':A>C') AS variant, concat('N', CAST(l_partkey AS VARCHAR)) AS gene_name, CAST(CAST(l_linenumber AS FLOAT) AS DOUBLE) AS delta_score FROM lineitem""")
+def splice_csv_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, "SELECT 'x' AS other, concat('N', CAST(l_partkey AS STRING)) AS gene_name, concat('chr1:', CAST(l_orderkey AS STRING), ':A>C') AS variant, CAST(l_linenumber AS STRING) AS delta_score FROM lineitem")
+    more = [f.name for f in ddl(SPLICE_SCORES).fields if f.name not in rows.columns]
+    rows.withColumns({c: F.lit(None).cast("string") for c in more}).coalesce(1).write.csv(path, header=True)
+    return text_tables.splice_scores(spark, path).select("variant", "gene_name", F.col("delta_score").cast("double").alias("delta_score"))
+
+
+@query("SELECT n_name AS contig, CAST(0 AS BIGINT) AS start_, CAST(100 + n_nationkey + 1 AS BIGINT) AS end_ FROM nation")
+def fasta_index_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    bridge.frame(spark, d, "SELECT n_name, 100 + n_nationkey AS n, 7 AS o, 60 AS b, 61 AS w FROM nation").write.csv(path, sep="\t")
+    return plain(genome.read_fai(spark, path))
+
+
+@query("""
+WITH s AS (SELECT n_name AS contig, repeat('ACGTT', 10 * CAST(n_nationkey AS BIGINT)) AS t FROM nation WHERE n_nationkey > 0),
+  k AS (SELECT contig, t, unnest(range(0, CAST(ceil(length(t) / 64) AS BIGINT))) AS chunk FROM s)
+SELECT contig, CAST(chunk AS BIGINT) AS chunk, greatest(0, (chunk - 1) * 64) + 1 AS first_,
+  substr(t, greatest(0, (chunk - 1) * 64) + 1, least((chunk + 1) * 64, length(t)) - greatest(0, (chunk - 1) * 64)) AS bases FROM k""")
+def fasta_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    lines = bridge.frame(spark, d, "SELECT n_name, CAST(n_nationkey AS INT) AS k FROM nation").select(
+        "n_name", F.explode(F.concat(F.array(F.concat(F.lit(">"), "n_name", F.lit(" note"))), F.array_repeat(F.lit("acgtt" * 2), F.col("k") * 5))).alias("value")
+    )
+    lines.coalesce(1).select("value").write.text(path)
+    return genome.read_fasta(spark, path, piece=64).withColumnRenamed("first", "first_")
+
+
+# --- order, keys and types ------------------------------------------------------------------------
+
+
+@query(f"""
+WITH b AS ({BEST}), v AS (SELECT DISTINCT concat('chr', CAST(o_custkey % 5 AS VARCHAR)) AS chrom, o_orderkey AS start_, o_orderkey + 1 AS end_, 'A' AS ref, 'C' AS alt FROM orders)
+SELECT chrom, start_, gene, tissue, score, row_number() OVER (ORDER BY chrom NULLS FIRST, start_ NULLS FIRST, gene NULLS FIRST, tissue NULLS FIRST) AS place
+FROM v LEFT JOIN b USING (chrom, start_, end_, ref, alt) QUALIFY place <= 200""")
+def ordered_top_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT concat('chr', CAST(o_custkey % 5 AS STRING)) AS chrom, o_orderkey AS start, o_orderkey + 1 AS `end`, 'A' AS ref, 'C' AS alt FROM orders").distinct()
+    best = groups.best_per_group(keyed(bridge.frame(spark, d, "scores")), [*VARIANT_KEY, "gene", "tissue"], "score", ties=["l_linenumber"])
+    top = variants.join_scores(rows, best, list(VARIANT_KEY), ordered=True).limit(200)  # a report of the first rows
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("bigint")
+    return plain(top).select("chrom", "start_", "gene", "tissue", "score", place.alias("place"))
+
+
+@query("""
+SELECT coalesce('N' || CAST(CASE WHEN n_nationkey < 10 THEN n_nationkey END AS VARCHAR), n_name) AS chrom, c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def contig_rename(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT n_name AS chrom, c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey")
+    return variants.rename_contigs(rows, bridge.frame(spark, d, "aliases").withColumnRenamed("name", "chrom"))
+
+
+@query("""
+SELECT o_orderkey, concat('chr1:', CAST(pos - 1 AS VARCHAR), ':', CAST(CASE WHEN o_orderkey % 5 = 0 THEN pos + 10 ELSE pos - 1 + length(ref) END AS VARCHAR), ':', ref, '>', a) AS id,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'given' WHEN NOT regexp_matches(ref, '^[ACGTacgt]+$') OR NOT regexp_matches(a, '^[ACGTacgt]+$') THEN 'OTHER' WHEN length(ref) <> length(a) THEN 'INDEL'
+    WHEN upper(ref) = upper(a) THEN 'REF' WHEN length(ref) = 1 THEN 'SNP' ELSE 'MNP' END AS kind
+FROM (SELECT *, unnest(string_split(alt, ',')) AS a FROM alleles)""")
+def tags_and_ids(spark: SparkSession, d: str) -> DataFrame:
+    rows = variants.split_alleles(bridge.frame(spark, d, "alleles").withColumns({"info_END": F.when(F.col("o_orderkey") % 5 == 0, F.col("pos") + 10), "info_TYPE": F.when(F.col("o_orderkey") % 7 == 0, "given")}))
+    tagged = variants.with_tags(rows)
+    ident = s.format_variant_id(F.lit("chr1"), F.col("pos") - 1, F.col("info_END"), F.col("ref"), F.col("alt"))
+    return tagged.select("o_orderkey", ident.alias("id"), F.col("info_TYPE").alias("kind"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(1 AS BIGINT) ELSE CAST(3 + 2 * (o_custkey % 90) AS BIGINT) END AS pos, CASE o_orderstatus WHEN 'F' THEN 'GCA' WHEN 'O' THEN 'A' ELSE 'ACA' END AS ref,
+  CASE o_orderstatus WHEN 'F' THEN 'G' WHEN 'O' THEN 'C' ELSE '<DEL>' END AS alt FROM orders""")
+def left_alignment(spark: SparkSession, d: str) -> DataFrame:
+    bases = "G" + "CA" * 100 + "TTTT"
+    chunks = [("chr1", k, max(0, (k - 1) * 128) + 1, bases[max(0, (k - 1) * 128) : (k + 1) * 128]) for k in range(2)]
+    reference = spark.createDataFrame(chunks, "contig string, chunk long, first long, bases string")
+    rows = bridge.frame(spark, d, """
+        SELECT o_orderkey, 'chr1' AS chrom, CAST(3 + 2 * (o_custkey % 90) AS BIGINT) AS pos, CASE o_orderstatus WHEN 'O' THEN 'A' ELSE 'ACA' END AS ref,
+          CASE o_orderstatus WHEN 'F' THEN 'A' WHEN 'O' THEN 'C' ELSE '<DEL>' END AS alt FROM orders""")
+    return variants.left_align(rows, reference).drop("chrom")
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(NULL AS VARCHAR) AS gene FROM lineitem")
+def null_column_types(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT l_orderkey, l_linenumber, NULL AS gene FROM lineitem")
+    return groups.cast_void(rows, bridge.frame(spark, d, "scores"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 1 THEN NULL ELSE round(2 * CASE WHEN l_linenumber = 2 THEN 0.5 ELSE l_discount END + CASE WHEN l_linenumber = 3 THEN 0 ELSE l_tax END, 5) END AS score
+FROM lineitem""")
+def missing_numbers_predict(spark: SparkSession, d: str) -> DataFrame:
+    nan = F.lit(float("nan"))
+    rows = bridge.frame(spark, d, "SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM lineitem").select(
+        *MODEL_KEYS, F.when(F.col("l_linenumber") == 2, nan).otherwise(F.col("l_discount")).alias("x.y"),
+        F.when(F.col("l_linenumber") == 3, nan).otherwise(F.col("l_tax")).alias("z"), F.when(F.col("l_linenumber") == 1, nan).otherwise(1.0).alias("needed"),
+    )
+    out = predict.predict_native(rows, predict.linear({"x.y": 2.0, "z": 1.0}), "score", ["x.y", "z"], MODEL_KEYS, ["needed"], {"x.y": 0.5}, keep_features=False)
+    return out.withColumn("score", F.round("score", 5))
+
+
+ANNOTATED_SQL = TISSUE_SQL.replace("CROSS JOIN nation", """LEFT JOIN (SELECT concat('G', CAST(p_partkey % 4 AS VARCHAR)) AS gene, concat('T', CAST(p_partkey AS VARCHAR)) AS transcript
+  FROM part CROSS JOIN (SELECT 1 AS i UNION ALL SELECT 2) WHERE p_size % 3 <> 0 AND (i = 1 OR p_size % 5 = 0)) g ON v.gene = g.gene AND v.transcript = g.transcript
+CROSS JOIN (SELECT n_name FROM nation UNION ALL SELECT NULL)""")
+
+
+@query(ANNOTATED_SQL)
+def tissue_features_annotated(spark: SparkSession, d: str) -> DataFrame:
+    """With a transcript annotation that repeats and lacks transcripts, and a null tissue."""
+    inputs = tissue_inputs(spark, d)
+    gtf = bridge.frame(spark, d, """
+        SELECT concat('G', CAST(p_partkey % 4 AS STRING), '.', CAST(i AS STRING)) AS gene_id, concat('T', CAST(p_partkey AS STRING), '.7') AS transcript_id
+        FROM part CROSS JOIN (SELECT 1 AS i UNION ALL SELECT 2) WHERE p_size % 3 <> 0 AND (i = 1 OR p_size % 5 = 0)""")
+    inputs["tissues"] = inputs["tissues"].union(spark.sql("SELECT CAST(NULL AS STRING)"))
+    return tissue_output(tissue_features.tissue_features(**inputs, gtf=gtf))
+
+
+@query("""
+SELECT c_custkey, l_orderkey, l_linenumber, (k = 1) = (l_extendedprice > 20000) AS donor FROM (SELECT c_custkey, c_nationkey % 5 AS c, c_custkey * 7 AS p FROM customer) v
+JOIN (SELECT l_orderkey, l_linenumber, l_extendedprice, l_suppkey % 5 AS c, l_partkey * 10 + CASE WHEN k = 1 THEN 0 ELSE 50 END AS site, k FROM lineitem CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2)) s
+  ON v.c = s.c AND abs(p - site) <= 20""")
+def junctions_near_variants(spark: SparkSession, d: str) -> DataFrame:
+    maps = bridge.frame(spark, d, """
+        SELECT l_orderkey, l_linenumber, concat(CAST(l_suppkey % 5 AS STRING), ':', CAST(l_partkey * 10 AS STRING), '-', CAST(l_partkey * 10 + 50 AS STRING), ':',
+          CASE WHEN l_extendedprice > 20000 THEN '+' ELSE '-' END) AS junction FROM lineitem""")
+    rows = bridge.frame(spark, d, "SELECT c_custkey, CAST(c_nationkey % 5 AS STRING) AS chrom, c_custkey * 7 AS start FROM customer")
+    return splice.near_sites(rows, splice.junction_sites(maps), 20).select("c_custkey", "l_orderkey", "l_linenumber", "donor")
+
+
+@query("""
+SELECT o_orderkey, c_custkey, unnest([-43, 0, 43]) AS shift FROM (SELECT c_custkey, c_nationkey AS c, c_custkey * 13 AS p FROM customer) v
+JOIN (SELECT o_orderkey, o_custkey % 25 AS c, o_custkey * 11 AS t FROM orders) o ON v.c = o.c AND p BETWEEN t - 50 AND t + 200""")
+def model_sequence_requests(spark: SparkSession, d: str) -> DataFrame:
+    rows = bridge.frame(spark, d, "SELECT c_custkey, c_nationkey AS chrom, c_custkey * 13 AS start FROM customer")
+    genes = bridge.frame(spark, d, "SELECT o_orderkey, o_custkey % 25 AS chrom, o_custkey * 11 AS tss, '+' AS strand FROM orders")
+    return tracks.sequence_requests("alternative", genes, rows).select("o_orderkey", "c_custkey", "shift")

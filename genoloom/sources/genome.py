@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import q
@@ -90,18 +87,40 @@ def read_fai(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fasta(spark: SparkSession, path: str, piece: int = 65_536) -> DataFrame:
     """(contig, chunk, first, bases): each chunk holds its piece of a contig after the piece before it, upper case;
-    ``first`` is the 1-based position of its first base."""
-    records = spark.read.option("lineSep", ">").text(path).where(F.length("value") > 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                head, _, body = text.partition("\n")
-                bases = "".join(body.split()).upper()
-                for k in range(-(-len(bases) // piece)):
-                    first = max(0, (k - 1) * piece)
-                    values = (head.split()[0], k, first + 1, bases[first : (k + 1) * piece])
-                    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=["contig", "chunk", "first", "bases"])
-
-    return records.mapInArrow(run, "contig string, chunk bigint, first bigint, bases string")
+    ``first`` is the 1-based position of its first base.
+
+    Lines are placed block by block: a window numbers the bases of a block of the file, and one row a contig and block
+    carries contigs and positions over from block to block. What a task holds is a block of lines, then two pieces; no
+    contig is ever one value. A contig without bases has no chunk.
+    """
+    meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    lines = spark.read.text(path).select(F.btrim("value").alias("value"), *meta, F.monotonically_increasing_id().alias("n"))
+    head = F.col("value").startswith(">")
+    placed = Window.partitionBy("file", "block").orderBy("n")
+    rows = lines.select(
+        "file", "block", "n",
+        F.when(head, F.regexp_extract("value", r"^>\s*(\S*)", 1)).alias("name"),
+        F.when(head, "").otherwise(F.upper(F.regexp_replace("value", r"\s", ""))).alias("bases"),
+        F.sum(head.cast("int")).over(placed).alias("part"),
+    )
+    size = F.length("bases").cast("bigint")
+    inside = Window.partitionBy("file", "block", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("within", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    parts = rows.groupBy("file", "block", "part").agg(F.max("name").alias("name"), F.sum(size).alias("size"))
+    in_file = Window.partitionBy("file").orderBy("block", "part")
+    parts = parts.withColumns({"contig": F.last("name", True).over(in_file), "nth": F.count("name").over(in_file)})
+    ahead = Window.partitionBy("file", "nth").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("file", "nth")
+    parts = parts.withColumns({"before": F.coalesce(F.sum("size").over(ahead), F.lit(0)), "total": F.sum("size").over(whole)})
+    parts = parts.where("contig IS NOT NULL AND size > 0").select("file", "block", "part", "contig", "nth", "before", "total")
+    at = F.col("before") + F.col("within")
+    found = rows.where("bases <> ''").join(parts, ["file", "block", "part"]).select("file", "contig", "nth", "total", at.alias("at"), "bases")
+    own = F.sequence(F.expr(f"at DIV {piece}"), F.expr(f"(at + length(bases) - 1) DIV {piece}"))
+    cut = found.select("*", F.explode(own).alias("k"))
+    low, high = F.greatest(F.col("at"), F.col("k") * piece), F.least(F.col("at") + F.length("bases"), (F.col("k") + 1) * piece)
+    text = F.substr("bases", (low - F.col("at") + 1).cast("int"), (high - low).cast("int"))
+    twice = F.explode(F.array("k", F.col("k") + 1)).alias("chunk")
+    dealt = cut.select("file", "contig", "nth", "total", low.alias("low"), text.alias("text"), twice).where(F.col("chunk") * piece < F.col("total"))
+    ordered = F.sort_array(F.collect_list(F.struct("low", "text")))
+    chunks = dealt.groupBy("file", "contig", "nth", "chunk").agg(ordered.alias("t"))
+    return chunks.select("contig", "chunk", (F.get("t", F.lit(0))["low"] + 1).alias("first"), F.array_join("t.text", "").alias("bases"))

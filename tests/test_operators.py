@@ -42,6 +42,12 @@ def flat(df):
 def test_forms_agree(spark, monkeypatch, vep, iso, wide):
     monkeypatch.setattr(tissue_features, "WIDE", wide)
     gtf = spark.createDataFrame([("g.1", "t1.1"), ("g.1_PAR", "t1.2"), ("g.2", "t2")], "gene_id string, transcript_id string")
+    nulls = iso.union(spark.createDataFrame([("g", "t1", None, 0.7)], ISO))
+    some = spark.createDataFrame([(None,), ("liver",)], "tissue string")
+    for isoforms, tissues in ((nulls, None), (nulls, some), (iso, some), (nulls, some.where("tissue IS NOT NULL"))):
+        got = flat(tissue_features.tissue_features(vep, isoforms, tissues))
+        assert got == flat(tissue_features.tissue_features_direct(vep, isoforms, tissues))
+        assert all(f["stop.proportion"] == 0 for (_, _, t), f in got.items() if t is None)
     for kw in ({}, {"gtf": gtf}, {"gtf": gtf, "dedupe": True}, {"labels": ["stop", "LoF_HC"]}):
         assert flat(tissue_features.tissue_features(vep, iso, **kw)) == flat(tissue_features.tissue_features_direct(vep, iso, **kw))
     copies = flat(tissue_features.tissue_features(vep, iso, gtf=gtf))
@@ -178,3 +184,26 @@ def test_tracks_and_windows(spark):
         assert sorted((r.start, r.strand) for r in got.collect()) == [(-100, "-"), (49, "-"), (50, "+"), (50, "-"), (300, "+")]
     with pytest.raises(ValueError):
         tracks.over_isoforms(df, [], [], "other")
+    with pytest.raises(ValueError, match="allele type"):
+        tracks.sequence_requests("both", genes)
+    assert tracks.sequence_requests("reference", genes, shift=0).count() == 2 and tracks.sequence_requests("alternative", genes, points).count() == 15
+    kinds = spark.createDataFrame([("A", "C"), ("AC", "GT"), ("A", "AT"), ("A", "<DEL>"), ("a", "A"), ("A", "."), (None, "A")], "ref string, alt string")
+    got = [r.info_TYPE for r in variants.with_tags(kinds.withColumn("pos", F.lit(5))).collect()]
+    assert got == ["SNP", "MNP", "INDEL", "OTHER", "REF", "REF", None]
+
+
+def test_lookup_size_is_bounded_in_bytes(spark):
+    df = spark.range(10).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("t"))
+    hinted = lambda d: "hint" in d._jdf.queryExecution().logical().toString().lower()
+    assert hinted(lookups.small(df)) and not hinted(lookups.small(df, size=5000)) and not hinted(lookups.small(df, rows=9))
+
+
+def test_variant_ids_with_further_marks(spark):
+    import re
+
+    ids = ["HLA-A*01:01:5:6:A>C", "1:5:6:A>G]17:198982]", "1:5:6:A>C>G", "1:5:6:>A>C", "1:5:6:A>", ":5:6:A>C", "1:x:6:A>C", "1:5:6:A C>G", "1:5:6:<DEL>>T", " 1:5:6:A>C"]
+    df = spark.createDataFrame([(i,) for i in ids], "c string")
+    got = [tuple(r) for r in df.select(*[v.alias(k) for k, v in s.parse_variant_id(F.col("c")).items()]).collect()]
+    for i, row in zip(ids, got):
+        found = re.search(s.VARIANT_ID, i)
+        assert row == ((found[1], int(found[2]), int(found[3]), found[4], found[5]) if found else (None,) * 5), i

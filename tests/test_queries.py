@@ -36,10 +36,12 @@ def test_query(spark, duck, name):
 
 
 def test_entry_survives_without_the_optional_package(monkeypatch):
-    import importlib.util
+    import sys
 
     import __spark_entry__ as entry
 
-    find = importlib.util.find_spec
-    monkeypatch.setattr(importlib.util, "find_spec", lambda n, *a: None if n in ("corpus_pipeline", "genoloom.llm") else find(n, *a))
-    assert set(entry.queries()) == set(registry.QUERIES) and set(entry.oracle_sql()) == set(registry.ORACLE_SQL)
+    for gone in ("corpus_pipeline", "genoloom.llm"):
+        with monkeypatch.context() as m:
+            m.setitem(sys.modules, gone, None)
+            m.delitem(sys.modules, "corpus_pipeline" if gone != "corpus_pipeline" else "genoloom.llm.queries", raising=False)
+            assert set(entry.queries()) == set(registry.QUERIES) and set(entry.oracle_sql()) == set(registry.ORACLE_SQL)
