@@ -1,6 +1,9 @@
 import hashlib
 import re
+import time
+from itertools import accumulate
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,7 +60,7 @@ def done(spark):
     rows = [(i, t, "x", "y") for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(rows, "doc_id int, text string, spans string, found string")
     shown = pii.detect(docs).withColumns({"b": pii.written(F.col("base")), "all": pii.written(F.col("spans"))})
-    return shown.withColumn("clean", pii.redacted(F.col("text"), F.col("spans"))).orderBy("doc_id").collect()
+    return pii.with_redacted(shown.withColumn("clean", F.col("text")), "clean").orderBy("doc_id").collect()
 
 
 def test_base_matches_the_patterns(done):
@@ -97,3 +100,78 @@ def test_spelt_addresses_need_no_word_before_them(spark):
     rows = [(1, "say jane (at) example (dot) org please"), (2, "jane.doe [at] example.org"), (3, "ask a@b.com or c.d@mail3.example.com"), (4, "100 200 300")]
     got = {r.doc_id: r.s for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", pii.written(F.col("spans")).alias("s")).collect()}
     assert got == {1: "email:4:31", 2: "email:0:25", 3: brute(rows[2][1]), 4: ""}
+
+
+def test_running_sums_and_maxima(spark):
+    rng = np.random.default_rng(3)
+    rows = [(n, rng.integers(0, 1000, n).tolist()) for n in (0, 1, 2, 127, 128, 129, 256, 16384, 16385, 40000)]
+    df = spark.createDataFrame(rows, "n int, v array<int>")
+    sums, most = pii.running(F.col("v"), lambda a, b: a + b, 0), pii.running(F.col("v"), F.greatest, -1)
+    for n, v, s, m in df.select("n", "v", sums, most).collect():
+        assert s == [0, *accumulate(v)][:n] and m == [-1, *accumulate(v, max)][:n]
+
+
+def slow_spans(found):
+    """The rule of added spans with all pairs; a candidate is (start, kind, end, loose, valid, accepted)."""
+    base = sorted(c[:3] for c in found if c[4])
+    more = sorted(c[:3] for c in found if c[3] and c[5])
+    meets = lambda a, b: a[0] < b[2] and b[0] < a[2]
+    alone = [a for a in more if not any(meets(a, b) for b in base)]
+    first = [a for i, a in enumerate(alone) if all(b[2] <= a[0] for b in alone[:i])]
+    return base, sorted(base + first)
+
+
+def slow_redacted(text, spans):
+    out, at = [], 0
+    for a, kind, b in spans:
+        if a >= at:
+            out += [text[at:a], f"[{pii.KINDS[kind].upper()}]"]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_added_spans_against_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice(list("aé🙂 "), 300))
+        n = 0 if i % 20 == 0 else int(rng.integers(1, 40))
+        found = []
+        for _ in range(n):
+            a, loose = int(rng.integers(0, 280)), int(rng.integers(0, 2))
+            found.append((a, int(rng.integers(0, 4)), a + int(rng.integers(1, 19)), loose, not loose and rng.random() < 0.4, bool(rng.random() < 0.6)))
+        rows.append((i, text, list(dict.fromkeys(found))))
+    fields = "start int, kind int, end int, loose int, valid boolean, " + ", ".join(f"{v} int" for v in pii.VOTES) + ", size int"
+    data = [(i, t, [(*c[:5], *[1] * len(pii.VOTES), 2 * c[5]) for c in found]) for i, t, found in rows]
+    df = spark.createDataFrame(data, f"doc_id int, text string, _p_found array<struct<{fields.replace(' int', ':int').replace(' boolean', ':boolean')}>>")
+    made = pii.with_spans(df, {("", 0): -5.0, ("size", 2): 10.0})
+    got = pii.with_redacted(made.withColumn("clean", F.col("text")), "clean").orderBy("doc_id").collect()
+    for r, (_, text, found) in zip(got, rows, strict=True):
+        base, spans = slow_spans(found)
+        assert [tuple(x) for x in r.base] == base and [tuple(x) for x in r.spans] == spans
+        assert r.clean == slow_redacted(text, spans)
+
+
+def test_very_long_texts_take_time_in_proportion(spark):
+    numbers = " ".join(f"{i % 97 + 1}," for i in range(100_000))
+    mails = "".join(f"x{i}@mail.example.com; +49 30 1234{i % 90 + 10}\n" for i in range(25_000))
+    start = time.monotonic()
+    docs = spark.createDataFrame([(1, numbers), (2, mails)], "doc_id int, text string")
+    got = pii.with_redacted(pii.detect(docs)).orderBy("doc_id").select(F.size("spans").alias("n"), "text").collect()
+    assert time.monotonic() - start < 90
+    assert (got[0].n, got[0].text) == (0, numbers) and got[1].n == 50_000 and got[1].text == "[EMAIL]; [PHONE]\n" * 25_000
+
+
+def test_loose_matches_of_each_kind(spark):
+    plain = "mail a.b@mail.com or c_d@web.org now, ip 10.0.0.1 or 192.168.7.9 here, card 4532015112830366 or 5500005555555559 too, call +49 30 12345610 please"
+    wrong = "order 4532015112830361 and version 300.1.2.3, id 12345678901234, +12 3"
+    rows = [(i, plain) for i in range(30)] + [(50 + i, wrong) for i in range(20)] + [(100, "jane (at) example (dot) org"), (101, "host 10[.]0[.]0[.]17 up"), (102, "card 4532.0151.1283.0366 ok"), (103, "card 4532.0151.1283.0367 ok"),
+            (104, "phone (212) 555-0147 now"), (105, "rows 100 200 300 and 12 34 56"), (106, "on 2024-01-15"), (107, "900[.]1[.]1[.]1")]
+    got = {r.doc_id: r.s for r in pii.detect(spark.createDataFrame(rows, "doc_id int, text string")).select("doc_id", pii.written(F.col("spans")).alias("s")).collect()}
+    assert got[0] == brute(plain) and got[50] == "" and [got[i] for i in range(100, 108)] == ["email:0:27", "ip:5:20", "card:5:24", "", "phone:6:20", "", "", ""]
+
+
+def test_repeated_rows_and_extra_columns(spark):
+    rows = [(1, "a@b.com"), (1, "a@b.com"), (None, "a@b.com")]
+    got = pii.detect(spark.createDataFrame(rows, "doc_id int, text string").withColumns({"BASE": F.lit(1), "_p_more": F.lit(2)})).collect()
+    assert len(got) == 3 and all(len(r.spans) == 1 for r in got)
