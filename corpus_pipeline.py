@@ -50,8 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each span of personal data replaced by its kind in brackets."""
-    found = pii.detect(docs)
-    clean = found.withColumn("text", pii.redacted(F.col("text"), F.col("spans")))
+    clean = pii.with_redacted(pii.detect(docs))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
