@@ -35,7 +35,7 @@ from .common import documents, table
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
-ACCEPT = 0.5
+ACCEPT = 0.8
 ROUNDS = 40
 
 _LOCAL = "A-Za-z0-9._%+-"
