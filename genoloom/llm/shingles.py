@@ -1,59 +1,45 @@
 """Texts whose sets of five-word shingles have a Jaccard similarity of ``LEAST`` or more, and the groups they link.
 
-MinHash keys only say which texts to compare; whether two texts are linked is decided on their whole sets of shingle
-hashes. A text has ``BANDS`` keys of ``ROWS`` least hashes each. A pair at a similarity of 0.8 shares none of them with a
-probability of (1 - 0.8**5)**28, 1.5 in 100,000, and fewer above; that pair is still found if other texts chain the two.
+SimHash says which texts to compare: the fingerprints of their sets are indexed by deletion variants (``simhash.similar_scheme``),
+and pairs that share a key and are near are proposed. Whether two texts are linked is decided on their whole sets of
+shingle hashes. A pair at a similarity of 0.8 isn't proposed with a probability of about 0.005, fewer above; that pair is
+still found if other texts chain the two.
 
-Texts that share a key, directly or by a chain, are one cluster. A cluster's sets meet in one task, where a breadth-first
-search finds a spanning forest of its links: every text found is compared with all texts not found yet, so whatever is
-linked within a cluster is connected, whether the pair shares a key or not. No cluster is capped.
+Texts that are proposed for each other, directly or by a chain, are one cluster. A cluster's sets meet in one task, where a
+breadth-first search finds a spanning forest of its links: every text found is compared with all texts not found yet, so
+whatever is linked within a cluster is connected, whether the pair shares a key or not. No cluster is capped.
 
-Scale: texts with equal sets are one node, whatever their number. Keys and links are as many as nodes; the sets of texts
-that share no key are never written, and those of the others are shuffled once. A cluster is held by one task, as hashes.
+Scale: texts with equal sets are one node, whatever their number. Keys grow in width with the number of nodes; the sets of
+texts that are near none are never written, and those of the others are shuffled once. A cluster is held by one task, as hashes.
 
 Defined results: null, empty and blank texts have the empty set, equal to each other and similar to nothing else; texts
-of fewer words than a shingle are one shingle; rows that share a doc_id are one node, as in ``simhash``; a null doc_id has
-no component and links nothing.
+of fewer words than a shingle are one shingle; rows are linked by their texts alone, so rows that share a doc_id may stand in
+several components, and a row without a doc_id is in that of its text; a component without any doc_id has a null name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import arrow_schema, batch_with, extended, pieces, table
 from .components import components
 
 SHINGLE = 5
 #: The least similarity of a link, as a fraction.
 LEAST = (4, 5)
-BANDS, ROWS = 28, 5
-SEED = 42
 #: Clustered nodes whose ids are broadcast at most; more are joined by a shuffle.
 BROADCAST_NODES = 200_000
 
-_RNG = np.random.default_rng(SEED)
-_FLIP, _MULTIPLY = (_RNG.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64) for _ in range(2))
-_MULTIPLY |= np.uint64(1)
-
 
 def hashes(text: str | None) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's shingles."""
-    from xxhash import xxh64_intdigest
-
-    found = (text or "").encode().lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    data = b" ".join(found)
-    n = max(1, len(found) - SHINGLE + 1)
-    starts = list(accumulate((len(w) + 1 for w in found), initial=0))
-    ends = starts[SHINGLE:] if n > 1 else [len(data) + 1]
-    return np.unique(np.fromiter((xxh64_intdigest(data[a : b - 1], SEED) for a, b in zip(starts[:n], ends)), np.uint64, n))
+    return np.unique(simhash.shingle_hashes(text, SHINGLE))
 
 
 def identity(found: np.ndarray) -> tuple[int, int]:
@@ -63,34 +49,27 @@ def identity(found: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(xxh3_128_digest(found.tobytes()), np.int64).tolist())
 
 
-def keys(found: np.ndarray) -> np.ndarray:
-    """The set's key of each band; the empty set has none."""
-    from xxhash import xxh64_intdigest
-
-    if not len(found):
-        return np.zeros(0, np.int64)
-    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    for at in range(0, len(found), 1 << 12):  # a very long text is never one matrix
-        least = np.minimum(least, ((found[at : at + (1 << 12)] ^ _FLIP) * _MULTIPLY).min(axis=1))
-    bands = least.reshape(BANDS, ROWS)
-    return np.array([xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(bands)], np.uint64).view(np.int64)
-
-
-def with_sets(df: DataFrame, whole: bool) -> DataFrame:
-    """``df`` without its text, with the set's name (s0, s1) and its hashes (``whole``) or else its keys."""
-    name = "found" if whole else "keys"
-    schema = extended(df.drop("text").schema, ("s0", "bigint"), ("s1", "bigint"), (name, "array<bigint>"))
+def with_sets(df: DataFrame, words: int) -> DataFrame:
+    """``df`` without its text, with the set's name (s0, s1) and its fingerprint of so many words (null for the empty set),
+    or its hashes ``found`` where ``words`` is 0."""
+    columns = [f"fp{i}" for i in range(words)]
+    schema = extended(df.drop("text").schema, ("s0", "bigint"), ("s1", "bigint"), *[(c, "bigint") for c in columns], *([] if words else [("found", "array<bigint>")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
             for batch in pieces(large, "text"):
                 sets = [hashes(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
                 names = np.array([identity(s) for s in sets], np.int64).reshape(-1, 2)
-                values = [s.view(np.int64) if whole else keys(s) for s in sets]
-                ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
-                s0, s1 = (pa.array(np.ascontiguousarray(names[:, i])) for i in (0, 1))
-                yield batch_with(batch.drop_columns(["text"]), s0=s0, s1=s1, **{name: lists})
+                more = {f"s{i}": pa.array(np.ascontiguousarray(names[:, i])) for i in (0, 1)}
+                if words:
+                    none = np.array([not len(s) for s in sets], bool)
+                    fps = np.array([simhash.majority(s, words) for s in sets], np.uint64).reshape(-1, words).view(np.int64)
+                    more |= {c: pa.array(np.ascontiguousarray(fps[:, i]), mask=none) for i, c in enumerate(columns)}
+                else:
+                    ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                    flat = np.concatenate([np.zeros(0, np.int64), *[s.view(np.int64) for s in sets]])
+                    more["found"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield batch_with(batch.drop_columns(["text"]), **more)
 
     return df.mapInArrow(run, schema)
 
@@ -132,19 +111,19 @@ def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 LINKS = "a bigint, b bigint"
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b): links that connect all similar nodes, from rows (doc_id, text) and nodes (s0, s1, node, keys)."""
-    each = nodes.select("node", F.posexplode("keys").alias("band", "key"))
-    hubs = each.groupBy("band", "key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").drop("other")
-    meets = each.join(hubs, ["band", "key"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+def links(rows: DataFrame, nodes: DataFrame, scheme: simhash.Scheme) -> DataFrame:
+    """(a, b): links that connect all similar nodes, from rows (r0, r1, text) and nodes (node, r0, r1, fp0, ...)."""
+    # texts with the same fingerprint but other sets: the smallest stands for them among the proposals
+    whole = nodes.where("fp0 IS NOT NULL")
+    heads = table(whole.groupBy(*scheme.columns).agg(F.min("node").alias("node"), F.max("node").alias("last")), "heads")
+    same = whole.join(heads.where("node <> last").withColumnRenamed("node", "head"), scheme.columns).where("node <> head")
+    meets = simhash.links(heads.drop("last"), scheme).union(same.select(F.col("node").alias("a"), F.col("head").alias("b")))
     labels = table(components(meets), "clusters")
     named = labels.union(labels.select(F.col("label").alias("node"), "label").distinct())
-    members = table(nodes.select("node", "s0", "s1").join(named, "node"), "members")
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
+    members = table(nodes.select("node", *ROW).join(named, "node"), "members")
     few = members.count() <= BROADCAST_NODES
-    again = with_sets(docs.join(F.broadcast(wanted) if few else wanted.hint("merge"), "doc_id", "left_semi"), True)
-    held = again.select(F.col("doc_id").cast("bigint").alias("node"), "s0", "s1", "found")
-    dealt = held.join(members, ["node", "s0", "s1"]).select("label", "node", "s0", "s1", "found").repartition("label").sortWithinPartitions("label", "node", "s0", "s1")
+    again = with_sets(rows.join(F.broadcast(members) if few else members.hint("merge"), list(ROW)).select("label", "node", "text"), 0)
+    dealt = again.select("label", "node", "found").repartition("label").sortWithinPartitions("label", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(LINKS)
@@ -156,8 +135,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(ends, schema=schema)
 
         for batch in batches:
-            labels_, nodes_, s0, s1 = (batch.column(i).to_pylist() for i in range(4))
-            for i, name in enumerate(zip(labels_, nodes_, s0, s1)):
+            for i, name in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 if name == last:  # a row that stands twice
                     continue
                 if name[0] != label:
@@ -166,25 +144,63 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     label, names, sets = name[0], [], []
                 last = name
                 names.append(name[1])
-                sets.append(batch.column(4)[i].values.to_numpy(zero_copy_only=False).view(np.uint64))
+                sets.append(batch.column(2)[i].values.to_numpy(zero_copy_only=False).view(np.uint64))
         if sets:
             yield flush()
 
     return dealt.mapInArrow(run, LINKS)
 
 
+#: Two hashes of a row's key and text name it, whatever its key.
+ROW = ("r0", "r1")
+
+
+def row_names(key: Column, text: Column) -> dict[str, Column]:
+    return {"r0": F.xxhash64(key, text), "r1": F.xxhash64(F.lit(1), text, key)}
+
+
+def classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For rows (doc_id, text, r0, r1): each row's set (doc_id, r0, r1, s0, s1), and each set's class (s0, s1, label) with the
+    first row of the class (first: struct of whether its doc_id is null, doc_id, r0, r1)."""
+    scheme = simhash.similar_scheme(rows.count())
+    named = table(with_sets(rows, scheme.words), "sets")
+    whole = ["s0", "s1"]
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *ROW)).alias("least")
+    sets = named.groupBy(*whole).agg(least, *[F.first(c).alias(c) for c in scheme.columns])
+    nodes = table(sets.select("*", *[F.col(f"least.{r}").alias(r) for r in ROW], F.monotonically_increasing_id().alias("node")), "nodes")
+    labels = table(components(links(rows, nodes, scheme)), "labels")
+    own = nodes.select(*whole, "node", "least").join(labels, "node", "left").select(*whole, F.coalesce("label", "node").alias("label"), "least")
+    first = own.groupBy("label").agg(F.min("least").alias("first"))
+    return named.select("doc_id", *ROW, *whole), own.drop("least").join(first, "label")
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, component_id) for every row of ``docs``; a component is named by its smallest doc_id."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    named = table(with_sets(rows, False), "sets")
-    keyed = named.where("doc_id IS NOT NULL")
-    whole = ["s0", "s1"]
-    nodes = table(keyed.groupBy(*whole).agg(F.min("doc_id").cast("bigint").alias("node"), F.first("keys").alias("keys")), "nodes")
-    # As in simhash.classes: a set's smallest id stands for it, and ids that stand under several sets link them.
-    ends = F.struct(*whole)
-    shared = keyed.groupBy("doc_id").agg(F.min(ends).alias("x"), F.max(ends).alias("y")).where("x <> y").select("doc_id")
-    more = keyed.join(shared, "doc_id", "left_semi").join(nodes, whole).select(F.col("doc_id").cast("bigint").alias("a"), F.col("node").alias("b"))
-    labels = components(links(rows, nodes).union(more))
-    joined = nodes.join(labels, "node", "left").select(*whole, F.coalesce("label", "node").alias("component_id"))
-    found = named.select("doc_id", *whole).join(joined, whole, "left")
-    return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *[v.alias(k) for k, v in row_names(F.col(key), F.col(text)).items()])
+    named, own = classes(rows)
+    return named.join(own, ["s0", "s1"], "left").select("doc_id", F.col("first.doc_id").alias("component_id"))
+
+
+def unique(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of ``docs``: that of the smallest key, without a key only where no row has one; of several
+    texts under it the one of the smallest hash, of equal rows the smallest. Rows are told apart by key and text, so
+    texts that share a key by accident are judged each by itself.
+
+    Only names are compared and shuffled to find the rows that go; texts then lose those by a join, broadcast up to
+    ``BROADCAST_NODES`` names. Where a kept row stands more than once, those few are reduced by a shuffle."""
+    named_as = row_names(F.col(key), F.col(text))
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), *[v.alias(k) for k, v in named_as.items()])
+    named, own = classes(rows)
+    stand = table(named.join(own, ["s0", "s1"]).groupBy(*ROW).agg(F.count(F.lit(1)).alias("n"), F.first("first").alias("first")), "rows")
+    kept = (F.col("r0") == F.col("first.r0")) & (F.col("r1") == F.col("first.r1"))
+    hinted = lambda d: F.broadcast(d) if d.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES else d.hint("merge")
+    own_names = {f"_s_{k}": v for k, v in named_as.items()}
+    apart = lambda d: hinted(d.select(*[F.col(k).alias(f"_s_{k}") for k in ROW]))
+    left = docs.withColumns(own_names).join(apart(stand.where(~kept)), list(own_names), "left_anti")
+    twice = stand.where(kept & (F.col("n") > 1))
+    if twice.isEmpty():
+        return left.select(*docs.columns)
+    single = left.join(apart(twice), list(own_names), "left_anti").select(*docs.columns)
+    many = left.join(apart(twice), list(own_names), "left_semi")
+    some = many.groupBy(*own_names).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return single.unionByName(some.select("row.*"))

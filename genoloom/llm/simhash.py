@@ -1,17 +1,20 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-A scheme says how fingerprints are made and linked. ``EXACT`` (four-word shingles, 64 bits, at most 4 different) cuts
-fingerprints into three segments: if at most 4 bits differ, at most one differs in some segment. So each distinct
-fingerprint is indexed under 64 keys: for every bit, its segment with that bit as a wildcard. Equal keys meet by an
-equality shuffle, and every candidate pair is verified on all bits; no link is lost.
+A scheme cuts fingerprints into segments and indexes each distinct fingerprint under every variant of a segment with one
+bit as a wildcard. Equal keys meet by an equality shuffle, and every candidate pair is verified.
 
-``SIMILAR`` (five-word shingles, 128 bits) cuts them into eight segments of 16, one of which may differ by a bit, and
-accepts up to 22 different bits. It estimates a similarity of 0.8 only: about a quarter of the pairs there are lost and
-less similar ones are linked. The pipeline uses ``shingles`` instead, which decides by the sets themselves.
+``exact_scheme`` (four-word shingles, 64 bits, at most 4 different) loses no link. Of three segments one differs by at most
+one bit, which gives 64 keys of 20 bits. With more fingerprints a key has to hold more bits: of m segments, any m - 3 of
+which form a key together, some m - 3 differ by at most one bit in all, as 4 bits touch at most 4 segments. m = 5, 6 and 7 give 256,
+640 and 1280 keys of about 24, 31 and 35 bits, so the fingerprints that share a key by chance stay few (``exact_scheme``).
 
-A pair is handled under the first key that it shares, so no pair is verified twice in small buckets. A bucket of
+``similar_scheme`` proposes pairs of texts whose shingle sets have a Jaccard similarity of ``JACCARD``: so many segments that
+such a pair shares no key with a probability of at most ``MISS``, each as wide as the number of fingerprints asks for.
+Proposals are near in their first two words; ``shingles`` verifies them on the sets themselves.
+
+A pair is handled under the first key that it shares, where all words are compared. A bucket of
 more than ``SMALL`` fingerprints gives a spanning forest of its links instead of all pairs: links are found by
-breadth-first search, and a large bucket of ``EXACT`` is cut again by wildcards over its other bits. No bucket is capped.
+breadth-first search, and a large bucket of the exact scheme is cut again by wildcards over its other bits. No bucket is capped.
 
 Scale: exact copies are one fingerprint before anything is joined, whatever their number. A bucket holds distinct
 fingerprints alone; a group of near copies has only as many as the bits allow around each of them. Components are
@@ -24,9 +27,10 @@ share a component; a null doc_id has a fingerprint, no component and links nothi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,26 +42,62 @@ from .components import components
 
 SEED = 42
 SMALL = 24
+#: Fingerprints that share a key by chance, on average, at most (for up to 2 ** 37 of them).
+CHANCE = 64
+JACCARD = 0.8
+MISS = 0.005
 
 
 @dataclass(frozen=True)
 class Scheme:
-    """Words of a shingle, 64-bit words of a fingerprint, segments (word, first bit, width) and the distance of a link.
-    ``complete``: the segments find every link."""
+    """Words of a fingerprint, segments (word, mask), the distance of a link in the first ``compared`` words."""
 
-    shingle: int
     words: int
-    segments: tuple[tuple[int, int, int], ...]
+    segments: tuple[tuple[int, int], ...]
     distance: int
-    complete: bool
+    compared: int
 
     @property
     def columns(self) -> list[str]:
         return [f"fp{i}" for i in range(self.words)]
 
+    @property
+    def keys(self) -> list[tuple[int, int]]:
+        """(word, mask) of each key: a segment's mask without one of its bits."""
+        return [(w, mask & ~(1 << b)) for w, mask in self.segments for b in range(64) if mask >> b & 1]
+
+
+def exact_scheme(n: int, distance: int = 4) -> Scheme:
+    """The scheme for ``n`` distinct 64-bit fingerprints that finds all links of at most 4 bits."""
+    for m in (3, 5, 6, 7):
+        edges = [round(64 * i / m) for i in range(m + 1)]
+        own = [((1 << b) - 1) & ~((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+        masks = [sum(c) for c in combinations(own, max(1, m - 3))]
+        if n <= CHANCE << (min(x.bit_count() for x in masks) - 1):
+            break
+    return Scheme(1, tuple((0, x) for x in masks), distance, 1)
+
+
+def bit_rate(jaccard: float = JACCARD) -> float:
+    """How often a bit of the fingerprints of two sets of this similarity (and like size) differs."""
+    return math.acos(2 * jaccard / (1 + jaccard)) / math.pi
+
 
-EXACT = Scheme(4, 1, ((0, 0, 21), (0, 21, 21), (0, 42, 22)), 4, True)
-SIMILAR = Scheme(5, 2, tuple((w, at, 16) for w in (0, 1) for at in (0, 16, 32, 48)), 22, False)
+def similar_scheme(n: int) -> Scheme:
+    """The scheme for ``n`` distinct fingerprints that proposes pairs at ``JACCARD`` but for a share of ``MISS``."""
+    p = bit_rate()
+    for width in (16, 20, 24, 30):
+        if n <= CHANCE << (width - 1):
+            break
+    found = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
+    count = math.ceil(math.log(MISS) / math.log(1 - found))
+    each = 64 // width
+    segments = tuple((i // each, ((1 << width) - 1) << (width * (i % each))) for i in range(count))
+    # near: within 3.5 standard deviations of what such pairs differ by in two words; other pairs differ by 64 or so
+    return Scheme(-(-count // each), segments, math.floor(128 * p + 3.5 * math.sqrt(128 * p * (1 - p))), 2)
+
+
+EXACT = exact_scheme(1)
 
 
 def mixed(h: np.ndarray, word: int) -> np.ndarray:
@@ -70,23 +110,10 @@ def mixed(h: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str | None, scheme: Scheme = EXACT) -> tuple[int, ...]:
-    """SimHash of a text's word shingles, as unsigned 64-bit words."""
-    from xxhash import xxh64_intdigest
-
-    found = (text or "").encode().lower().split()
-    if not found:
-        return (0,) * scheme.words
-    data = b" ".join(found)
-    n = max(1, len(found) - scheme.shingle + 1)
-    if n == 1:
-        hashes = np.array([xxh64_intdigest(data, SEED)], np.uint64)
-    else:
-        starts = list(accumulate((len(w) + 1 for w in found), initial=0))
-        spans = zip(starts[:n], starts[scheme.shingle :])
-        hashes = np.fromiter((xxh64_intdigest(data[a : b - 1], SEED) for a, b in spans), np.uint64, n)
-    out = []
-    for word in range(scheme.words):
+def majority(hashes: np.ndarray, words: int = 1) -> tuple[int, ...]:
+    """The bits that are set in over half the hashes, as unsigned 64-bit words; further words have hashes of their own."""
+    n, out = len(hashes), []
+    for word in range(words):
         bits = np.zeros(64, np.int64)
         for at in range(0, n, 1 << 16):  # a very long text is never one matrix
             part = mixed(hashes[at : at + (1 << 16)], word).astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -95,18 +122,37 @@ def fingerprint(text: str | None, scheme: Scheme = EXACT) -> tuple[int, ...]:
     return tuple(out)
 
 
-def add_fingerprint(df: DataFrame, scheme: Scheme = EXACT, text: str = "text", drop_text: bool = False) -> DataFrame:
-    """``df`` with the fingerprint of ``text`` as signed 64-bit columns fp0, fp1, ..."""
-    columns = scheme.columns
-    schema = extended(df.drop(text).schema if drop_text else df.schema, *[(c, "bigint") for c in columns])
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
+    """Hashes of a text's word shingles, repeats included; a shorter text is one shingle, a blank one none."""
+    from xxhash import xxh64_intdigest
+
+    found = (text or "").encode().lower().split()
+    if not found:
+        return np.zeros(0, np.uint64)
+    data = b" ".join(found)
+    n = max(1, len(found) - size + 1)
+    if n == 1:
+        return np.array([xxh64_intdigest(data, SEED)], np.uint64)
+    starts = list(accumulate((len(w) + 1 for w in found), initial=0))
+    spans = zip(starts[:n], starts[size:])
+    return np.fromiter((xxh64_intdigest(data[a : b - 1], SEED) for a, b in spans), np.uint64, n)
+
+
+def fingerprint(text: str | None) -> int:
+    """SimHash of a text's four-word shingles."""
+    return majority(shingle_hashes(text, 4))[0]
+
+
+def add_fingerprint(df: DataFrame, text: str = "text", drop_text: bool = False) -> DataFrame:
+    """``df`` with the fingerprint of ``text`` as the signed 64-bit column fp0."""
+    schema = extended(df.drop(text).schema if drop_text else df.schema, ("fp0", "bigint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces(whole, text):
                 texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-                fps = np.array([fingerprint(t, scheme) for t in texts], np.uint64).reshape(-1, len(columns)).view(np.int64)
-                rest = batch.drop_columns([text]) if drop_text else batch
-                yield batch_with(rest, **{c: pa.array(np.ascontiguousarray(fps[:, i])) for i, c in enumerate(columns)})
+                fps = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
+                yield batch_with(batch.drop_columns([text]) if drop_text else batch, fp0=pa.array(fps))
 
     return df.mapInArrow(run, schema)
 
@@ -115,11 +161,6 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def wildcards(scheme: Scheme) -> list[tuple[int, int]]:
-    """(word, mask) of each key: a segment's mask without one of its bits."""
-    return [(w, ((1 << width) - 1) << first & ~(1 << b)) for w, first, width in scheme.segments for b in range(first, first + width)]
-
-
 def distance(x: np.ndarray) -> np.ndarray:
     """Different bits of fingerprints, from their xor (rows, words)."""
     return np.bitwise_count(x).sum(axis=-1)
@@ -129,23 +170,23 @@ def first_key(x: np.ndarray, scheme: Scheme) -> np.ndarray:
     """The number of the first key that two fingerprints with xor ``x`` (rows, words) share, -1 for none."""
     out = np.full(len(x), -1, np.int64)
     at = 0
-    for word, first, width in scheme.segments:
-        part = (x[:, word] >> np.uint64(first)) & np.uint64((1 << width) - 1)
+    for word, mask in scheme.segments:
+        part = x[:, word] & np.uint64(mask)
         ones = np.bitwise_count(part)
-        bit = np.bitwise_count((part - np.uint64(1)) & ~part).astype(np.int64)  # trailing zeros
-        here = np.where(ones == 0, at, np.where(ones == 1, at + bit, -1))
+        lower = ((part - np.uint64(1)) & ~part) & np.uint64(mask)  # the segment's bits below the lowest that is set
+        here = np.where(ones == 0, at, np.where(ones == 1, at + np.bitwise_count(lower).astype(np.int64), -1))
         out = np.where(out < 0, here, out)
-        at += width
+        at += mask.bit_count()
     return out
 
 
 def forest(fps: np.ndarray, scheme: Scheme = EXACT, free: int = 64) -> list[tuple[int, int]]:
     """Index pairs that connect whatever is linked among distinct fingerprints (rows, words).
 
-    By breadth-first search: each found node is compared with those not found yet. More than 4096 of a complete
-    one-word scheme are cut by deletion variants over all bits first, as often as bits remain."""
+    By breadth-first search: each found node is compared with those not found yet. More than 4096 of the exact scheme
+    are cut by deletion variants over all bits first, as often as bits remain."""
     n = len(fps)
-    if n > 4096 and scheme.complete and scheme.words == 1 and free > 30:
+    if n > 4096 and scheme.words == 1 and free > 30:
         edges = []
         only = fps[:, 0]
         varying = [b for b in range(64) if len(np.unique(only >> np.uint64(b) & np.uint64(1))) > 1]
@@ -181,12 +222,13 @@ def search(fps: np.ndarray, scheme: Scheme = EXACT) -> list[tuple[int, int]]:
 LINKS = "a bigint, b bigint"
 
 
-def links(nodes: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
+def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     """(a, b): links that connect all nodes (fp0, ..., node) within distance, from distinct fingerprints."""
-    keys = F.array(*[F.struct(F.lit(w).cast("tinyint").alias("word"), F.lit(signed(m)).alias("mask")) for w, m in wildcards(scheme)])
+    keys = F.array(*[F.struct(F.lit(w).cast("tinyint").alias("word"), F.lit(signed(m)).alias("mask")) for w, m in scheme.keys])
     each = nodes.select(*scheme.columns, "node", F.posexplode(keys).alias("w", "k"))
     word = F.element_at(F.array(*scheme.columns), F.col("k.word") + 1)
-    keyed = each.select(F.col("w").cast("smallint").alias("w"), *scheme.columns, "node", word.bitwiseAND(F.col("k.mask")).alias("v"))
+    shown = scheme.columns[: scheme.compared]
+    keyed = each.select(F.col("w").cast("smallint").alias("w"), *shown, "node", word.bitwiseAND(F.col("k.mask")).alias("v"))
     dealt = keyed.repartition("w", "v").sortWithinPartitions("w", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +261,7 @@ def links(nodes: DataFrame, scheme: Scheme = EXACT) -> DataFrame:
 def _bucket_links(rows: np.ndarray, scheme: Scheme) -> list[pa.Array]:
     """Links of whole buckets, which stand one after the other; rows are key, fingerprint words, node, value."""
     w, node, v = rows[0], rows[-2], rows[-1]
-    fps = np.ascontiguousarray(rows[1 : 1 + scheme.words].T).view(np.uint64)
+    fps = np.ascontiguousarray(rows[1 : 1 + scheme.compared].T).view(np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
     sizes = np.diff(np.append(starts, len(w)))
     size = np.repeat(sizes, sizes)
@@ -230,7 +272,8 @@ def _bucket_links(rows: np.ndarray, scheme: Scheme) -> list[pa.Array]:
         x = fps[i] ^ fps[i + d]
         near = distance(x) <= scheme.distance
         i, x = i[near], x[near]
-        i = i[first_key(x, scheme) == w[i]]
+        if scheme.compared == scheme.words:
+            i = i[first_key(x, scheme) == w[i]]
         a.append(node[i])
         b.append(node[i + d])
     for s in np.flatnonzero(sizes > SMALL):
@@ -244,33 +287,31 @@ def _bucket_links(rows: np.ndarray, scheme: Scheme) -> list[pa.Array]:
     return [pa.array(np.concatenate([none, *x]), pa.int64()) for x in (a, b)]
 
 
-def classes(fps: DataFrame, scheme: Scheme = EXACT, key: str = "doc_id") -> DataFrame:
-    """(fp0, ..., component_id) for each distinct fingerprint of rows (key, fp0, ...) with a key."""
-    columns = scheme.columns
+def classes(fps: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(fp0, component_id) for each distinct fingerprint of rows (key, fp0) with a key."""
     keyed = fps.where(F.col(key).isNotNull())
-    nodes = table(keyed.groupBy(*columns).agg(F.min(key).cast("bigint").alias("node")), "nodes")
-    found = links(nodes, scheme)
+    nodes = table(keyed.groupBy("fp0").agg(F.min(key).cast("bigint").alias("node")), "nodes")
+    found = links(nodes, exact_scheme(nodes.count()))
     # Rows that share a doc_id are one node: a fingerprint's smallest id stands for it, and its others link to it
     # where they stand under several fingerprints.
-    whole = F.struct(*columns)
-    shared = keyed.groupBy(key).agg(F.min(whole).alias("x"), F.max(whole).alias("y")).where("x <> y").select(key)
-    more = keyed.join(shared, key, "left_semi").join(nodes, columns).select(F.col(key).cast("bigint").alias("a"), F.col("node").alias("b"))
+    shared = keyed.groupBy(key).agg(F.min("fp0").alias("x"), F.max("fp0").alias("y")).where("x <> y").select(key)
+    more = keyed.join(shared, key, "left_semi").join(nodes, "fp0").select(F.col(key).cast("bigint").alias("a"), F.col("node").alias("b"))
     labels = components(found.union(more))
     joined = nodes.join(labels, "node", "left")
-    return joined.select(*columns, F.coalesce("label", "node").alias("component_id"))
+    return joined.select("fp0", F.coalesce("label", "node").alias("component_id"))
 
 
 def hex_of(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def near_duplicates(docs: DataFrame, scheme: Scheme = EXACT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    fps = table(add_fingerprint(rows, scheme, drop_text=True), "fps")
-    joined = fps.join(classes(fps, scheme), scheme.columns, "left")
+    fps = table(add_fingerprint(rows, drop_text=True), "fps")
+    joined = fps.join(classes(fps), "fp0", "left")
     named = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return joined.select("doc_id", F.concat(*map(hex_of, scheme.columns)).alias("fingerprint"), named.alias("component_id"))
+    return joined.select("doc_id", hex_of(F.col("fp0")).alias("fingerprint"), named.alias("component_id"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ import pytest
 import corpus_pipeline
 from genoloom.llm import common, packing
 from tests.llm.test_pii import brute as brute_pii
-from tests.llm.test_simhash import slow_components, slow_linked, slow_similar
+from tests.llm.test_shingles import similar, slow_set
+from tests.llm.test_simhash import slow_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,7 +34,7 @@ def test_columns_and_decisions(stages):
 
 def test_one_of_each_group(stages):
     _, _, named, unique, _, _ = stages
-    labels = slow_components({r.doc_id: slow_similar(r.text) for r in named}, slow_linked)
+    labels = slow_components({r.doc_id: slow_set(r.text) for r in named}, similar)
     assert {r.doc_id for r in unique} == set(labels.values())
 
 
@@ -87,8 +88,8 @@ def test_edge_rows_through_all_stages(spark):
         assert empty.count() == 0
 
 
-def test_repeated_ids_keep_one(spark):
+def test_rows_are_told_apart_by_their_texts(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
-    docs = spark.createDataFrame([(3, "b x", "en", "s", 1), (3, "a x", "en", "s", 1), (None, "c", "en", "s", 1), (None, "c", "en", "s", 1)], schema)
-    kept = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
-    assert sorted((str(r.doc_id), r.text) for r in kept) == [("3", "a x"), ("None", "c"), ("None", "c")]
+    rows = [(3, "b x", "en", "s", 1), (3, "a x", "en", "s", 1), (4, "b x", "en", "s", 1), (None, "c", "en", "s", 1), (None, "c", "en", "s", 1), (5, "d", "en", "s", 1), (5, "d", "en", None, 1)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("3", "a x"), ("3", "b x"), ("5", "d"), ("None", "c")]

@@ -55,5 +55,9 @@ def test_edge_rows(spark, monkeypatch, few):
     long = " ".join(f"w{i}" for i in range(400))
     rows = [(9, long), (4, long + " end"), (7, None), (8, ""), (5, "short one"), (5, long + " more"), (None, long), (9, long), (6, "Short  ONE")]
     got = {(r.doc_id, r.component_id) for r in shingles.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {(9, 4), (4, 4), (7, 7), (8, 7), (5, 4), (6, 4), (None, None)}
+    assert got == {(9, 4), (4, 4), (7, 7), (8, 7), (5, 5), (5, 4), (6, 5), (None, 4)}
+    kept = shingles.unique(spark.createDataFrame([(*r, i % 2) for i, r in enumerate(rows)], "doc_id long, text string, R0 int")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(4, long + " end"), (5, "short one"), (7, None)]
+    alone = spark.createDataFrame([(None, long), (None, long)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in shingles.groups(alone).collect()} == {(None, None)} and shingles.unique(alone).count() == 1
     assert shingles.groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0

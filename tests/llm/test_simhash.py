@@ -17,19 +17,6 @@ def slow_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs)) if hs else 0
 
 
-def slow_similar(text):
-    """The 128-bit fingerprint of five-word shingles, bit by bit."""
-    words = (text or "").encode().lower().split()
-    hs = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 5]), 42) for i in range(max(1, len(words) - 4))] if words else []
-    more = [int(sh.mixed(np.array([h], np.uint64), 1)[0]) for h in hs]
-    return tuple(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in own) > len(own)) for own in (hs, more))
-
-
-def slow_linked(a, b):
-    """Whether two 128-bit fingerprints are near and alike in some 16-bit segment but for a bit."""
-    parts = [(x ^ y) >> s & 0xFFFF for x, y in zip(a, b) for s in (0, 16, 32, 48)]
-    return sum(bin(p).count("1") for p in parts) <= 22 and any(bin(p).count("1") <= 1 for p in parts)
-
 def slow_components(fps, linked=lambda a, b: bin(a ^ b).count("1") <= 4):
     """{key: smallest key reachable}, by comparing all pairs."""
     label = {k: k for k in fps}
@@ -45,13 +32,50 @@ def slow_components(fps, linked=lambda a, b: bin(a ^ b).count("1") <= 4):
 
 @pytest.mark.parametrize("text", [None, "", " \n ", "One", "a b c", "a b c d", "É A b C d e f g h", "x y " * 700])
 def test_fingerprint(text):
-    assert sh.fingerprint(text) == (slow_fingerprint(text),)
-    assert sh.fingerprint(text, sh.SIMILAR) == slow_similar(text)
+    assert sh.fingerprint(text) == slow_fingerprint(text)
+
+
+SIZES = (1000, 10**8, 10**10, 10**12)
+
+
+def test_exact_schemes_lose_no_link():
+    rng = np.random.default_rng(1)
+    for n, keys, bits in zip(SIZES, (64, 256, 640, 1280), (20, 24, 30, 34)):
+        scheme = sh.exact_scheme(n)
+        assert abs(len(scheme.keys) - keys) <= keys // 50 and min(m.bit_count() for _, m in scheme.keys) >= bits
+        x = np.zeros(20_000, np.uint64)
+        for _ in range(4):
+            x |= np.uint64(1) << rng.integers(0, 64, len(x)).astype(np.uint64)
+        first = sh.first_key(x[:, None], scheme)
+        assert (first >= 0).all()
+        masks = np.array([m for _, m in scheme.keys], np.uint64)
+        for v, k in zip(x[:300], first[:300]):
+            assert np.flatnonzero((masks & v) == 0)[0] == k
 
 
-@pytest.mark.parametrize("small", [2, 24])
-def test_links(spark, monkeypatch, small):
+def test_buckets_stay_small_whatever_the_corpus():
+    for n in (10**6, 10**8, 10**9, 10**10):
+        for scheme in (sh.exact_scheme(n), sh.similar_scheme(n)):
+            assert n / 2 ** min(m.bit_count() for _, m in scheme.keys) <= 2 * sh.CHANCE
+
+
+def test_similar_schemes_propose_pairs_at_the_bound():
+    rng = np.random.default_rng(2)
+    for n in (10**5, 10**9):
+        scheme, found, tries = sh.similar_scheme(n), 0, 150
+        for _ in range(tries):
+            both = rng.integers(0, 2**63, 480).astype(np.uint64)  # two sets of 432 shingles, 384 of them shared: 0.8
+            a, b = (np.array(sh.majority(x, scheme.words), np.uint64) for x in (both[:432], np.concatenate([both[:384], both[432:]])))
+            near = sh.distance((a ^ b)[None, : scheme.compared])[0] <= scheme.distance
+            found += near and sh.first_key((a ^ b)[None], scheme)[0] >= 0
+        assert found >= 0.97 * tries
+
+
+@pytest.mark.parametrize(("small", "n"), [(2, 0), (24, 0), (24, 10**8)])
+def test_links(spark, monkeypatch, small, n):
     monkeypatch.setattr(sh, "SMALL", small)
+    scheme = sh.exact_scheme
+    monkeypatch.setattr(sh, "exact_scheme", lambda k: scheme(n or k))
     rng = np.random.default_rng(3)
     fps = {}
     for base in range(12):
@@ -105,19 +129,3 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 100), (300, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {200: 100}
-
-
-@pytest.mark.parametrize("small", [2, 24])
-def test_similar_links(spark, monkeypatch, small):
-    monkeypatch.setattr(sh, "SMALL", small)
-    rng = np.random.default_rng(8)
-    texts = {}
-    for _ in range(12):
-        words = [f"w{rng.integers(5000)}" for _ in range(150)]
-        for _ in range(int(rng.integers(1, 7))):
-            texts[len(texts)] = " ".join(words)
-            words[int(rng.integers(150))] = f"x{rng.integers(5000)}"
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in sh.near_duplicates(docs, sh.SIMILAR).collect()}
-    assert got == slow_components({k: slow_similar(t) for k, t in texts.items()}, slow_linked)
-    assert len(set(got.values())) == 12
