@@ -23,29 +23,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.where("lang_pred <> 'und' AND NOT ambiguous").select(*docs.columns)
 
 
-#: Ids of removed documents that are broadcast at most; more are joined by a shuffle.
-BROADCAST_IDS = 500_000
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of similar texts (five-word shingles, 0.8 or more); documents
-    without a doc_id stay.
-
-    Only ids are compared and shuffled to find the groups; the documents then lose the others' ids. Rows that
-    repeat a doc_id are one document to the operator, so one of them is kept, the smallest text.
-    """
-    groups = common.table(shingles.groups(docs), "groups")
-    keyed = groups.where("doc_id IS NOT NULL")
-    losers = common.table(keyed.where("doc_id <> component_id").select("doc_id").distinct(), "losers")
-    few = losers.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(losers) if few else losers.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
-    if keyed.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    rest = [c for c in docs.columns if c != "doc_id"]
-    whole = F.struct("text", *[c for c in rest if c != "text"])
-    one = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(whole).alias("row"))
-    one = one.select(*[F.col(c) if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns])
-    return one.unionByName(kept.where("doc_id IS NULL"))
+    """One document of each group of similar texts (SimHash proposes, five-word shingles at 0.8 or more decide), that of the
+    smallest doc_id. Rows are told apart by doc_id and text, so no text goes but for one that is similar to it."""
+    return shingles.unique(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
