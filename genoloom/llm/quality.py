@@ -4,10 +4,12 @@ Per text: words, their characters, symbols, repeated lines and words in repeated
 fewer than 20 words or with over 30 % repeated words fails the base rule. The others are judged against their
 own language and source: each feature has a quantile sketch with logarithmic buckets (relative error
 ``GAMMA - 1``), a count for each (language, source, feature, bucket). Such sketches merge by adding counts, in any
-order and with the same result, so they roll up from sources to languages to the whole corpus. A group of
-fewer than ``MIN_GROUP`` texts uses its language's sketch, a small language the corpus's. From the sketch's
-quartiles come fences (median and spread, with a floor on the spread so that a feature that nearly all texts
-share doesn't make the rest outliers), and the texts are joined with them and filtered.
+order and with the same result, so they roll up from sources to languages to the whole corpus. A group's
+quantiles are drawn toward its language's, and a language's toward the corpus's, by a weight of ``PRIOR`` texts: a small
+group mostly uses its parent's, a large one its own, without a step between. From them come fences around the median: for
+word length and symbols a multiple of the quartile distance, for duplicate lines and repeats, which most texts lack, of the
+distance up to the 99th percentile, so that such texts as a group has by habit stay. A least reach keeps a feature that all
+texts share from making the rest outliers. The texts are joined with the fences and filtered.
 
 Scale: sketches have at most a few hundred rows a group and feature, pre-aggregated before the shuffle, so a hot
 source costs no more than any other. Thresholds are one row a group; they are broadcast when their counted rows are
@@ -31,23 +33,23 @@ MAX_REPEATED = 0.30
 SYMBOLS = "[#*$%&|<>]"
 
 GAMMA = 1.02
-MIN_GROUP = 200
+PRIOR = 200
 BROADCAST_GROUPS = 20_000
 SALTS = 32
-#: Spreads (quartile distances) a text may stand from the median, and the least spread of each feature.
-FENCE = 6.0
-#: feature: (least spread, whether low values are suspect too)
+#: feature: (lower and upper quantile of its spread, how many spreads a text may stand from the median, the least reach, whether
+#: low values are suspect too)
 FEATURES = {
-    "word_length": (0.5, True),
-    "symbol_ratio": (0.05, False),
-    "dup_line_ratio": (0.05, False),
-    "repeat_ratio": (0.05, False),
+    "word_length": (0.25, 0.75, 6.0, 0.3, True),
+    "symbol_ratio": (0.25, 0.75, 6.0, 0.06, False),
+    "dup_line_ratio": (0.5, 0.99, 2.0, 0.1, False),
+    "repeat_ratio": (0.5, 0.99, 2.0, 0.1, False),
 }
-BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+QUANTILES = (0.25, 0.5, 0.75, 0.99)
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
 def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the five base counts. Each step is a projection of its own, so nothing is computed twice."""
+    """``df`` with the base counts and the number of lines with a word. Each step is a projection of its own, so nothing is computed twice."""
     body = F.coalesce(F.col(text), F.lit(""))
     pair = lambda c, d: F.zip_with(
         F.slice(c, F.lit(1), F.size(c) - d), F.slice(c, F.lit(1 + d), F.size(c) - d), lambda a, b: F.xxhash64(a, b)
@@ -63,7 +65,7 @@ def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
         }
     ).drop("_q_w")
     step = step.withColumns(
-        {"n_dup_lines": (F.size("_q_l") - F.size(F.array_distinct("_q_l"))).cast("bigint"), "_q_h": pair(F.col("_q_h"), 1)}
+        {"n_lines": F.size("_q_l").cast("bigint"), "n_dup_lines": (F.size("_q_l") - F.size(F.array_distinct("_q_l"))).cast("bigint"), "_q_h": pair(F.col("_q_h"), 1)}
     ).drop("_q_l")
     for d in (2, 4):
         step = step.withColumn("_q_h", pair(F.col("_q_h"), d))
@@ -89,7 +91,7 @@ def features() -> dict[str, Column]:
     return {
         "word_length": F.col("word_chars") / n,
         "symbol_ratio": F.col("n_symbols") / n,
-        "dup_line_ratio": F.col("n_dup_lines") / n,
+        "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)).cast("double"),
         "repeat_ratio": F.col("n_repeat_words") / n,
     }
 
@@ -106,9 +108,9 @@ def merge(sketches: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     return sketches.groupBy(*groups, "feature", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketches: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """(groups, n, {feature: struct(low, high)}) from one level's sketches: the sorted buckets of a group and feature
-    are a short array, over which the cumulative count finds the quartiles."""
+def quantiles(sketches: DataFrame, groups: tuple[str, ...]) -> DataFrame:
+    """(groups, n, {feature: array of its ``QUANTILES``}) from one level's sketches: the sorted buckets of a group and feature
+    are a short array, over which the cumulative count finds them."""
     arrays = sketches.groupBy(*groups, "feature").agg(
         F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("b"), F.sum("n").alias("total")
     )
@@ -126,32 +128,36 @@ def fences(sketches: DataFrame, groups: tuple[str, ...]) -> DataFrame:
         value = F.pow(F.lit(GAMMA), slot.cast("double")) * (2 / (1 + GAMMA))
         return F.when(slot == -100_000, F.lit(0.0)).otherwise(value)
 
-    rows = arrays.select(*groups, "feature", "total", *[quantile(q).alias(f"q{round(100 * q)}") for q in (0.25, 0.5, 0.75)])
-    least = F.lit(0.0)
-    for name, (spread, _) in FEATURES.items():
-        least = F.when(F.col("feature") == name, F.lit(spread)).otherwise(least)
-    reach = FENCE * F.greatest(F.col("q75") - F.col("q25"), least)
-    bounds = F.struct((F.col("q50") - reach).alias("low"), (F.col("q50") + reach).alias("high"))
-    pick = [F.max(F.when(F.col("feature") == name, bounds)).alias(name) for name in FEATURES]
+    rows = arrays.select(*groups, "feature", "total", F.array(*map(quantile, QUANTILES)).alias("q"))
+    pick = [F.max(F.when(F.col("feature") == name, F.col("q"))).alias(name) for name in FEATURES]
     return rows.groupBy(*groups).agg(F.max("total").alias("n"), *pick)
 
 
+def drawn(own: Column, n: Column, parent: Column) -> Column:
+    """A group's quantiles, drawn toward its parent's by the weight of ``PRIOR`` texts."""
+    return F.zip_with(own, parent, lambda x, y: (n * x + PRIOR * y) / (n + PRIOR))
+
+
+def fence(name: str, q: Column) -> Column:
+    low, high, times, least, _ = FEATURES[name]
+    at = lambda p: F.get(q, F.lit(QUANTILES.index(p)))
+    reach = F.greatest(times * (at(high) - at(low)), F.lit(least))
+    return F.struct((at(0.5) - reach).alias("low"), (at(0.5) + reach).alias("high")).alias(name)
+
+
 def thresholds(counted: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """One row (lang, source, feature fences) for each group among the texts that pass the base rule."""
     passed = counted.where(~F.col("base_failed")).select(F.col(lang).alias("g1"), F.col(source).alias("g2"), *BASE)
     by_source = table(sketch(passed, ("g1", "g2")), "sketches")
     by_lang = merge(by_source, ("g1",))
     whole = merge(by_lang, ())
-    own, langs, all_ = (fences(s, g) for s, g in ((by_source, ("g1", "g2")), (by_lang, ("g1",)), (whole, ())))
+    own, langs, all_ = (quantiles(s, g) for s, g in ((by_source, ("g1", "g2")), (by_lang, ("g1",)), (whole, ())))
     langs = langs.select(F.col("g1").alias("l1"), F.col("n").alias("ln"), *[F.col(f).alias(f"l_{f}") for f in FEATURES])
     all_ = all_.select(*[F.col(f).alias(f"a_{f}") for f in FEATURES])
     joined = own.join(langs, F.col("g1").eqNullSafe(F.col("l1"))).join(F.broadcast(all_))  # one row
-
-    def choice(f: str) -> Column:
-        wide = F.when(F.col("ln") >= MIN_GROUP, F.col(f"l_{f}")).otherwise(F.col(f"a_{f}"))
-        return F.when(F.col("n") >= MIN_GROUP, F.col(f)).otherwise(wide).alias(f)
-
-    return joined.select("g1", "g2", *[choice(f) for f in FEATURES])
+    n, ln = F.col("n").cast("double"), F.col("ln").cast("double")
+    near = joined.withColumns({f: drawn(F.col(f), n, drawn(F.col(f"l_{f}"), ln, F.col(f"a_{f}"))) for f in FEATURES})
+    return near.select("g1", "g2", *[fence(f, F.col(f)) for f in FEATURES])
 
 
 def count(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -181,10 +187,10 @@ def judge_counted(counted: DataFrame, small: DataFrame, lang: str = "lang", sour
         joined = keyed.join(salted, on & (F.col("_q_salt") == F.col("_q_g3")), "left").drop("_q_salt", "_q_g3")
     good = F.lit(True)
     for name, value in features().items():
-        fence = F.col(f"_q_{name}")
-        good = good & (value <= fence["high"])
-        if FEATURES[name][1]:
-            good = good & (value >= fence["low"])
+        limit = F.col(f"_q_{name}")
+        good = good & (value <= limit["high"])
+        if FEATURES[name][-1]:
+            good = good & (value >= limit["low"])
     # one expression, so that no part of it is pushed below the join
     kept = F.when(F.col("base_failed"), False).otherwise(F.coalesce(good, F.lit(False)))
     return joined.withColumn("kept", kept).drop(*limits.columns)
@@ -208,32 +214,33 @@ WITH words AS (
 ), counted AS (
   SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(l) AS BIGINT) AS n_lines
   FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS l FROM words) LEFT JOIN covered c USING (doc_id)
 ), judged AS (
-  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, CAST(greatest(n_words, 1) AS DOUBLE) AS m FROM counted
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, CAST(greatest(n_words, 1) AS DOUBLE) AS m, CAST(greatest(n_lines, 1) AS DOUBLE) AS ml FROM counted
 ), flat AS (
   SELECT doc_id, lang, source, base_failed, unnest(['word_length', 'symbol_ratio', 'dup_line_ratio', 'repeat_ratio']) AS feature,
-    unnest([word_chars / m, n_symbols / m, n_dup_lines / m, n_repeat_words / m]) AS v FROM judged
+    unnest([word_chars / m, n_symbols / m, n_dup_lines / ml, n_repeat_words / m]) AS v FROM judged
 ), slots AS (
   SELECT lang, source, feature, CASE WHEN v <= 0 THEN -100000 ELSE CAST(ceil(ln(v) / ln({GAMMA})) AS INTEGER) END AS slot FROM flat WHERE NOT base_failed
 ), levels AS (
   SELECT 0 AS level, coalesce('s' || lang, 'n') AS g1, coalesce('s' || source, 'n') AS g2, feature, slot FROM slots
   UNION ALL SELECT 1, coalesce('s' || lang, 'n'), '', feature, slot FROM slots UNION ALL SELECT 2, '', '', feature, slot FROM slots
-), quartiles AS (
+), sorted AS (
   SELECT level, g1, g2, feature, count(*) AS n, list_sort(list(slot)) AS s FROM levels GROUP BY ALL
+), quantiles AS (
+  SELECT level, g1, g2, feature, CAST(n AS DOUBLE) AS n, list_transform([0.25, 0.5, 0.75, 0.99], lambda q: CASE WHEN s[CAST(ceil(q * n) AS BIGINT)] = -100000 THEN 0
+    ELSE pow({GAMMA}, s[CAST(ceil(q * n) AS BIGINT)]) * {2 / (1 + GAMMA)} END) AS q FROM sorted
+), drawn AS (
+  SELECT o.g1, o.g2, o.feature, list_transform([1, 2, 3, 4], lambda i: (o.n * o.q[i] + {PRIOR} * ((l.n * l.q[i] + {PRIOR} * a.q[i]) / (l.n + {PRIOR}))) / (o.n + {PRIOR})) AS q
+  FROM quantiles o JOIN quantiles l ON l.level = 1 AND l.g1 = o.g1 AND l.feature = o.feature JOIN quantiles a ON a.level = 2 AND a.feature = o.feature WHERE o.level = 0
 ), bounds AS (
-  SELECT *, FENCE * greatest(q3 - q1, CASE feature WHEN 'word_length' THEN 0.5 ELSE 0.05 END) AS reach FROM (
-    SELECT level, g1, g2, feature, n, list_transform([0.25, 0.5, 0.75], lambda q: CASE WHEN s[CAST(ceil(q * n) AS BIGINT)] = -100000 THEN 0
-      ELSE pow({GAMMA}, s[CAST(ceil(q * n) AS BIGINT)]) * {2 / (1 + GAMMA)} END) AS q, q[1] AS q1, q[2] AS q2, q[3] AS q3 FROM quartiles)
+  SELECT g1, g2, feature, q[2] AS middle, CASE feature WHEN 'word_length' THEN greatest(6 * (q[3] - q[1]), 0.3) WHEN 'symbol_ratio' THEN greatest(6 * (q[3] - q[1]), 0.06)
+    ELSE greatest(2 * (q[4] - q[2]), 0.1) END AS reach FROM drawn
 ), chosen AS (
-  SELECT f.doc_id, bool_and(coalesce(f.v <= b.q2 + b.reach AND (f.feature <> 'word_length' OR f.v >= b.q2 - b.reach), FALSE)) AS good
-  FROM flat f JOIN bounds o ON o.level = 0 AND o.g1 = coalesce('s' || f.lang, 'n') AND o.g2 = coalesce('s' || f.source, 'n') AND o.feature = f.feature
-  JOIN bounds l ON l.level = 1 AND l.g1 = o.g1 AND l.feature = f.feature JOIN bounds a ON a.level = 2 AND a.feature = f.feature
-  JOIN bounds b ON b.feature = f.feature AND b.level = CASE WHEN o.n >= {MIN_GROUP} THEN 0 WHEN l.n >= {MIN_GROUP} THEN 1 ELSE 2 END
-    AND b.g1 = CASE WHEN o.n >= {MIN_GROUP} OR l.n >= {MIN_GROUP} THEN o.g1 ELSE '' END AND b.g2 = CASE WHEN o.n >= {MIN_GROUP} THEN o.g2 ELSE '' END
-  GROUP BY f.doc_id
+  SELECT f.doc_id, bool_and(f.v <= b.middle + b.reach AND (f.feature <> 'word_length' OR f.v >= b.middle - b.reach)) AS good
+  FROM flat f JOIN bounds b ON b.g1 = coalesce('s' || f.lang, 'n') AND b.g2 = coalesce('s' || f.source, 'n') AND b.feature = f.feature GROUP BY f.doc_id
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(good, FALSE) AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed, NOT base_failed AND coalesce(good, FALSE) AS kept
 FROM judged LEFT JOIN chosen USING (doc_id)
-""".replace("FENCE", str(FENCE))
+"""
