@@ -16,4 +16,4 @@ QUERIES = {
     "op9_media_columns": media.op9_media_columns,
     "op10_pii": pii.op10_pii,
 }
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.SQL, "op8_chat_format": chat.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.SQL, "op7_packing": packing.SQL, "op8_chat_format": chat.SQL}
