@@ -12,7 +12,7 @@ The loss mask is an array of (start, length) spans of the rendered text, one for
 
 Scale: one shuffle by conversation; what is gathered for a conversation is its own output row.
 Defined results: null text and null role are empty; turns stand in the order of turn, role, text with
-null turns first, equal rows next to each other; rows with a null conv_id form one conversation; no rows
+null turns first, equal rows next to each other; a row with a null conv_id is a conversation of its own; no rows
 give no conversations; only the four columns named are read.
 """
 
@@ -90,8 +90,10 @@ def format_chats(rows: DataFrame) -> DataFrame:
     source = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     with_level = lambda f: lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"), f(t).alias("level"))
     join = lambda c: F.array_join(F.transform(F.col(c), rendered_turn), "")
+    # rows without a conversation would be one group of any size
+    own = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
     first = (
-        clean.groupBy("conv_id")
+        clean.withColumn("_own", own).groupBy("conv_id", "_own")
         .agg(source.alias("source"))
         .withColumn("plain", F.transform("source", with_level(lambda t: F.lit(0))))
         .withColumn("output", join("plain"))
@@ -167,9 +169,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: string adds one character for each escape. Roles of the tables hold none of the escaped characters.
 SQL = """
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
-  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS own, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, NULL, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, NULL, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), m AS (
   SELECT *, CASE WHEN contains(text, '<s>') OR contains(text, '</s>') OR contains(text, '[INST]') OR contains(text, '[/INST]')
     THEN length(regexp_replace(text, '[^\\\\<>\\[\\]|]', '', 'g')) ELSE 0 END AS more
@@ -180,5 +182,5 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
   CAST(sum(length(text) + length(role) + 11 + more) AS BIGINT) AS formatted_chars
-FROM m GROUP BY conv_id
+FROM m GROUP BY conv_id, own
 """

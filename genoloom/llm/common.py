@@ -1,8 +1,8 @@
 """What the training-data operators share: scratch space, column handling and word rules.
 
 Scratch tables go to the folder that ``spark.checkpoint.dir`` names, because executors and the
-driver see no other common folder. Only where that setting is missing (tests, a laptop) is a
-folder under /tmp/checkpoints used.
+driver see no other common folder. Only in local mode (tests, a laptop) may that setting be missing; a folder under
+/tmp/checkpoints is used then.
 """
 
 from __future__ import annotations
@@ -25,9 +25,11 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from the session; one of our own only where it is unset."""
+    """The folder all executors share, from the session; one of our own where it is unset in local mode."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         found = "file:///tmp/checkpoints/genoloom"
         spark.conf.set("spark.checkpoint.dir", found)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -74,6 +76,13 @@ def small_batches(spark: SparkSession, rows: int = 1000):
         spark.conf.set(name, before)
 
 
+def growing(size: int, each: int, most: int) -> int:
+    """How many shares of ``each`` bytes ``size`` bytes are cut into; beyond ``most`` shares their number grows with the
+    cube root only and the shares grow too, so that plans stay manageable at any size."""
+    n = max(1, -(-size // each))
+    return n if n <= most else round(most * (n / most) ** (1 / 3))
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 

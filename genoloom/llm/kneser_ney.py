@@ -12,9 +12,10 @@ start mark. Words are 64-bit hashes. Counting:
 
 Only part totals (a row a part) reach the driver, for the discounts. Scoring looks words and bigrams up in the mapped
 files in sorted order, a block of tokens at a time; no token is shuffled. Everything counted covers all training texts;
-file sizes follow the corpus and the number of parts follows its bytes.
+file sizes follow the corpus; the number of parts follows its bytes up to ``PARTS`` and their cube root beyond, and no part sends
+to more than ``WORD_PARTS`` others. A worker opens the files that a block's words ask for, ``OPEN_FILES`` at once at most.
 
-The order is 2: higher orders would shuffle a hash for almost every token and exceed the disk budget.
+The order is 2: of higher orders almost every token is a type of its own (figures in the README).
 Part files are written under a temporary name and renamed, so repeated tasks are harmless. The shared folder must be a
 path that workers can open (``file:`` or mounted); another store raises an error.
 
@@ -34,15 +35,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, crc_mod, documents, row_of, scratch, small_batches
+from .common import arrow_schema, crc_mod, documents, growing, pieces, row_of, scratch, small_batches
 
+#: Ways in which a context's bigrams are spread at least; with many parts, a part in ``SPREAD`` of them.
 SALT = 16
+SPREAD = 16
+#: Bytes of text a part, for up to ``PARTS`` parts; larger corpora have larger parts. Words, which are far fewer than
+#: bigrams, have parts of their own, at most ``WORD_PARTS``.
 PART_BYTES = 24 << 20
+PARTS = 1 << 14
+WORD_PARTS = 1 << 10
+#: Files that a worker keeps mapped at once.
+OPEN_FILES = 4096
 #: Tokens counted or scored at once, and bigrams (distinct in their block) a counting task holds.
 BLOCK = 1 << 19
 HELD = 6_000_000
 WORD_CACHE = 200_000
 ALPHA = 0.1
+LEAST_DISCOUNT = 0.05
 
 
 class Hashes(dict):
@@ -104,7 +114,8 @@ def bigram_hash(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def bigram_part(contexts: np.ndarray, words: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(contexts + words % np.uint64(SALT)) % np.uint64(parts)).astype(np.int64)
+    salt = np.uint64(max(SALT, parts // SPREAD))
+    return (mix(contexts + words % salt) % np.uint64(parts)).astype(np.int64)
 
 
 def word_part(words: np.ndarray, parts: int) -> np.ndarray:
@@ -146,7 +157,7 @@ def _counter(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[tuple]] = [[] for _ in range(parts)]
         n = 0
-        for v, w, _ in blocks(t for b in batches for t in b.column(0).to_pylist()):
+        for v, w, _ in blocks(t for b in batches for part in pieces(b, "text") for t in part.column(0).to_pylist()):
             _, v, w, c = summed(v, w)
             c = c.astype(np.uint32)
             part = bigram_part(v, w, parts)
@@ -218,7 +229,7 @@ def _grouped(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, l
     return keys[first], [np.add.reduceat(c[order], first) for c in columns]
 
 
-def _bigram_reducer(folder: str, parts: int):
+def _bigram_reducer(folder: str, word_parts: int):
     def run(table: pa.Table) -> pa.Table:
         rows = [r for b in table.to_batches() for r in zip(*(c.to_pylist() for c in b.columns))]
         raw = lambda i, kind: [np.frombuffer(r[i], kind) for r in rows]
@@ -233,9 +244,9 @@ def _bigram_reducer(folder: str, parts: int):
         found.append((1, *_grouped(w, [c, ones])))
         out = []
         for kind, words, sums in found:
-            to = word_part(words, parts)
+            to = word_part(words, word_parts)
             order = np.argsort(to, kind="stable")
-            edges = np.searchsorted(to[order], np.arange(parts + 1))
+            edges = np.searchsorted(to[order], np.arange(word_parts + 1))
             for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                 if a < b:
                     at = order[a:b]
@@ -273,11 +284,12 @@ def _word_reducer(folder: str):
 
 def discounts(c: list[int]) -> list[float]:
     """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more from the numbers of counts 1 to 4; where a
-    number that they divide by is 0, the middle of their range."""
+    number that they divide by is 0, the middle of their range. None is under ``LEAST_DISCOUNT``: the weight of the lower
+    order comes from the discounts, and without any an unseen word would have no probability."""
     if not all(c):
         return [0.5, 1.0, 1.5]
     y = c[0] / (c[0] + 2 * c[1])
-    return [min(k, max(0.0, k - (k + 1) * y * c[k] / c[k - 1])) for k in (1, 2, 3)]
+    return [min(k, max(LEAST_DISCOUNT, k - (k + 1) * y * c[k] / c[k - 1])) for k in (1, 2, 3)]
 
 
 def discount(counts: np.ndarray, d: list[float]) -> np.ndarray:
@@ -296,8 +308,8 @@ def local_path(uri: str) -> str:
 class Model:
     """Where a model's files are and its totals; small, so it goes to workers by value."""
 
-    def __init__(self, folder: str, parts: int, totals: list[tuple]):
-        self.folder, self.parts = folder, parts
+    def __init__(self, folder: str, parts: int, word_parts: int, totals: list[tuple]):
+        self.folder, self.parts, self.word_parts = folder, parts, word_parts
         own = [t for t in totals if t[1] == 3]
         self.vocabulary, self.tokens = sum(t[2] for t in own), sum(t[3] for t in own)
         self.bigrams = sum(t[8] for t in own)
@@ -307,7 +319,10 @@ class Model:
         self.files: dict[str, Mapped] = {}
 
     def mapped(self, name: str, columns: int) -> Mapped:
+        """A file, opened when it is first asked for; the one opened first goes when too many are open."""
         if name not in self.files:
+            while len(self.files) >= OPEN_FILES:
+                self.files.pop(next(iter(self.files)))
             self.files[name] = Mapped(Path(self.folder, name), columns)
         return self.files[name]
 
@@ -315,10 +330,10 @@ class Model:
         """Columns of ascending ``keys``, zero where unknown."""
         out = np.zeros((columns, len(keys)), np.int64)
         order = np.argsort(parts, kind="stable")
-        edges = np.searchsorted(parts[order], np.arange(self.parts + 1))
-        for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        asked_parts, first = np.unique(parts[order], return_index=True)
+        for p, a, b in zip(asked_parts.tolist(), first, np.append(first[1:], len(order))):
             table = self.mapped(f"{kind}-{p}", columns)
-            if a < b and len(table.keys):
+            if len(table.keys):
                 asked = order[a:b]
                 at = np.minimum(np.searchsorted(table.keys, keys[asked]), len(table.keys) - 1)
                 hit = table.keys[at] == keys[asked]
@@ -329,7 +344,7 @@ class Model:
     def score(self, contexts: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
         """(known tokens, base score, model score) of each text of a block."""
         unique, where = np.unique(np.concatenate([words, np.array([HASHES[START]], np.uint64)]), return_inverse=True)
-        total, ones, twos, more, count, cont = self.look_up("word", unique, word_part(unique, self.parts), 6)
+        total, ones, twos, more, count, cont = self.look_up("word", unique, word_part(unique, self.word_parts), 6)
         of_word = where[:-1]
         of_context = np.empty_like(of_word)
         of_context[1:] = of_word[:-1]
@@ -360,12 +375,13 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     os.makedirs(folder, exist_ok=True)
     column = texts.select(F.col(text).alias("text"))
     size = column.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
+    parts = growing(size, PART_BYTES, PARTS)
+    word_parts = min(parts, WORD_PARTS)
     counted = column.mapInArrow(_counter(parts), COUNTED)
-    passed = counted.groupBy("part").applyInArrow(_bigram_reducer(folder, parts), PASSED)
+    passed = counted.groupBy("part").applyInArrow(_bigram_reducer(folder, word_parts), PASSED)
     with small_batches(spark):
         totals = passed.groupBy("part").applyInArrow(_word_reducer(folder), TOTALS).collect()  # a row a part
-    return Model(folder, parts, [tuple(t) for t in totals])
+    return Model(folder, parts, word_parts, [tuple(t) for t in totals])
 
 
 SCORED = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
@@ -378,7 +394,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     names = arrow_schema(f"doc_id bigint, {SCORED}").names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole, "text")):
             at = 0
             for v, w, sizes in blocks(iter(batch.column(1).to_pylist())):
                 known, base, own = model.score(v, w, sizes)

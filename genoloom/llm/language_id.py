@@ -177,12 +177,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", per_languag
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            for t, name, h in zip(*(c.to_pylist() for c in batch.columns)):
-                if (name, h) not in seen:
-                    seen.add((name, h))
-                    v = vector(t)
-                    at = np.flatnonzero(v)
-                    yield row_of(SAMPLE, name, h, at.astype(np.uint16).tobytes(), v[at].tobytes())
+            for part in pieces(batch, "text"):
+                for t, name, h in zip(*(c.to_pylist() for c in part.columns)):
+                    if (name, h) not in seen:
+                        seen.add((name, h))
+                        v = vector(t)
+                        at = np.flatnonzero(v)
+                        yield row_of(SAMPLE, name, h, at.astype(np.uint16).tobytes(), v[at].tobytes())
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]

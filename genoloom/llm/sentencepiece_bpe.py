@@ -14,6 +14,8 @@ in no piece, such as a space mark after another character or a comma after a let
 around characters that aren't in the vocabulary, which become byte tokens. Cut units repeat, so each
 worker process remembers short ones; what isn't cut is encoded whole.
 
+A model is checked against the library on a few texts when it is loaded; one of another kind raises an error.
+
 Defined results: null and empty texts have no ids and decode to the empty string; decoding follows the
 library: one space in front is dropped, broken byte runs become U+FFFD per byte, control tokens nothing,
 the unknown id its surface. Rows are independent, so hot sources, copies and ties need no care.
@@ -37,6 +39,8 @@ UNKNOWN = " ⁇ "
 WORD_CACHE = 600_000
 UNIT_CACHE = 400_000
 PAIR_CACHE = 300_000
+#: Texts on which a model that merges otherwise, normalises or marks its beginning otherwise differs from this encoder.
+PROBES = ("", " ", " two  spaces ", "The unbelievable internationalisation, of 12345 things.", "naïve café ﬁ ① Å", "日本語 🙂", "tab\there\nline", "x▁y")
 #: Words of a marked text: a run of marks and what follows up to the next.
 MARKED = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -132,9 +136,16 @@ class Codec:
     made: dict[str, Codec] = {}
 
     def __init__(self, path: str):
+        import sentencepiece
+
         self.vocabulary = Vocabulary(path)
         self.words: dict[str, str] = {}
         self.units: dict[str, str] = {}
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        for text in PROBES:
+            ids = sp.encode(text)
+            if self.encode_text(text) != ",".join(map(str, ids)) or self.decode(ids) != sp.decode(ids):
+                raise ValueError(f"{path} isn't a merge model without normalisation and with a leading mark")
 
     @classmethod
     def of(cls, path: str) -> Codec:

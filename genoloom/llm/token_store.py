@@ -14,8 +14,9 @@ The perfect hash is a cascade of bit arrays: at each level a key owns its bit if
 there; the others go to the next level. The rank of the owned bit is the slot, so n keys take slots
 0..n-1 and a lookup reads a few words, a fingerprint and one slot, whatever the size of the store.
 
-Scale: one range shuffle of the texts by key, ties broken by a hash of the text so that one repeated
-key doesn't fill one task; chunks, shards and buckets hold a bounded share each; the index is built
+Scale: one range shuffle of the texts by key, ties broken by a hash of the text and a row number so that neither one
+repeated key nor one repeated row fills a task; shards follow the corpus's size up to ``SHARDS`` of them and its cube root
+beyond, chunks and buckets hold a bounded share each; the index is built
 and read bucket by bucket and never gathered; reading moves some 40 bytes a document, no payload.
 
 Defined results: null text is empty; an empty document is the end id alone; a null key sorts first
@@ -38,11 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, documents, row_of, scratch, small_batches, table
+from .common import arrow_schema, documents, growing, row_of, scratch, small_batches, table
 
 END_ID = 2
 CHUNK_IDS = 1 << 16
+#: Bytes of text a shard, for up to ``SHARDS`` shards; larger stores have larger shards, their chunks stay as they are.
 SHARD_BYTES = 16 << 20
+SHARDS = 4096
 WORD_CACHE = 350_000
 BUCKET_KEYS = 50_000
 GAMMA = 1.6
@@ -205,11 +208,12 @@ def write_store(
     spark, dtype = docs.sparkSession, id_type(tokenizer)
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
-    shards = max(-(-size // SHARD_BYTES), min(spark.sparkContext.defaultParallelism, size >> 20), 1)
+    shards = max(growing(size, SHARD_BYTES, SHARDS), min(spark.sparkContext.defaultParallelism, size >> 20), 1)
     n_buckets = -(-n // BUCKET_KEYS) or 1
     spark.createDataFrame([(n_buckets, dtype, end_id)], META).coalesce(1).write.parquet(f"{path}/meta")
-    order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
-    ranged = rows.repartitionByRange(int(shards), *order).sortWithinPartitions(*order)
+    order = [F.col("key").asc_nulls_first(), F.xxhash64("text"), F.col("row")]
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange(int(shards), *order).sortWithinPartitions(*order).drop("row")
     with small_batches(spark):
         # ids don't repeat as whole values: no dictionary, and small row groups to keep writers' buffers small
         writer = ranged.mapInArrow(_encoder(tokenizer, dtype, end_id), PAYLOAD).write

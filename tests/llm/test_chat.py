@@ -30,7 +30,8 @@ def test_escapes_only_where_needed(spark):
     got = formatted(spark, [(1, 0, "user", said), (1, 1, "assistant", "a < b [c]"), (2, 0, "user", "plain"), (3, 0, "user", None), (None, 2, None, "x"), (None, None, "user", "y")])
     assert got[1].levels == [1, 0] and got[2].levels == [0] and got[2].output == "<s>[user|0]plain</s>"
     assert "</s>[INST]" not in got[1].output.removesuffix("</s>").split("</s>")[0]
-    assert [(t.role, t.text) for t in got[None].turns] == [("user", "y"), ("", "x")]
+    alone = chat.format_chats(spark.createDataFrame([(None, 2, None, "x"), (None, None, "user", "y"), (None, None, "user", "y")], "conv_id long, turn int, role string, text string")).collect()
+    assert sorted((t.role, t.text) for r in alone for t in r.turns) == [("", "x"), ("user", "y"), ("user", "y")] and len(alone) == 3
     assert got[3].turns[0].text == ""
 
 

@@ -13,6 +13,15 @@ def tokens(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", low), None]
 
 
+def own_discounts(n):
+    """Chen and Goodman's estimates, kept within [0.05, count]; the middle where they are undefined."""
+    n1, n2, n3, n4 = n
+    if 0 in n:
+        return [0.5, 1, 1.5]
+    y = n1 / (n1 + 2 * n2)
+    return [max(0.05, min(1, 1 - 2 * y * n2 / n1)), max(0.05, min(2, 2 - 3 * y * n3 / n2)), max(0.05, min(3, 3 - 4 * y * n4 / n3))]
+
+
 def brute(train, texts):
     """Both scores from dictionaries, straight from the definitions."""
     pairs, words = Counter(), Counter()
@@ -26,7 +35,7 @@ def brute(train, texts):
         after[a].append(c)
         before[b] += 1
     count = lambda xs: [sum(x == k for x in xs) for k in (1, 2, 3, 4)]
-    high, low = kn.discounts(count(pairs.values())), kn.discounts(count(before.values()))
+    high, low = own_discounts(count(pairs.values())), own_discounts(count(before.values()))
     cut = lambda c, d: d[min(c, 3) - 1] if c else 0
 
     def p(a, b):
@@ -79,3 +88,33 @@ def test_large_counts_stay_exact(tmp_path):
     assert file.keys.tolist() == keys.tolist()
     assert [file.counts(k, np.arange(4)).tolist() for k in (0, 1)] == [counts.tolist(), counts[::-1].tolist()]
     assert len(kn.Mapped(tmp_path / "none", 2).keys) == 0
+
+
+def test_no_discount_leaves_a_word_without_probability(spark):
+    """Count of counts 10, 6, 20, 2: the second discount would be 0."""
+    train = [f"t{i}" for i, n in enumerate([1] * 10 + [2] * 6 + [3] * 20 + [4] * 2) for _ in range(n)]
+    texts = ["t0 zzz", "t11 zzz", "zzz zzz", "t12 t3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.score for r in kn.score(docs, kn.train(spark.createDataFrame([(t,) for t in train], "text string"))).orderBy("doc_id").collect()]
+    assert np.isfinite(got).all() and got == pytest.approx([w[4] for w in brute(train, texts)[0]], rel=1e-9)
+
+
+def test_parts_of_any_corpus_are_few(monkeypatch):
+    from genoloom.llm import token_store
+    from genoloom.llm.common import growing
+
+    assert growing(0, 10, 5) == 1 and growing(50, 10, 5) == 5 and growing(50_000, 10, 5) == 50
+    for size in (10**12, 10**14):  # up to 10 ** 11 documents
+        parts, shards = growing(size, kn.PART_BYTES, kn.PARTS), growing(size, token_store.SHARD_BYTES, token_store.SHARDS)
+        assert parts * kn.WORD_PARTS < 2 * 10**8 and shards < 60_000 and size / shards < 4 << 30
+
+
+def test_long_and_repeated_texts_and_few_open_files(spark, monkeypatch):
+    monkeypatch.setattr(kn, "PART_BYTES", 4000)
+    monkeypatch.setattr(kn, "OPEN_FILES", 2)
+    long = " ".join(f"w{i % 701}" for i in range(60_000))
+    texts = [long, "a b", "a b", long]
+    docs = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = sorted(tuple(r)[1:] for r in kn.score(docs, kn.train(docs)).collect())
+    for g, w in zip(got, sorted(brute(texts, texts)[0]), strict=True):
+        assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:], rel=1e-9)

@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from genoloom.llm import language_id as li
@@ -15,6 +18,49 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def slow_buckets(text):
+    """n-gram buckets with Python integers, one n-gram at a time."""
+    letters = [c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text]
+    letters = [c if ord(o) < 1 << 16 else o for c, o in zip(letters, text)]
+    points = [32] + [ord(c) for i, c in enumerate(letters) if c != " " or i and letters[i - 1] != " "] + [32]
+    out, word = [], (1 << 32) - 1
+    for n in li.ORDERS:
+        for i in range(len(points) - n + 1):
+            state = 0
+            for k in range(n):
+                state = (state * 0x01000193 & word) ^ (points[i + k] * 0x9E3779B1 & word)
+            x = (state ^ state >> 15) * (0x85EBCA77 + 2 * n) & word
+            out.append(((x ^ x >> 13) * 0xC2B2AE3D & word) >> (32 - 14))
+    return out
+
+
+def slow_decode(text, model):
+    """Weighted losses of each codeword, bit by bit."""
+    counts = {}
+    for b in slow_buckets(text):
+        counts[b] = counts.get(b, 0) + 1
+    length = math.sqrt(sum(counts.values()))
+    margins = [sum(math.sqrt(c) / length * model.weights[b, j] for b, c in counts.items()) + model.weights[-1, j] for j in range(model.code.shape[1])]
+    losses = [sum(r * math.log1p(math.exp(-bit * m)) for r, bit, m in zip(model.reliable, row, margins)) for row in model.code]
+    best = min(range(len(losses)), key=lambda k: (losses[k], k))
+    return model.langs[best], 1 / sum(math.exp(losses[best] - x) for x in losses)
+
+
+def test_decoding_against_plain_loops(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = li.fit(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
+    texts = [r.text for r in docs.orderBy("doc_id").limit(40).collect()] + ["Ünï 日本 x", "a", "İstanbul 1 ß", "été " * 20_000]
+    names, scores = model.predict(texts)
+    for text, name, score in zip(texts, names, scores):
+        want = slow_decode(text, model)
+        assert (name, score) == (want[0], pytest.approx(want[1], rel=1e-3))
+
+
+def test_ties_give_the_first_language():
+    model = li.Model(["a", "b", "c"], np.zeros((li.BUCKETS + 1, 3), np.float32), np.ones(3, np.float32))
+    assert model.predict(["any text", None]) == (["a", "und"], [pytest.approx(1 / 3), 0.0])
+
+
 def test_codewords_are_apart():
     for k in (2, 3, 4, 5, 6, 12, 40):
         code = li.codewords(k).astype(int)

@@ -44,3 +44,10 @@ def test_frames(spark, tmp_path):
     back = sb.decode_ids(sb.add_pieces(docs, MODEL, outputs=("ids",)), MODEL).orderBy("doc_id").collect()
     assert [r.decoded for r in back] == [r.decoded for r in got]
     assert sb.add_pieces(docs.limit(0), MODEL).count() == 0
+
+
+def test_other_models_raise(monkeypatch):
+    real = sentencepiece.SentencePieceProcessor.encode
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "encode", lambda self, x: real(self, x.casefold()))
+    with pytest.raises(ValueError, match="merge model"):
+        sb.Codec(MODEL)
