@@ -12,7 +12,8 @@ which form a key together, some m - 3 differ by at most one bit in all, as 4 bit
 such a pair shares no key with a probability of at most ``MISS``, each as wide as the number of fingerprints asks for.
 Proposals are near in their first two words; ``shingles`` verifies them on the sets themselves.
 
-A pair is handled under the first key that it shares, where all words are compared. A bucket of
+A pair is handled under the first key that it shares, where all words are compared; otherwise a bucket gives a star for each
+component of its proposals, around the smallest node, so that proposals grow with a group's size and not its square. A bucket of
 more than ``SMALL`` fingerprints gives a spanning forest of its links instead of all pairs: links are found by
 breadth-first search, and a large bucket of the exact scheme is cut again by wildcards over its other bits. No bucket is capped.
 
@@ -229,7 +230,7 @@ def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     word = F.element_at(F.array(*scheme.columns), F.col("k.word") + 1)
     shown = scheme.columns[: scheme.compared]
     keyed = each.select(F.col("w").cast("smallint").alias("w"), *shown, "node", word.bitwiseAND(F.col("k.mask")).alias("v"))
-    dealt = keyed.repartition("w", "v").sortWithinPartitions("w", "v")
+    dealt = keyed.repartition("w", "v").sortWithinPartitions("w", "v", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []  # the last bucket's rows may go on in the next batch
@@ -258,6 +259,22 @@ def links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     return dealt.mapInArrow(run, LINKS)
 
 
+def stars(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (x, the smallest of its component) that connect what the links (i, j) connect: one for each x, not for each pair."""
+    names, ends = np.unique(np.concatenate([i, j]), return_inverse=True)
+    i, j, label = ends[: len(i)], ends[len(i) :], np.arange(len(names))
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        if (new == label).all():
+            break
+        label = new[new]
+    other = np.flatnonzero(label != np.arange(len(names)))
+    return names[other], names[label[other]]
+
+
 def _bucket_links(rows: np.ndarray, scheme: Scheme) -> list[pa.Array]:
     """Links of whole buckets, which stand one after the other; rows are key, fingerprint words, node, value."""
     w, node, v = rows[0], rows[-2], rows[-1]
@@ -267,15 +284,23 @@ def _bucket_links(rows: np.ndarray, scheme: Scheme) -> list[pa.Array]:
     size = np.repeat(sizes, sizes)
     place = np.arange(len(w)) - np.repeat(starts, sizes)
     a, b = [], []
+    one_key = scheme.compared == scheme.words  # a pair is linked under the first key that it shares
+    ends: list[tuple[np.ndarray, np.ndarray]] = []
     for d in range(1, min(SMALL, int(sizes.max(initial=1)))):
         i = np.flatnonzero((size <= SMALL) & (place + d < size))
         x = fps[i] ^ fps[i + d]
         near = distance(x) <= scheme.distance
         i, x = i[near], x[near]
-        if scheme.compared == scheme.words:
+        if one_key:
             i = i[first_key(x, scheme) == w[i]]
-        a.append(node[i])
-        b.append(node[i + d])
+            a.append(node[i])
+            b.append(node[i + d])
+        else:
+            ends.append((i, i + d))
+    if ends:
+        linked, first = stars(*map(np.concatenate, zip(*ends)))
+        a.append(node[linked])
+        b.append(node[first])
     for s in np.flatnonzero(sizes > SMALL):
         at = starts[s]
         pairs = forest(fps[at : at + sizes[s]], scheme)

@@ -129,3 +129,14 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 100), (300, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {200: 100}
+
+
+def test_stars_connect_what_links_connect():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 60):
+        i = rng.integers(0, 90, n)
+        j = i + rng.integers(1, 9, n)
+        x, first = sh.stars(i, j)
+        pairs = {(a, b) for a, b in zip(i.tolist(), j.tolist())}
+        want = slow_components({k: k for k in {*i.tolist(), *j.tolist()}}, lambda a, b: (a, b) in pairs or (b, a) in pairs)
+        assert dict(zip(x.tolist(), first.tolist())) == {k: v for k, v in want.items() if v != k}
