@@ -2,7 +2,7 @@
 
 Rules (documented contract): an output is named ``feature.<set>@<path>``, nested fields joined by dots; only listed
 variables survive; sets are joined by full outer joins on their common key columns; a set without a broadcast column
-(``tissue``) is crossed with that column's distinct values over the other sets; fill values apply after the join; rows
+(``tissue``) is crossed with that column's distinct values over the other sets; sets that share no key at all are an error; fill values apply after the join; rows
 with a null key are removed last.
 """
 
@@ -59,7 +59,9 @@ def join_featuresets(
 
     def join(a: DataFrame, b: DataFrame) -> DataFrame:
         on = [k for k in keys if k in a.columns and k in b.columns]
-        return a.join(b, on, how) if on else a.crossJoin(small(b))
+        if not on:
+            raise ValueError(f"feature sets share none of the keys {keys}")
+        return a.join(b, on, how)
 
     out = reduce(join, parts)
     present = [k for k in keys if k in out.columns]

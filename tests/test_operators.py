@@ -150,6 +150,8 @@ def test_featuresets(spark):
     out = featureset.join_featuresets({"vep": a, "e": b}, {"vep": [{"features": ["x.max"]}], "e": ["z"]}, keys, {"feature.e@z": 0.0})
     assert out.columns == [*keys, "feature.vep@features.x.max", "feature.e@z"]
     assert [tuple(r) for r in out.collect()] == [("v", "g", "liver", 1.0, 7.0)]
+    with pytest.raises(ValueError, match="share none"):
+        featureset.join_featuresets({"a": spark.createDataFrame([("v", 1)], "chrom string, x int"), "b": spark.createDataFrame([("g", 1)], "gene string, y int")}, {"a": ["x"], "b": ["y"]}, keys)
 
 
 def test_predict_edges(spark):
