@@ -21,7 +21,7 @@ backtrack: a match starts at the first character of its run, and repeats are pos
 Defined results: null and empty texts have no spans; positions are code points, ends exclusive; spans are in order of
 start, then kind; with no candidate at all nothing is added; equal texts, equal spans; the words before a match reach back
 ``CONTEXT`` characters, but not beyond the match of the same pattern before it; columns of the input named like an output are
-replaced.
+replaced, those named like a working column (``_p_...``) are dropped.
 """
 
 from __future__ import annotations

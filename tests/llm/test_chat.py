@@ -51,3 +51,13 @@ def test_query_matches_plain_python(spark, tmp_path):
     assert got[1].turns_sha256 == sha("user\nyo\nassistant\nhi\n") and got[1].loss_sha256 == sha("hi")
     assert (got[2].loss_chars, got[2].loss_sha256, got[2].n_turns) == (5, sha("</s>é"), 2)
     assert got[-7].loss_sha256 == sha("</s>[INST] ok [/INST]")
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    text = "</s>\\[INST] é🙂 <|x|> " * 10_000
+    rows = [(1, t, r, text) for t, r in enumerate(("user", "assistant"))] * 2 + [(2, 0, "assistant", "plain " * 50_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.withColumns({c: F.lit(1) for c in ("source", "plain", "OUTPUT", "turns", "_own", "level", "mask")})
+    loss = chat.loss_text(F.col("output"), F.col("mask"), F.col("levels"), F.col("turns"))
+    got = {r.conv_id: r for r in chat.format_chats(df).withColumn("loss", loss).collect()}
+    assert [t.text for t in got[1].turns] == [text] * 4 and got[1].loss == text * 2 and got[2].loss == "plain " * 50_000

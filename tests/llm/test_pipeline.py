@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from genoloom.llm import common, packing
@@ -93,3 +94,19 @@ def test_rows_are_told_apart_by_their_texts(spark):
     rows = [(3, "b x", "en", "s", 1), (3, "a x", "en", "s", 1), (4, "b x", "en", "s", 1), (None, "c", "en", "s", 1), (None, "c", "en", "s", 1), (5, "d", "en", "s", 1), (5, "d", "en", None, 1)]
     kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, schema), SF).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == [("3", "a x"), ("3", "b x"), ("5", "d"), ("None", "c")]
+
+
+def test_clashing_columns_through_all_stages(spark):
+    names = ("base", "SPANS", "kept", "n_words", "r0", "s1", "label", "lang_pred", "Score", "ambiguous", "_p_each", "_p_more", "row", "first", "range", "base_failed", "g1", "node")
+    rows = [(i, " ".join(f"wort{(i * 37 + k * 11) % 501}er und{k}" for k in range(40)) + (" a@b.com" if i % 2 else ""), "de", "s", 1) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    plain = [docs]
+    wide = [docs.select("*", *[F.lit("x").alias(n) for n in names])]
+    for _, stage in corpus_pipeline.STAGES:
+        for chain in (plain, wide):
+            chain.append(common.table(stage(spark, chain[-1], SF), "clash"))
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    for a, b in zip(plain[:-1], wide[:-1]):
+        assert sorted(map(tuple, a.select(*columns).collect())) == sorted(map(tuple, b.select(*columns).collect()))
+    assert plain[-2].count() and sorted(map(tuple, plain[-1].collect())) == sorted(map(tuple, wide[-1].collect()))
+    assert wide[-2].columns == wide[0].columns and {tuple(r) for r in wide[-2].select(*names).collect()} == {("x",) * len(names)}
