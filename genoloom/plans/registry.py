@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 from ..operators import annotations, featureset, groups, intervals, lookups, predict, splice, tissue_features, tracks, variants
-from ..schemas import SPLICE_OUTPUT, SPLICE_SCORES, VARIANT_KEY, ddl, q
+from ..schemas import JUNCTION_SCORES, SPLICE_OUTPUT, SPLICE_SCORES, VARIANT_KEY, ddl, q
 from ..sources import genome, sinks, text_tables
 from . import bridge
 
@@ -813,3 +813,74 @@ def model_sequence_requests(spark: SparkSession, d: str) -> DataFrame:
     rows = bridge.frame(spark, d, "SELECT c_custkey, c_nationkey AS chrom, c_custkey * 13 AS start FROM customer")
     genes = bridge.frame(spark, d, "SELECT o_orderkey, o_custkey % 25 AS chrom, o_custkey * 11 AS tss, '+' AS strand FROM orders")
     return tracks.sequence_requests("alternative", genes, rows).select("o_orderkey", "c_custkey", "shift")
+
+
+# --- files by their names -------------------------------------------------------------------------
+
+
+def named_file(spark: SparkSession, lines: DataFrame, folder: str, name: str) -> None:
+    """Lines (value) as one file of this name, for readers that go by names."""
+    made = scratch(spark)
+    lines.coalesce(1).write.text(made)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(at(folder))
+    files.rename(files.globStatus(at(f"{made}/part-*"))[0].getPath(), at(folder, name))
+
+
+def text_lines(spark: SparkSession, *values: str) -> DataFrame:
+    return spark.createDataFrame([(v,) for v in values], "value string").coalesce(1)
+
+
+ENDINGS = (".vcf", ".vcf.gz", ".txt", ".bcf", ".vcf.bgz")
+
+
+@query("""
+SELECT concat('r', CAST(r_regionkey AS VARCHAR), ['.vcf', '.vcf.gz', '.txt', '.bcf', '.vcf.bgz'][CAST(r_regionkey AS INTEGER) + 1]) AS name FROM region WHERE r_regionkey <> 2""")
+def variant_file_discovery(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch(spark)
+    for (k,) in bridge.frame(spark, d, "SELECT CAST(r_regionkey AS INT) FROM region").collect():  # five files
+        named_file(spark, text_lines(spark, "#x"), f"{folder}/{k % 2}", f"r{k}{ENDINGS[k]}")
+    return text_tables.variant_files(spark, folder).select("name")
+
+
+@query("""
+SELECT concat('chr1:', CAST(p_partkey AS VARCHAR), '-', CAST(p_partkey + 9 AS VARCHAR), ':+') AS junction, CASE WHEN p_size % 2 = 0 THEN 'Liver' ELSE 'Skin - Leg' END AS tissue,
+  CASE WHEN p_size % 4 < 2 THEN 'psi5' ELSE 'psi3' END AS event_type FROM part""")
+def splice_map_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch(spark)
+    rows = bridge.frame(spark, d, "SELECT concat('chr1:', CAST(p_partkey AS STRING), '-', CAST(p_partkey + 9 AS STRING), ':+') AS value, p_size FROM part")
+    for i in range(4):
+        tissue, event = ("Skin - Leg" if i % 2 else "Liver"), ("psi5" if i < 2 else "psi3")
+        named_file(spark, text_lines(spark, "junction").union(rows.where(F.col("p_size") % 4 == i).select("value")), folder, f"{tissue}_splicemap_{event}_v1.csv")
+    return text_tables.splice_maps(spark, f"{folder}/*_splicemap_*.csv", "_splicemap").select("junction", "tissue", "event_type")
+
+
+@query("""
+SELECT 'chrom' AS kind, concat('c', CAST(n_nationkey AS VARCHAR)) AS alias, n_name AS name FROM nation
+UNION ALL SELECT 'tissue', n_name, concat('t', CAST(n_regionkey AS VARCHAR)) FROM nation""")
+def alias_tables_read(spark: SparkSession, d: str) -> DataFrame:
+    folder = scratch(spark)
+    rows = bridge.frame(spark, d, "SELECT concat('c', CAST(n_nationkey AS STRING)) AS c, n_name, concat('t', CAST(n_regionkey AS STRING)) AS t FROM nation")
+    named_file(spark, text_lines(spark, "#alias\tchrom").union(rows.select(F.concat_ws("\t", "c", "n_name"))), folder, "chromosomes.tsv")
+    named_file(spark, text_lines(spark, "old,new,more").union(rows.select(F.concat_ws(",", "n_name", "t", F.lit("x")))), folder, "tissues.csv")
+    chroms = text_tables.chromosome_aliases(spark, f"{folder}/chromosomes.tsv").select(F.lit("chrom").alias("kind"), "alias", F.col("chrom").alias("name"))
+    tissues = text_tables.tissue_aliases(spark, f"{folder}/tissues.csv").select(F.lit("tissue").alias("kind"), "alias", F.col("tissue").alias("name"))
+    return chroms.union(tissues)
+
+
+@query("""
+SELECT concat('chr1:', CAST(l_orderkey AS VARCHAR), ':A>C') AS variant, l_returnflag AS tissue, l_discount AS delta_logit_psi, l_quantity AS median_n FROM lineitem""")
+def junction_csv_read(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch(spark)
+    rows = bridge.frame(spark, d, "SELECT CAST(l_quantity AS DOUBLE) AS median_n, l_returnflag AS tissue, concat('chr1:', CAST(l_orderkey AS STRING), ':A>C') AS variant, CAST(l_discount AS DOUBLE) AS delta_logit_psi FROM lineitem")
+    more = [f.name for f in ddl(JUNCTION_SCORES).fields if f.name not in rows.columns]
+    rows.withColumns({c: F.lit(None).cast("string") for c in more}).coalesce(1).write.csv(path, header=True)
+    return text_tables.junction_scores(spark, path).select("variant", "tissue", "delta_logit_psi", "median_n")
+
+
+@query("SELECT chrom, min(start_) AS min_start, count(*) AS num_rows, row_number() OVER (ORDER BY chrom) AS place FROM scores GROUP BY chrom")
+def ordered_region_stats(spark: SparkSession, d: str) -> DataFrame:
+    stats = tissue_features.region_stats(keyed(bridge.frame(spark, d, "scores"))).orderBy("chrom")  # a row a contig
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("bigint")
+    return stats.select("chrom", "min_start", "num_rows", place.alias("place"))
