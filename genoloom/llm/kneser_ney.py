@@ -1,21 +1,25 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, kept as sorted hash arrays in the shared folder
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark, kept as sorted hash arrays in the shared folder
 and memory-mapped by the workers that score.
 
-Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased and one end token a text; the first word's context is a
-start mark. Words are 64-bit hashes. Counting:
-
-1. each task counts its bigrams (context, word) and deals them, compressed, to parts by a hash of the context and a
-   few bits of the word, so that even a context that stands before a third of all words is spread;
-2. each part sums its bigrams, writes a file of sorted bigram hashes with their counts, and passes on, per context and
-   per word, sums of what the model needs (totals, numbers of counts 1, 2 and 3 or more, continuations);
-3. word parts sum those and write a file of sorted word hashes with the sums.
-
-Only part totals (a row a part) reach the driver, for the discounts. Scoring looks words and bigrams up in the mapped
-files in sorted order, a block of tokens at a time; no token is shuffled. Everything counted covers all training texts;
-file sizes follow the corpus; the number of parts follows its bytes up to ``PARTS`` and their cube root beyond, and no part sends
-to more than ``WORD_PARTS`` others. A worker opens the files that a block's words ask for, ``OPEN_FILES`` at once at most.
-
-The order is 2: of higher orders almost every token is a type of its own (figures in the README).
+Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased and one end token a text; start marks stand before the first.
+Words are 64-bit hashes. Counting, for order 3 (order 2 begins with the second step):
+
+1. each task counts its trigrams and deals them to parts by a hash of their context (the first two words). A shipped row
+   carries its distinct words once; trigrams are places in that list, with runs of equal contexts;
+2. trigram parts sum them, write a file of trigrams with their counts and one of contexts with sums of what the model
+   needs (total, numbers of counts 1, 2 and 3 or more), and deal the last two words of each distinct trigram on, with the number
+   of different words before them (after a start mark: their count, as nothing else can stand before);
+3. bigram parts do the same with those and pass on, per context and per word, such sums and continuations;
+4. word parts sum those and write a file of words.
+
+Only part totals (a row a part) reach the driver, for the discounts. Scoring looks words, pairs and trigrams up in the
+mapped files, a block of tokens at a time; no token is shuffled. Everything counted covers all training texts; file
+sizes follow the corpus; the number of parts follows its bytes up to ``PARTS`` and their cube root beyond. A word that is a third
+of all tokens is spread, as two words choose a part and a task sends each distinct n-gram once. A worker opens the files
+that a block's words ask for, ``OPEN_FILES`` at once at most.
+
+A file keeps of each hash the bits that choose a bucket of about 32 and 32 bits more, so an n-gram that was never seen is
+taken for a seen one with a probability of about 1 in 130 million, at any size.
 Part files are written under a temporary name and renamed, so repeated tasks are harmless. The shared folder must be a
 path that workers can open (``file:`` or mounted); another store raises an error.
 
@@ -26,6 +30,7 @@ models; copies score alike; columns of the input beside key and text aren't carr
 from __future__ import annotations
 
 import os
+import pickle
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -37,19 +42,17 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, crc_mod, documents, growing, pieces, row_of, scratch, small_batches
 
-#: Ways in which a context's bigrams are spread at least; with many parts, a part in ``SPREAD`` of them.
-SALT = 16
-SPREAD = 16
+ORDER = 3
 #: Bytes of text a part, for up to ``PARTS`` parts; larger corpora have larger parts. Words, which are far fewer than
-#: bigrams, have parts of their own, at most ``WORD_PARTS``.
-PART_BYTES = 24 << 20
+#: n-grams, have parts of their own, at most ``WORD_PARTS``.
+PART_BYTES = 16 << 20
 PARTS = 1 << 14
 WORD_PARTS = 1 << 10
 #: Files that a worker keeps mapped at once.
 OPEN_FILES = 4096
-#: Tokens counted or scored at once, and bigrams (distinct in their block) a counting task holds.
+#: Tokens scored and counted at once.
 BLOCK = 1 << 19
-HELD = 6_000_000
+HELD = 1 << 22
 WORD_CACHE = 200_000
 ALPHA = 0.1
 LEAST_DISCOUNT = 0.05
@@ -81,26 +84,31 @@ def token_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
 
 
-def blocks(texts: Iterator[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(contexts, words, sizes of texts) for runs of whole texts of about ``BLOCK`` tokens."""
+def blocks(texts: Iterator[str | None], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(words, sizes of texts) for runs of whole texts of about ``most`` tokens."""
     held, n = [], 0
     for text in texts:
         held.append(token_hashes(text))
         n += len(held[-1])
-        if n >= BLOCK:
-            yield joined(held)
+        if n >= most:
+            yield np.concatenate(held), np.array([len(t) for t in held])
             held, n = [], 0
     if held:
-        yield joined(held)
+        yield np.concatenate(held), np.array([len(t) for t in held])
+
 
+def before(values: np.ndarray, sizes: np.ndarray, start: int) -> np.ndarray:
+    """Of each token the value of the token before it; of a text's first one, ``start``."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[np.cumsum(sizes) - sizes] = start
+    return out
 
-def joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    words = np.concatenate(texts)
-    sizes = np.array([len(t) for t in texts])
-    contexts = np.empty_like(words)
-    contexts[1:] = words[:-1]
-    contexts[np.cumsum(sizes) - sizes] = HASHES[START]
-    return contexts, words, sizes
+
+def numbered(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct words with the start mark, the place of each token's word and that of the start mark."""
+    unique, places = np.unique(np.append(words, np.uint64(HASHES[START])), return_inverse=True)
+    return unique, places[:-1], int(places[-1])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -109,175 +117,274 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def bigram_hash(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return mix(contexts * np.uint64(0x9E3779B97F4A7C15) + words)
-
-
-def bigram_part(contexts: np.ndarray, words: np.ndarray, parts: int) -> np.ndarray:
-    salt = np.uint64(max(SALT, parts // SPREAD))
-    return (mix(contexts + words % salt) % np.uint64(parts)).astype(np.int64)
+def joint_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
-def word_part(words: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(words + np.uint64(77)) % np.uint64(parts)).astype(np.int64)
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    narrow = np.uint16 if parts <= 1 << 16 else np.uint32  # stable sorts of 16 bits are counting sorts
+    return (mix(hashes + np.uint64(77)) % np.uint64(parts)).astype(narrow)
 
 
-def summed(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """(hash, context, word, count) of distinct bigrams, by hash."""
-    keys = bigram_hash(contexts, words)
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    if counts is None:
-        total = np.diff(np.append(first, len(keys)))
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """Places where sorted rows differ from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = False
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def grouped(columns: list[np.ndarray], n: int, sums: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct rows of ``columns`` of numbers under ``n``, ascending, and their sums."""
+    bits = max(1, (n - 1).bit_length())
+    if bits * len(columns) <= 64:
+        key = columns[0].astype(np.uint64)
+        for c in columns[1:]:
+            key = key << np.uint64(bits) | c.astype(np.uint64)
+        order = np.argsort(key)
+        first = changes(key[order])
     else:
-        total = np.add.reduceat(counts[order], first) if len(first) else counts
+        order = np.lexsort(columns[::-1])
+        first = changes(*(c[order] for c in columns))
     at = order[first]
-    return keys[first], contexts[at], words[at], total.astype(np.int64)
+    return [c[at] for c in columns], [np.add.reduceat(s[order], first) if len(first) else s for s in sums]
 
 
-COUNTED = "part bigint, contexts binary, runs binary, words binary, counts binary"
-PASSED = "part bigint, kind int, words binary, sums binary"
-TOTALS = "part bigint, kind int, words bigint, tokens bigint, c1 bigint, c2 bigint, c3 bigint, c4 bigint, more bigint"
+def counted(columns: list[np.ndarray], n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of ``columns`` of numbers under ``n``, ascending, and how often each occurs."""
+    bits = max(1, (n - 1).bit_length())
+    if bits * len(columns) > 64:
+        rows, (c,) = grouped(columns, n, [np.ones(len(columns[0]), np.int64)])
+        return rows, c
+    key = columns[0].astype(np.uint64)
+    for c in columns[1:]:
+        key = key << np.uint64(bits) | c.astype(np.uint64)
+    key.sort()
+    first = changes(key)
+    times = np.diff(np.append(first, len(key)))
+    key = key[first]
+    mask = np.uint64((1 << bits) - 1)
+    return [(key >> np.uint64(bits * k) & mask).astype(np.int64) for k in reversed(range(len(columns)))], times
+
 
+def narrow(a: np.ndarray) -> np.ndarray:
+    top = int(a.max()) if len(a) else 0
+    return a.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max))
 
-def _counter(parts: int):
-    def dealt(held: list[list[tuple]]) -> Iterator[pa.RecordBatch]:
-        for p, own in enumerate(held):
-            if own:
-                _, v, w, c = summed(*(np.concatenate(x) for x in zip(*own)))
-                own.clear()
-                order = np.lexsort((w, v))
-                v, w, c = v[order], w[order], c[order]
-                first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
-                runs = np.diff(np.append(first, len(v))).astype(np.uint32)
-                raw = (v[first], runs, w, c.astype(np.uint32))
-                yield row_of(COUNTED, p, *(x.tobytes() for x in raw))
 
+CODED = "part bigint, data binary"
+TOTALS = "part bigint, kind int, words bigint, tokens bigint, c1 bigint, c2 bigint, c3 bigint, c4 bigint, more bigint"
+#: Rows under this part are numbers of counts 1 to 4 on their way to the driver.
+EXACT = -1
+
+
+def dealt(parts: int, part: np.ndarray, words: np.ndarray, columns: list[np.ndarray], sums: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A row a part: its distinct words, its sorted ``columns`` as places among them (all but the last in runs), ``sums``."""
+    order = np.argsort(part, kind="stable")
+    asked, first = np.unique(part[order], return_index=True)
+    place = np.zeros(len(words), np.int64)
+    for p, a, b in zip(asked.tolist(), first, np.append(first[1:], len(order))):
+        at = order[a:b]
+        own = [c[at] for c in columns]
+        used = np.unique(np.concatenate([c[changes(c)] for c in own]))
+        place[used] = np.arange(len(used))
+        own = [place[c] for c in own]
+        runs = []
+        for k in range(len(own) - 1):
+            head = changes(*own[: k + 1])
+            runs.append((narrow(own[k][head]), narrow(np.diff(np.append(head, len(at))))))
+        data = (words[used], runs, narrow(own[-1]), [narrow(s[at]) for s in sums])
+        yield row_of(CODED, p, pickle.dumps(data, 5))
+
+
+def gathered(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(distinct words, columns of places among them, sums) of a part's rows."""
+    rows = [pickle.loads(d) for d in table.column("data").to_pylist()]
+    words = np.unique(np.concatenate([r[0] for r in rows]))
+    columns: list[list[np.ndarray]] = [[] for _ in range(len(rows[0][1]) + 1)]
+    for own, runs, last, _ in rows:
+        place = np.searchsorted(words, own).astype(np.uint32)
+        for k, (values, lengths) in enumerate(runs):
+            columns[k].append(np.repeat(place[values], lengths))
+        columns[-1].append(place[last])
+    sums = [np.concatenate(s).astype(np.int64) for s in zip(*(r[3] for r in rows))]
+    return words, [np.concatenate(c) for c in columns], sums
+
+
+def _counter(order: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple]] = [[] for _ in range(parts)]
-        n = 0
-        for v, w, _ in blocks(t for b in batches for part in pieces(b, "text") for t in part.column(0).to_pylist()):
-            _, v, w, c = summed(v, w)
-            c = c.astype(np.uint32)
-            part = bigram_part(v, w, parts)
-            order = np.argsort(part, kind="stable")
-            edges = np.searchsorted(part[order], np.arange(parts + 1))
-            for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-                if a < b:
-                    at = order[a:b]
-                    held[p].append((v[at], w[at], c[at]))
-            n += len(v)
-            if n >= HELD:
-                yield from dealt(held)
-                n = 0
-        yield from dealt(held)
+        texts = (t for b in batches for part in pieces(b, "text") for t in part.column(0).to_pylist())
+        for hashes, sizes in blocks(texts, HELD):
+            words, places, start = numbered(hashes)
+            chain = [places]
+            for _ in range(order - 1):
+                chain.insert(0, before(chain[0], sizes, start))
+            rows, c = counted(chain, len(words))
+            part = part_of(joint_hash(words[rows[0]], words[rows[1]]), parts)
+            yield from dealt(parts, part, words, rows, [c] if order == 3 else [c, c])
 
     return run
 
 
-#: Counts are stored in 16 bits; this one says that the exact count stands in the column's list of large ones.
-LARGE = 0xFFFF
-
-
 def _store(path: Path, keys: np.ndarray, *columns: np.ndarray) -> None:
-    """A file of ascending keys and their counts: a header (keys, columns, large counts of each column), the keys, for
-    each column the places and values of its large counts, then the columns. Renamed when complete."""
+    """A file of ascending keys and their counts: a header, the (up to 255) most frequent rows of counts, places and counts
+    of all rows that aren't among them, where each bucket of keys begins, 32 bits of each key, and a byte that names each
+    key's row of counts. Renamed when complete."""
     draft = path.with_name(f".{path.name}-{uuid.uuid4().hex}")
-    large = [np.flatnonzero(c >= LARGE) for c in columns]
-    with draft.open("wb") as f:
-        f.write(np.array([len(keys), len(columns), *map(len, large)], np.uint64).tobytes())
-        f.write(keys.astype(np.uint64).tobytes())
-        for at, c in zip(large, columns):
-            f.write(np.stack([at, c[at]]).astype(np.uint64).tobytes())
+    order = np.argsort(keys)
+    keys, columns = keys[order], np.stack([c[order] for c in columns]).astype(np.int64)
+    n = len(keys)
+    bits = min(32, max(1, (n >> 5).bit_length()))
+    edges = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    depth = int(np.diff(edges).max()).bit_length()
+    if len(columns) == 1:
+        kind = columns[0].astype(np.uint64)
+    else:
+        kind = np.zeros(n, np.uint64)
         for c in columns:
-            f.write(np.minimum(c, LARGE).astype(np.uint16).tobytes())
+            kind = mix(kind + c.astype(np.uint64) + np.uint64(1))
+    _, first, of, times = np.unique(kind, return_index=True, return_inverse=True, return_counts=True)
+    common = np.argsort(-times, kind="stable")[:255]
+    code = np.full(len(first), 255, np.uint8)
+    code[common] = np.arange(len(common))
+    code = code[of]
+    rare = np.flatnonzero(code == 255)
+    with draft.open("wb") as f:
+        f.write(np.array([n, len(columns), bits, depth, len(common), len(rare)], np.int64).tobytes())
+        f.write(columns[:, first[common]].tobytes())
+        f.write(rare.astype(np.int64).tobytes())
+        f.write(columns[:, rare].tobytes())
+        f.write(edges.astype(np.int64).tobytes())
+        f.write((keys >> np.uint64(32 - bits)).astype(np.uint32).tobytes())
+        f.write(code.tobytes())
     os.replace(draft, path)
 
 
 class Mapped:
     """A stored file, memory-mapped. A part that got no rows has no file and no keys."""
 
-    def __init__(self, path: Path, columns: int):
+    def __init__(self, path: Path):
+        self.n = 0
         if not path.exists():
-            self.keys, self.columns = np.zeros(0, np.uint64), []
             return
         raw = np.memmap(path, np.uint8, "r")
-        n, _, *sizes = raw[: 8 * (2 + columns)].view(np.uint64).astype(int)
-        at = 8 * (2 + columns)
-        self.keys = raw[at : at + 8 * n].view(np.uint64)
-        at += 8 * n
-        large = []
-        for m in sizes:
-            large.append(raw[at : at + 16 * m].view(np.uint64).reshape(2, m))
-            at += 16 * m
-        self.columns = [(raw[at + 2 * n * k : at + 2 * n * (k + 1)].view(np.uint16), x) for k, x in enumerate(large)]
-
-    def counts(self, k: int, rows: np.ndarray) -> np.ndarray:
-        small, large = self.columns[k]
-        out = small[rows].astype(np.int64)
-        big = np.flatnonzero(out == LARGE)
-        if len(big):
-            out[big] = large[1][np.searchsorted(large[0], rows[big].astype(np.uint64))].astype(np.int64)
+        self.n, width, self.bits, self.depth, common, rare = raw[:48].view(np.int64).tolist()
+        at = 48
+
+        def take(count: int, kind: type) -> np.ndarray:
+            nonlocal at
+            at += count * np.dtype(kind).itemsize
+            return raw[at - count * np.dtype(kind).itemsize : at].view(kind)
+
+        self.common = np.array(take(width * common, np.int64)).reshape(width, common)
+        self.rare_at = take(rare, np.int64)
+        self.rare = take(width * rare, np.int64).reshape(width, rare)
+        self.edges = take((1 << self.bits) + 1, np.int64)
+        self.rest = take(self.n, np.uint32)
+        self.code = take(self.n, np.uint8)
+
+    def rows(self, keys: np.ndarray) -> np.ndarray:
+        """The row of each key, -1 where it is unknown."""
+        if not self.n:
+            return np.full(len(keys), -1)
+        bucket = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        rest = (keys >> np.uint64(32 - self.bits)).astype(np.uint32)
+        low, end = self.edges[bucket], self.edges[bucket + 1]
+        high = end
+        for _ in range(self.depth):
+            middle = (low + high) >> 1
+            under = (self.rest[np.minimum(middle, self.n - 1)] < rest) & (low < high)
+            low, high = np.where(under, middle + 1, low), np.where(under, high, middle)
+        found = np.minimum(low, self.n - 1)
+        return np.where((low < end) & (self.rest[found] == rest), found, -1)
+
+    def counts(self, rows: np.ndarray) -> np.ndarray:
+        code = self.code[rows]
+        out = self.common[:, np.minimum(code, self.common.shape[1] - 1)]
+        odd = np.flatnonzero(code == 255)
+        if len(odd):
+            out[:, odd] = self.rare[:, np.searchsorted(self.rare_at, rows[odd])]
         return out
 
 
-def _grouped(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[first], [np.add.reduceat(c[order], first) for c in columns]
+def classes(c: np.ndarray) -> list[np.ndarray]:
+    """What a context sums over its n-grams: their counts and how many have a count of 1, of 2 and of more."""
+    return [c, *((x).astype(np.int64) for x in (c == 1, c == 2, c >= 3))]
+
+
+def exact(kind: int, c: np.ndarray) -> pa.RecordBatch:
+    return row_of(CODED, EXACT, pickle.dumps((kind, [int((c == k).sum()) for k in (1, 2, 3, 4)]), 5))
+
+
+def _trigram_reducer(folder: str, parts: int):
+    def run(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        words, columns, sums = gathered(table)
+        del table
+        (u, v, w), (c,) = grouped(columns, len(words), sums)
+        del columns, sums
+        pair = joint_hash(words[u], words[v])
+        _store(Path(folder, f"trigram-{part}"), joint_hash(pair, words[w]), c)
+        head = changes(u, v)
+        _store(Path(folder, f"context-{part}"), pair[head], *(np.add.reduceat(x, head) for x in classes(c)))
+        del u, pair
+        (v, w), (ways, total) = grouped([v, w], len(words), [np.ones(len(c), np.int64), c])
+        ways = np.where(words[v] == np.uint64(HASHES[START]), total, ways)
+        to = part_of(joint_hash(words[v], words[w]), parts)
+        return pa.Table.from_batches([*dealt(parts, to, words, [v, w], [ways, total]), exact(3, c)])
+
+    return run
 
 
 def _bigram_reducer(folder: str, word_parts: int):
     def run(table: pa.Table) -> pa.Table:
-        rows = [r for b in table.to_batches() for r in zip(*(c.to_pylist() for c in b.columns))]
-        raw = lambda i, kind: [np.frombuffer(r[i], kind) for r in rows]
-        v = np.concatenate([np.repeat(a, n) for a, n in zip(raw(1, np.uint64), raw(2, np.uint32))])
-        w, c = np.concatenate(raw(3, np.uint64)), np.concatenate(raw(4, np.uint32)).astype(np.int64)
-        part = rows[0][0]
-        del rows
-        keys, v, w, c = summed(v, w, c)
-        _store(Path(folder, f"bigram-{part}"), keys, c)
-        ones = np.ones(len(c), np.int64)
-        found = [(0, *_grouped(v, [c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), (c >= 3).astype(np.int64)]))]
-        found.append((1, *_grouped(w, [c, ones])))
+        part = table.column("part")[0].as_py()
+        if part == EXACT:
+            return table
+        words, columns, sums = gathered(table)
+        del table
+        (v, w), (c, total) = grouped(columns, len(words), sums)
+        _store(Path(folder, f"bigram-{part}"), joint_hash(words[v], words[w]), c)
+        head = changes(v)
+        found = [(0, words[v[head]], [np.add.reduceat(x, head) for x in classes(c)])]
+        (last,), sums = grouped([w], len(words), [total, np.ones(len(c), np.int64)])
+        found.append((1, words[last], sums))
         out = []
-        for kind, words, sums in found:
-            to = word_part(words, word_parts)
+        for kind, keys, sums in found:
+            to = part_of(keys, word_parts)
             order = np.argsort(to, kind="stable")
-            edges = np.searchsorted(to[order], np.arange(word_parts + 1))
-            for p, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-                if a < b:
-                    at = order[a:b]
-                    raw = np.stack([s[at] for s in sums])
-                    out.append(row_of(PASSED, p, kind, words[at].tobytes(), raw.tobytes()))
-        exact = np.array([(c == k).sum() for k in (1, 2, 3, 4)], np.int64)
-        out.append(row_of(PASSED, -1, 2, b"", exact.tobytes()))
-        return pa.Table.from_batches(out)
+            asked, first = np.unique(to[order], return_index=True)
+            for p, a, b in zip(asked.tolist(), first, np.append(first[1:], len(order))):
+                at = order[a:b]
+                out.append(row_of(CODED, p, pickle.dumps((kind, keys[at], [narrow(s[at]) for s in sums]), 5)))
+        return pa.Table.from_batches([*out, exact(2, c)])
 
     return run
 
 
 def _word_reducer(folder: str):
     def run(table: pa.Table) -> pa.Table:
-        rows = [r for b in table.to_batches() for r in zip(*(c.to_pylist() for c in b.columns))]
-        part = rows[0][0]
-        if part < 0:
-            c = sum(np.frombuffer(r[3], np.int64) for r in rows)
-            return pa.Table.from_batches([row_of(TOTALS, -1, 2, 0, 0, *map(int, c), 0)])
-        keys, columns = [], []
-        for _, kind, words, sums in rows:
-            keys.append(np.frombuffer(words, np.uint64))
-            sums = np.frombuffer(sums, np.int64).reshape(-1, len(keys[-1]))
-            none = np.zeros((2 if kind == 0 else 4, sums.shape[1]), np.int64)
-            columns.append(np.concatenate([sums, none] if kind == 0 else [none, sums]))
-        # total, ones, twos, more (as context), count, continuations (as word)
-        words, sums = _grouped(np.concatenate(keys), list(np.concatenate(columns, axis=1)))
-        _store(Path(folder, f"word-{part}"), words, *sums)
-        cont = sums[5]
-        exact = [int((cont == k).sum()) for k in (1, 2, 3, 4)]
-        return pa.Table.from_batches([row_of(TOTALS, part, 3, int((sums[4] > 0).sum()), int(sums[4].sum()), *exact, int(cont.sum()))])
+        part = table.column("part")[0].as_py()
+        rows = [pickle.loads(d) for d in table.column("data").to_pylist()]
+        if part == EXACT:
+            sums = {kind: np.sum([c for k, c in rows if k == kind], axis=0) for kind in {k for k, _ in rows}}
+            return pa.Table.from_batches([row_of(TOTALS, EXACT, kind, 0, 0, *map(int, c), 0) for kind, c in sums.items()])
+        keys = np.concatenate([own for _, own, _ in rows])
+        columns = np.zeros((6, len(keys)), np.int64)
+        at = 0
+        for kind, own, sums in rows:  # total, ones, twos, more (as context), count, continuations (as word)
+            for k, s in enumerate(sums, 4 * kind):
+                columns[k, at : at + len(own)] = s
+            at += len(own)
+        order = np.argsort(keys)
+        first = changes(keys[order])
+        sums = [np.add.reduceat(c[order], first) for c in columns]
+        _store(Path(folder, f"word-{part}"), keys[order[first]], *sums)
+        count, ways = sums[4:]
+        low = [int((ways == k).sum()) for k in (1, 2, 3, 4)]
+        return pa.Table.from_batches([row_of(TOTALS, part, 1, int((count > 0).sum()), int(count.sum()), *low, int(ways.sum()))])
 
     return run
 
@@ -296,6 +403,13 @@ def discount(counts: np.ndarray, d: list[float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3)]
 
 
+def weights(sums: np.ndarray, d: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """(divisor, weight of the lower order) of contexts from their four sums; a context never seen leaves all to it."""
+    total, ones, twos, more = sums
+    seen = np.maximum(total, 1)
+    return seen, np.where(total > 0, (d[0] * ones + d[1] * twos + d[2] * more) / seen, 1.0)
+
+
 def local_path(uri: str) -> str:
     """The path at which workers open a shared folder."""
     if uri.startswith("file:"):
@@ -308,68 +422,76 @@ def local_path(uri: str) -> str:
 class Model:
     """Where a model's files are and its totals; small, so it goes to workers by value."""
 
-    def __init__(self, folder: str, parts: int, word_parts: int, totals: list[tuple]):
-        self.folder, self.parts, self.word_parts = folder, parts, word_parts
-        own = [t for t in totals if t[1] == 3]
+    def __init__(self, folder: str, order: int, parts: int, word_parts: int, totals: list[tuple]):
+        self.folder, self.order, self.parts, self.word_parts = folder, order, parts, word_parts
+        own = [t for t in totals if t[1] == 1]
         self.vocabulary, self.tokens = sum(t[2] for t in own), sum(t[3] for t in own)
         self.bigrams = sum(t[8] for t in own)
         self.low = [sum(t[4 + k] for t in own) for k in range(4)]
-        self.high = next(([*t[4:8]] for t in totals if t[1] == 2), [0] * 4)
-        self.d_high, self.d_low = discounts(self.high), discounts(self.low)
+        self.discounts = {1: discounts(self.low)}
+        for kind in (2, 3):
+            self.discounts[kind] = discounts(next(([*t[4:8]] for t in totals if t[1] == kind), [0] * 4))
         self.files: dict[str, Mapped] = {}
 
-    def mapped(self, name: str, columns: int) -> Mapped:
+    def mapped(self, name: str) -> Mapped:
         """A file, opened when it is first asked for; the one opened first goes when too many are open."""
         if name not in self.files:
             while len(self.files) >= OPEN_FILES:
                 self.files.pop(next(iter(self.files)))
-            self.files[name] = Mapped(Path(self.folder, name), columns)
+            self.files[name] = Mapped(Path(self.folder, name))
         return self.files[name]
 
-    def look_up(self, kind: str, keys: np.ndarray, parts: np.ndarray, columns: int) -> np.ndarray:
-        """Columns of ascending ``keys``, zero where unknown."""
+    def look_up(self, kind: str, keys: np.ndarray, parts: np.ndarray, columns: int = 1) -> np.ndarray:
+        """Columns of ``keys``, zero where unknown."""
         out = np.zeros((columns, len(keys)), np.int64)
         order = np.argsort(parts, kind="stable")
         asked_parts, first = np.unique(parts[order], return_index=True)
         for p, a, b in zip(asked_parts.tolist(), first, np.append(first[1:], len(order))):
-            table = self.mapped(f"{kind}-{p}", columns)
-            if len(table.keys):
-                asked = order[a:b]
-                at = np.minimum(np.searchsorted(table.keys, keys[asked]), len(table.keys) - 1)
-                hit = table.keys[at] == keys[asked]
-                for k in range(columns):
-                    out[k, asked[hit]] = table.counts(k, at[hit])
+            table = self.mapped(f"{kind}-{p}")
+            asked = order[a:b]
+            rows = table.rows(keys[asked])
+            hit = rows >= 0
+            if hit.any():
+                out[:, asked[hit]] = table.counts(rows[hit])
         return out
 
-    def score(self, contexts: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    def score(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
         """(known tokens, base score, model score) of each text of a block."""
-        unique, where = np.unique(np.concatenate([words, np.array([HASHES[START]], np.uint64)]), return_inverse=True)
-        total, ones, twos, more, count, cont = self.look_up("word", unique, word_part(unique, self.word_parts), 6)
-        of_word = where[:-1]
-        of_context = np.empty_like(of_word)
-        of_context[1:] = of_word[:-1]
-        of_context[np.cumsum(sizes) - sizes] = where[-1]
-        d = self.d_low
+        words, word, start = numbered(hashes)
+        *of_word, count, ways = self.look_up("word", words, part_of(words, self.word_parts), 6)
         if self.bigrams:
+            d = self.discounts[1]
             rest = (d[0] * self.low[0] + d[1] * self.low[1] + d[2] * (self.vocabulary - self.low[0] - self.low[1])) / self.bigrams
-            lower = (cont - discount(cont, d)) / self.bigrams + rest / (self.vocabulary + 1)
+            lower = (ways - discount(ways, d)) / self.bigrams + rest / (self.vocabulary + 1)
         else:
-            lower = np.ones(len(unique))
-        d = self.d_high
-        seen = np.maximum(total, 1)
-        weight = np.where(total > 0, (d[0] * ones + d[1] * twos + d[2] * more) / seen, 1.0)
-        keys, first, back = np.unique(bigram_hash(contexts, words), return_index=True, return_inverse=True)
-        (n,) = self.look_up("bigram", keys, bigram_part(contexts[first], words[first], self.parts), 1)
-        context, word = of_context[first], of_word[first]
-        p = (n - discount(n, d)) / seen[context] + weight[context] * lower[word]
+            lower = np.ones(len(words))
+        # the pair (start, start) comes last, so that it has a place too
+        ends = np.append(before(word, sizes, start) * len(words) + word, start * len(words) + start)
+        pairs, pair = np.unique(ends, return_inverse=True)
+        pair, first = pair[:-1], int(pair[-1])
+        left, right = np.divmod(pairs, len(words))
+        keys = joint_hash(words[left], words[right])
+        parts = part_of(keys, self.parts)
+        d = self.discounts[2]
+        (n,) = self.look_up("bigram", keys, parts)
+        seen, weight = weights(of_word, d)
+        p = ((n - discount(n, d)) / seen[left] + weight[left] * lower[right])[pair]
+        if self.order == 3:
+            d = self.discounts[3]
+            context = before(pair, sizes, first)
+            (n,) = self.look_up("trigram", joint_hash(keys[context], words[word]), parts[context])
+            seen, weight = weights(self.look_up("context", keys, parts, 4), d)
+            p = (n - discount(n, d)) / seen[context] + weight[context] * p
         starts = np.cumsum(sizes) - sizes
         base = np.log10((count + ALPHA) / (self.tokens + ALPHA * (self.vocabulary + 1)))
         add = lambda x: np.add.reduceat(x, starts)
-        return add((count > 0).astype(np.int64)[of_word]), add(base[of_word]), add(np.log10(p)[back])
+        return add((count > 0).astype(np.int64)[word]), add(base[word]), add(np.log10(p))
 
 
-def train(texts: DataFrame, text: str = "text") -> Model:
-    """Count all rows of ``texts`` and write the model's files to the shared folder."""
+def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
+    """Count all rows of ``texts`` and write the model's files to the shared folder; ``order`` is 2 or 3."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order} is neither 2 nor 3")
     spark = texts.sparkSession
     folder = local_path(scratch(spark, "kneser-ney"))
     os.makedirs(folder, exist_ok=True)
@@ -377,12 +499,13 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     size = column.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = growing(size, PART_BYTES, PARTS)
     word_parts = min(parts, WORD_PARTS)
-    counted = column.mapInArrow(_counter(parts), COUNTED)
-    passed = counted.groupBy("part").applyInArrow(_bigram_reducer(folder, word_parts), PASSED)
+    rows = column.mapInArrow(_counter(order, parts), CODED)
+    if order == 3:
+        rows = rows.groupBy("part").applyInArrow(_trigram_reducer(folder, parts), CODED)
+    rows = rows.groupBy("part").applyInArrow(_bigram_reducer(folder, word_parts), CODED)
     with small_batches(spark):
-        totals = passed.groupBy("part").applyInArrow(_word_reducer(folder), TOTALS).collect()  # a row a part
-    return Model(folder, parts, word_parts, [tuple(t) for t in totals])
-
+        totals = rows.groupBy("part").applyInArrow(_word_reducer(folder), TOTALS).collect()  # a row a part
+    return Model(folder, order, parts, word_parts, [tuple(t) for t in totals])
 
 SCORED = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
@@ -396,8 +519,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in pieces(whole, "text")):
             at = 0
-            for v, w, sizes in blocks(iter(batch.column(1).to_pylist())):
-                known, base, own = model.score(v, w, sizes)
+            for words, sizes in blocks(iter(batch.column(1).to_pylist()), BLOCK):
+                known, base, own = model.score(words, sizes)
                 columns = (sizes, known, np.full(len(sizes), model.tokens), base, own)
                 ids = batch.column(0).slice(at, len(sizes))
                 at += len(sizes)

@@ -22,55 +22,64 @@ def own_discounts(n):
     return [max(0.05, min(1, 1 - 2 * y * n2 / n1)), max(0.05, min(2, 2 - 3 * y * n3 / n2)), max(0.05, min(3, 3 - 4 * y * n4 / n3))]
 
 
-def brute(train, texts):
-    """Both scores from dictionaries, straight from the definitions."""
-    pairs, words = Counter(), Counter()
+def brute(train, texts, order=3):
+    """Both scores from dictionaries, straight from the definitions: a context is a tuple of words, shorter by one at
+    each lower order; below the highest order an n-gram counts the words seen before it, or itself after a start mark."""
+    grams, words = Counter(), Counter()
+    chains = lambda ts: zip(*([*["<s>"] * (order - 1), *ts][k:] for k in range(order)))
     for t in train:
         ts = tokens(t)
         words.update(ts)
-        pairs.update(zip(["<s>", *ts[:-1]], ts))
+        grams.update(chains(ts))
     n, v = sum(words.values()), len(words)
-    after, before = defaultdict(list), Counter()
-    for (a, b), c in pairs.items():
-        after[a].append(c)
-        before[b] += 1
-    count = lambda xs: [sum(x == k for x in xs) for k in (1, 2, 3, 4)]
-    high, low = own_discounts(count(pairs.values())), own_discounts(count(before.values()))
-    cut = lambda c, d: d[min(c, 3) - 1] if c else 0
-
-    def p(a, b):
-        lower = 1.0
-        if pairs:
-            rest = sum(cut(c, low) for c in before.values()) / len(pairs)
-            lower = max(0, before[b] - cut(before[b], low)) / len(pairs) + rest / (v + 1)
-        if a not in after:
+    levels = {order: grams}
+    for k in range(order - 1, 0, -1):
+        counts, raw = Counter(), Counter()
+        for g, c in levels[k + 1].items():
+            counts[g[1:]] += 1
+        for g, c in grams.items():
+            raw[g[order - k :]] += c
+        levels[k] = {g: raw[g] if k > 1 and g[0] == "<s>" else c for g, c in counts.items()}
+    d = {k: own_discounts([sum(c == i for c in levels[k].values()) for i in (1, 2, 3, 4)]) for k in levels}
+    cut = lambda c, k: d[k][min(c, 3) - 1] if c else 0
+    after = defaultdict(list)
+    for k in levels:
+        for g, c in levels[k].items():
+            after[g[:-1]].append(c)
+
+    def p(*g):
+        if not grams:
+            return 1.0
+        lower = p(*g[1:]) if len(g) > 1 else 1 / (v + 1)
+        if g[:-1] not in after:
             return lower
-        total = sum(after[a])
-        return (pairs[a, b] - cut(pairs[a, b], high)) / total + sum(cut(c, high) for c in after[a]) / total * lower
+        of = after[g[:-1]]
+        c = levels[len(g)].get(g, 0)
+        return (c - cut(c, len(g))) / sum(of) + sum(cut(x, len(g)) for x in of) / sum(of) * lower
 
     out = []
     for t in texts:
         ts = tokens(t)
         base = sum(math.log10((words[x] + 0.1) / (n + 0.1 * (v + 1))) for x in ts)
-        own = sum(math.log10(p(a, b)) for a, b in zip(["<s>", *ts[:-1]], ts))
+        own = sum(math.log10(p(*g)) for g in chains(ts))
         out.append((len(ts), sum(x in words for x in ts), n, base, own))
     return out, p, words
 
 
-@pytest.mark.parametrize("parts", [24 << 20, 60])
-def test_against_dictionaries(spark, monkeypatch, parts):
+@pytest.mark.parametrize(("parts", "order"), [(24 << 20, 3), (60, 3), (60, 2)])
+def test_against_dictionaries(spark, monkeypatch, parts, order):
     monkeypatch.setattr(kn, "PART_BYTES", parts)
     rng = np.random.default_rng(1)
     vocabulary = ["The", "a", "Éa", "x,", "dog", "cat", "ran", "sat"] + [f"w{i}" for i in range(40)]
     texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 60), p=None)) for _ in range(60)] + [None, "", " \n", "the the the"]
     train = spark.createDataFrame([(t,) for t in texts[:50]], "text string")
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, score int")
-    got = [tuple(r)[1:] for r in kn.score(docs, kn.train(train)).orderBy("doc_id").collect()]
-    want, p, words = brute(texts[:50], texts)
+    got = [tuple(r)[1:] for r in kn.score(docs, kn.train(train, order=order)).orderBy("doc_id").collect()]
+    want, p, words = brute(texts[:50], texts, order)
     for g, w in zip(got, want, strict=True):
         assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:], rel=1e-9)
-    for a in ("<s>", "the", "never"):
-        assert sum(p(a, b) for b in words) + p(a, "unknown") == pytest.approx(1)
+    for a in (("<s>", "<s>"), ("<s>", "the"), ("the", "a"), ("the", "never"), ("never", "dog")):
+        assert sum(p(*a[3 - order :], b) for b in words) + p(*a[3 - order :], "unknown") == pytest.approx(1)
 
 
 def test_nothing_to_learn(spark):
@@ -80,14 +89,30 @@ def test_nothing_to_learn(spark):
     assert kn.score(docs.limit(0), kn.train(docs)).count() == 0
 
 
-def test_large_counts_stay_exact(tmp_path):
-    keys = np.array([1, 5, 9, 2**63 + 1], np.uint64)
-    counts = np.array([1, kn.LARGE, 2**40, 3])
-    kn._store(tmp_path / "x", keys, counts, counts[::-1])
-    file = kn.Mapped(tmp_path / "x", 2)
-    assert file.keys.tolist() == keys.tolist()
-    assert [file.counts(k, np.arange(4)).tolist() for k in (0, 1)] == [counts.tolist(), counts[::-1].tolist()]
-    assert len(kn.Mapped(tmp_path / "none", 2).keys) == 0
+def test_stored_counts_stay_exact(tmp_path):
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 2**64, 20_000, np.uint64))
+    counts = np.array([1, 2, 0xFFFF, 2**40])[rng.integers(0, 4, len(keys))] + rng.integers(0, 300, len(keys))
+    order = rng.permutation(len(keys))
+    for columns in ([counts], [counts, counts[::-1]]):
+        kn._store(tmp_path / "x", keys[order], *(c[order] for c in columns))
+        file = kn.Mapped(tmp_path / "x")
+        rows = file.rows(keys)
+        assert rows.tolist() == list(range(len(keys)))
+        assert file.counts(rows).tolist() == [c.tolist() for c in columns]
+        assert (file.rows(rng.integers(0, 2**64, 20_000, np.uint64)) < 0).all()
+    kn._store(tmp_path / "one", keys[:1], counts[:1])
+    assert kn.Mapped(tmp_path / "one").rows(keys[:3]).tolist() == [0, -1, -1]
+    assert kn.Mapped(tmp_path / "none").rows(keys[:3]).tolist() == [-1] * 3
+
+
+@pytest.mark.parametrize("size", [50, 1 << 40])
+def test_wide_vocabularies_are_counted_alike(size):
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 5, 300) for _ in range(3)]
+    want = sorted(Counter(zip(*(c.tolist() for c in columns))).items())
+    rows, times = kn.counted(columns, size)
+    assert list(zip(zip(*(r.tolist() for r in rows)), times.tolist())) == want
 
 
 def test_no_discount_leaves_a_word_without_probability(spark):
