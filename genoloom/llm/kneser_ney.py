@@ -2,21 +2,22 @@
 and memory-mapped by the workers that score.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased and one end token a text; start marks stand before the first.
-Words are 64-bit hashes. Counting, for order 3 (order 2 begins with the second step):
-
-1. each task counts its trigrams and deals them to parts by a hash of their context (the first two words). A shipped row
-   carries its distinct words once; trigrams are places in that list, with runs of equal contexts;
-2. trigram parts sum them, write a file of trigrams with their counts and one of contexts with sums of what the model
-   needs (total, numbers of counts 1, 2 and 3 or more), and deal the last two words of each distinct trigram on, with the number
-   of different words before them (after a start mark: their count, as nothing else can stand before);
-3. bigram parts do the same with those and pass on, per context and per word, such sums and continuations;
-4. word parts sum those and write a file of words.
+Words are 56-bit hashes. Counting, for order 3 (order 2 leaves out what concerns trigrams):
+
+1. every ``SAMPLE``-th text tells which words are so frequent that one part can't hold all that stands around them. This
+   decides where n-grams are kept, never what is counted; the list has at most ``2 * parts`` words;
+2. each task counts its trigrams and deals them to parts by their middle word, or by the last two words if the middle one is
+   frequent. A shipped row carries its distinct words once; trigrams are places in those lists, with runs of equal contexts;
+3. parts sum them and thus hold all words that stand before a pair: they write files of trigrams with their counts, of
+   bigrams with the number of different words before them (after a start mark: their count, as nothing else can stand
+   before), and of contexts with sums of what the model needs (total, numbers of counts 1, 2 and 3 or more). They pass on
+   such sums by word, with continuations, and by contexts that end in a frequent word;
+4. word parts sum those and write files of words and of these contexts.
 
 Only part totals (a row a part) reach the driver, for the discounts. Scoring looks words, pairs and trigrams up in the
 mapped files, a block of tokens at a time; no token is shuffled. Everything counted covers all training texts; file
 sizes follow the corpus; the number of parts follows its bytes up to ``PARTS`` and their cube root beyond. A word that is a third
-of all tokens is spread, as two words choose a part and a task sends each distinct n-gram once. A worker opens the files
-that a block's words ask for, ``OPEN_FILES`` at once at most.
+of all tokens is spread over all parts. A worker opens the files that a block's words ask for, ``OPEN_FILES`` at once at most.
 
 A file keeps of each hash the bits that choose a bucket of about 32 and 32 bits more, so an n-gram that was never seen is
 taken for a seen one with a probability of about 1 in 130 million, at any size.
@@ -48,6 +49,7 @@ ORDER = 3
 PART_BYTES = 16 << 20
 PARTS = 1 << 14
 WORD_PARTS = 1 << 10
+SAMPLE = 32
 #: Files that a worker keeps mapped at once.
 OPEN_FILES = 4096
 #: Tokens scored and counted at once.
@@ -59,12 +61,12 @@ LEAST_DISCOUNT = 0.05
 
 
 class Hashes(dict):
-    """64-bit hashes of words, short ones remembered; one a worker process."""
+    """56-bit hashes of words in the upper bits of 64, short ones remembered; one a worker process."""
 
     def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
 
-        out = xxh64_intdigest(word, 9)
+        out = xxh64_intdigest(word, 9) & ~0xFF
         if len(word) <= 40:
             if len(self) >= WORD_CACHE:
                 self.clear()
@@ -180,40 +182,107 @@ TOTALS = "part bigint, kind int, words bigint, tokens bigint, c1 bigint, c2 bigi
 EXACT = -1
 
 
-def dealt(parts: int, part: np.ndarray, words: np.ndarray, columns: list[np.ndarray], sums: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """A row a part: its distinct words, its sorted ``columns`` as places among them (all but the last in runs), ``sums``."""
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of non-negative integers, each in the narrowest type, byte planes apart, compressed."""
+    own = [narrow(a) for a in arrays]
+    raw = pickle.dumps([(a.dtype.str, a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()) for a in own], 5)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    out = []
+    for kind, planes in pickle.loads(raw):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel())
+    return out
+
+
+def steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=np.uint64(0))
+
+
+def shares(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that occurs and the places of its rows, in their order."""
     order = np.argsort(part, kind="stable")
     asked, first = np.unique(part[order], return_index=True)
-    place = np.zeros(len(words), np.int64)
     for p, a, b in zip(asked.tolist(), first, np.append(first[1:], len(order))):
-        at = order[a:b]
+        yield p, order[a:b]
+
+
+def listed(places: np.ndarray, size: int, scrap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``places`` (numbers under ``size``), ascending, and each one's place among them."""
+    if size > 16 * len(places):
+        return np.unique(places, return_inverse=True)
+    used = np.zeros(size, bool)
+    used[places] = True
+    used = np.flatnonzero(used)
+    scrap[used] = np.arange(len(used))
+    return used, scrap[places]
+
+
+def dealt(part: np.ndarray, words: np.ndarray, columns: list[np.ndarray], times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row a part: for each of its sorted ``columns`` the distinct words, places among them and lengths of runs; counts."""
+    scrap = np.zeros(len(words), np.int64)
+    for p, at in shares(part):
         own = [c[at] for c in columns]
-        used = np.unique(np.concatenate([c[changes(c)] for c in own]))
-        place[used] = np.arange(len(used))
-        own = [place[c] for c in own]
-        runs = []
-        for k in range(len(own) - 1):
+        data = []
+        for k, c in enumerate(own):
             head = changes(*own[: k + 1])
-            runs.append((narrow(own[k][head]), narrow(np.diff(np.append(head, len(at))))))
-        data = (words[used], runs, narrow(own[-1]), [narrow(s[at]) for s in sums])
-        yield row_of(CODED, p, pickle.dumps(data, 5))
-
-
-def gathered(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """(distinct words, columns of places among them, sums) of a part's rows."""
-    rows = [pickle.loads(d) for d in table.column("data").to_pylist()]
-    words = np.unique(np.concatenate([r[0] for r in rows]))
-    columns: list[list[np.ndarray]] = [[] for _ in range(len(rows[0][1]) + 1)]
-    for own, runs, last, _ in rows:
-        place = np.searchsorted(words, own).astype(np.uint32)
-        for k, (values, lengths) in enumerate(runs):
-            columns[k].append(np.repeat(place[values], lengths))
-        columns[-1].append(place[last])
-    sums = [np.concatenate(s).astype(np.int64) for s in zip(*(r[3] for r in rows))]
-    return words, [np.concatenate(c) for c in columns], sums
-
-
-def _counter(order: int, parts: int):
+            used, places = listed(c[head], len(words), scrap)
+            data += [steps(words[used]), places if k else places[:0], np.diff(np.append(head, len(at)))]
+        yield row_of(CODED, p, packed(*data, times[at]))
+
+
+def gathered(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """(distinct words of each column, columns of places among them, counts) of a part's rows."""
+    rows = [unpacked(d) for d in table.column("data").to_pylist()]
+    words, columns = [], []
+    for k in range(0, len(rows[0]) - 1, 3):
+        own = [np.cumsum(r[k].astype(np.uint64)) for r in rows]
+        words.append(np.unique(np.concatenate(own)))
+        column = []
+        for listing, r in zip(own, rows):
+            place = np.searchsorted(words[-1], listing).astype(np.uint32)
+            column.append(np.repeat(place[r[k + 1]] if k else place, r[k + 2]))
+            r[k : k + 3] = [None] * 3
+        columns.append(np.concatenate(column))
+    return words, columns, np.concatenate([r[-1] for r in rows]).astype(np.int64)
+
+
+class Layout:
+    """In which part an n-gram is: by its last word but one, or by the last two if that one is ``frequent``."""
+
+    def __init__(self, parts: int, word_parts: int, frequent: np.ndarray):
+        self.parts, self.word_parts, self.frequent = parts, word_parts, frequent
+
+    def of(self, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """Parts of the n-grams that end in ``pairs`` of which ``words`` are the first."""
+        return part_of(np.where(np.isin(words, self.frequent), pairs, words), self.parts)
+
+
+def frequent(texts: DataFrame, parts: int) -> np.ndarray:
+    """Words that are over 1 / (2 * parts) of the tokens of every ``SAMPLE``-th text: fewer than ``2 * parts``."""
+    mark = np.uint64(HASHES[START])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of a block's more frequent words, and of all tokens under the start mark."""
+        own = (t for b in batches for part in pieces(b, "text") for t in part.column(0).to_pylist())
+        for hashes, _ in blocks(own, BLOCK):
+            words, times = np.unique(hashes, return_counts=True)
+            often = times * 8 * parts > len(hashes)
+            words, times = np.append(words[often], mark), np.append(times[often], len(hashes))
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times)], names=["word", "n"])
+
+    sample = texts.withColumn("row", F.monotonically_increasing_id()).where(F.col("row") % SAMPLE == 0).select("text")
+    found = sample.mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = found.orderBy(F.desc("n")).limit(2 * parts + 1).collect()
+    total = max((r.n for r in rows), default=0)
+    words = np.array([r.word for r in rows if r.n * 2 * parts > total], np.int64).view(np.uint64)
+    return np.sort(words[words != mark])
+
+
+def _counter(order: int, layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = (t for b in batches for part in pieces(b, "text") for t in part.column(0).to_pylist())
         for hashes, sizes in blocks(texts, HELD):
@@ -221,9 +290,9 @@ def _counter(order: int, parts: int):
             chain = [places]
             for _ in range(order - 1):
                 chain.insert(0, before(chain[0], sizes, start))
-            rows, c = counted(chain, len(words))
-            part = part_of(joint_hash(words[rows[0]], words[rows[1]]), parts)
-            yield from dealt(parts, part, words, rows, [c] if order == 3 else [c, c])
+            rows, times = counted(chain, len(words))
+            v, w = words[rows[-2]], words[rows[-1]]
+            yield from dealt(layout.of(v, joint_hash(v, w)), words, rows, times)
 
     return run
 
@@ -314,74 +383,82 @@ def classes(c: np.ndarray) -> list[np.ndarray]:
     return [c, *((x).astype(np.int64) for x in (c == 1, c == 2, c >= 3))]
 
 
-def exact(kind: int, c: np.ndarray) -> pa.RecordBatch:
-    return row_of(CODED, EXACT, pickle.dumps((kind, [int((c == k).sum()) for k in (1, 2, 3, 4)]), 5))
+def passed(part: np.ndarray, kind: int, keys: np.ndarray, sums: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """A row a part: the kind of its keys, they in ascending order, their sums."""
+    order = np.argsort(keys)
+    for p, at in shares(part[order]):
+        at = order[at]
+        yield row_of(CODED, p, packed(np.array([kind]), steps(keys[at]), *(s[at] for s in sums)))
 
 
-def _trigram_reducer(folder: str, parts: int):
-    def run(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        words, columns, sums = gathered(table)
-        del table
-        (u, v, w), (c,) = grouped(columns, len(words), sums)
-        del columns, sums
-        pair = joint_hash(words[u], words[v])
-        _store(Path(folder, f"trigram-{part}"), joint_hash(pair, words[w]), c)
-        head = changes(u, v)
-        _store(Path(folder, f"context-{part}"), pair[head], *(np.add.reduceat(x, head) for x in classes(c)))
-        del u, pair
-        (v, w), (ways, total) = grouped([v, w], len(words), [np.ones(len(c), np.int64), c])
-        ways = np.where(words[v] == np.uint64(HASHES[START]), total, ways)
-        to = part_of(joint_hash(words[v], words[w]), parts)
-        return pa.Table.from_batches([*dealt(parts, to, words, [v, w], [ways, total]), exact(3, c)])
+def exact(kind: int, c: np.ndarray) -> pa.RecordBatch:
+    return row_of(CODED, EXACT, packed(np.array([kind]), np.array([(c == k).sum() for k in (1, 2, 3, 4)])))
 
-    return run
 
+#: Kinds of sums: of contexts of one word, of words, of contexts of two words.
+AS_CONTEXT, AS_WORD, AS_PAIR = 0, 1, 2
 
-def _bigram_reducer(folder: str, word_parts: int):
+
+def _reducer(folder: str, order: int, layout: Layout):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        if part == EXACT:
-            return table
-        words, columns, sums = gathered(table)
+        words, columns, c = gathered(table)
         del table
-        (v, w), (c, total) = grouped(columns, len(words), sums)
-        _store(Path(folder, f"bigram-{part}"), joint_hash(words[v], words[w]), c)
+        n = max(map(len, words))
+        rows, (c,) = grouped(columns, n, [c])
+        del columns
+        out = [exact(order, c)]
+        (first, last), (v, w) = words[-2:], rows[-2:]
+        if order == 3:
+            u, total = rows[0], c
+            pair = joint_hash(words[0][u], first[v])
+            _store(Path(folder, f"trigram-{part}"), joint_hash(pair, last[w]), c)
+            head = changes(u, v)
+            pair, sums = pair[head], [np.add.reduceat(x, head) for x in classes(c)]
+            spread = np.isin(first[v[head]], layout.frequent)
+            _store(Path(folder, f"context-{part}"), pair[~spread], *(x[~spread] for x in sums))
+            pair = pair[spread]
+            out += passed(part_of(pair, layout.parts).astype(np.int64) + layout.word_parts, AS_PAIR, pair, [x[spread] for x in sums])
+            del u, pair, sums, rows
+            (v, w), (c, total) = grouped([v, w], n, [np.ones(len(total), np.int64), total])
+            c = np.where(first[v] == np.uint64(HASHES[START]), total, c)
+            out.append(exact(2, c))
+        else:
+            total = c
+        _store(Path(folder, f"bigram-{part}"), joint_hash(first[v], last[w]), c)
         head = changes(v)
-        found = [(0, words[v[head]], [np.add.reduceat(x, head) for x in classes(c)])]
-        (last,), sums = grouped([w], len(words), [total, np.ones(len(c), np.int64)])
-        found.append((1, words[last], sums))
-        out = []
-        for kind, keys, sums in found:
-            to = part_of(keys, word_parts)
-            order = np.argsort(to, kind="stable")
-            asked, first = np.unique(to[order], return_index=True)
-            for p, a, b in zip(asked.tolist(), first, np.append(first[1:], len(order))):
-                at = order[a:b]
-                out.append(row_of(CODED, p, pickle.dumps((kind, keys[at], [narrow(s[at]) for s in sums]), 5)))
-        return pa.Table.from_batches([*out, exact(2, c)])
+        keys = first[v[head]]
+        out += passed(part_of(keys, layout.word_parts), AS_CONTEXT, keys, [np.add.reduceat(x, head) for x in classes(c)])
+        (w,), sums = grouped([w], n, [total, np.ones(len(c), np.int64)])
+        out += passed(part_of(last[w], layout.word_parts), AS_WORD, last[w], sums)
+        return pa.Table.from_batches(out)
 
     return run
 
 
-def _word_reducer(folder: str):
+def _word_reducer(folder: str, layout: Layout):
     def run(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        rows = [pickle.loads(d) for d in table.column("data").to_pylist()]
+        rows = [unpacked(d) for d in table.column("data").to_pylist()]
         if part == EXACT:
-            sums = {kind: np.sum([c for k, c in rows if k == kind], axis=0) for kind in {k for k, _ in rows}}
+            sums = {kind: sum(r[1].astype(np.int64) for r in rows if r[0][0] == kind) for kind in {int(r[0][0]) for r in rows}}
             return pa.Table.from_batches([row_of(TOTALS, EXACT, kind, 0, 0, *map(int, c), 0) for kind, c in sums.items()])
-        keys = np.concatenate([own for _, own, _ in rows])
-        columns = np.zeros((6, len(keys)), np.int64)
+        keys = np.concatenate([np.cumsum(r[1].astype(np.uint64)) for r in rows])
+        # total, ones, twos, more (as context), count, continuations (as word)
+        columns = np.zeros((4 if part >= layout.word_parts else 6, len(keys)), np.int64)
         at = 0
-        for kind, own, sums in rows:  # total, ones, twos, more (as context), count, continuations (as word)
-            for k, s in enumerate(sums, 4 * kind):
+        for kind, own, *sums in rows:
+            for k, s in enumerate(sums, 4 if kind[0] == AS_WORD else 0):
                 columns[k, at : at + len(own)] = s
             at += len(own)
         order = np.argsort(keys)
         first = changes(keys[order])
         sums = [np.add.reduceat(c[order], first) for c in columns]
-        _store(Path(folder, f"word-{part}"), keys[order[first]], *sums)
+        keys = keys[order[first]]
+        if part >= layout.word_parts:
+            _store(Path(folder, f"pair-{part - layout.word_parts}"), keys, *sums)
+            return pa.Table.from_batches([row_of(TOTALS, part, 0, *[0] * 7)])
+        _store(Path(folder, f"word-{part}"), keys, *sums)
         count, ways = sums[4:]
         low = [int((ways == k).sum()) for k in (1, 2, 3, 4)]
         return pa.Table.from_batches([row_of(TOTALS, part, 1, int((count > 0).sum()), int(count.sum()), *low, int(ways.sum()))])
@@ -422,8 +499,8 @@ def local_path(uri: str) -> str:
 class Model:
     """Where a model's files are and its totals; small, so it goes to workers by value."""
 
-    def __init__(self, folder: str, order: int, parts: int, word_parts: int, totals: list[tuple]):
-        self.folder, self.order, self.parts, self.word_parts = folder, order, parts, word_parts
+    def __init__(self, folder: str, order: int, layout: Layout, totals: list[tuple]):
+        self.folder, self.order, self.layout = folder, order, layout
         own = [t for t in totals if t[1] == 1]
         self.vocabulary, self.tokens = sum(t[2] for t in own), sum(t[3] for t in own)
         self.bigrams = sum(t[8] for t in own)
@@ -444,11 +521,8 @@ class Model:
     def look_up(self, kind: str, keys: np.ndarray, parts: np.ndarray, columns: int = 1) -> np.ndarray:
         """Columns of ``keys``, zero where unknown."""
         out = np.zeros((columns, len(keys)), np.int64)
-        order = np.argsort(parts, kind="stable")
-        asked_parts, first = np.unique(parts[order], return_index=True)
-        for p, a, b in zip(asked_parts.tolist(), first, np.append(first[1:], len(order))):
+        for p, asked in shares(parts):
             table = self.mapped(f"{kind}-{p}")
-            asked = order[a:b]
             rows = table.rows(keys[asked])
             hit = rows >= 0
             if hit.any():
@@ -458,7 +532,7 @@ class Model:
     def score(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
         """(known tokens, base score, model score) of each text of a block."""
         words, word, start = numbered(hashes)
-        *of_word, count, ways = self.look_up("word", words, part_of(words, self.word_parts), 6)
+        *of_word, count, ways = self.look_up("word", words, part_of(words, self.layout.word_parts), 6)
         if self.bigrams:
             d = self.discounts[1]
             rest = (d[0] * self.low[0] + d[1] * self.low[1] + d[2] * (self.vocabulary - self.low[0] - self.low[1])) / self.bigrams
@@ -471,7 +545,7 @@ class Model:
         pair, first = pair[:-1], int(pair[-1])
         left, right = np.divmod(pairs, len(words))
         keys = joint_hash(words[left], words[right])
-        parts = part_of(keys, self.parts)
+        parts = self.layout.of(words[left], keys)
         d = self.discounts[2]
         (n,) = self.look_up("bigram", keys, parts)
         seen, weight = weights(of_word, d)
@@ -479,8 +553,12 @@ class Model:
         if self.order == 3:
             d = self.discounts[3]
             context = before(pair, sizes, first)
-            (n,) = self.look_up("trigram", joint_hash(keys[context], words[word]), parts[context])
-            seen, weight = weights(self.look_up("context", keys, parts, 4), d)
+            (n,) = self.look_up("trigram", joint_hash(keys[context], words[word]), parts[pair])
+            sums = np.zeros((4, len(keys)), np.int64)
+            spread = np.isin(words, self.layout.frequent)[right]
+            for kind, at, by in (("context", ~spread, words[right]), ("pair", spread, keys)):
+                sums[:, at] = self.look_up(kind, keys[at], part_of(by[at], self.layout.parts), 4)
+            seen, weight = weights(sums, d)
             p = (n - discount(n, d)) / seen[context] + weight[context] * p
         starts = np.cumsum(sizes) - sizes
         base = np.log10((count + ALPHA) / (self.tokens + ALPHA * (self.vocabulary + 1)))
@@ -498,14 +576,13 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     column = texts.select(F.col(text).alias("text"))
     size = column.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = growing(size, PART_BYTES, PARTS)
-    word_parts = min(parts, WORD_PARTS)
-    rows = column.mapInArrow(_counter(order, parts), CODED)
-    if order == 3:
-        rows = rows.groupBy("part").applyInArrow(_trigram_reducer(folder, parts), CODED)
-    rows = rows.groupBy("part").applyInArrow(_bigram_reducer(folder, word_parts), CODED)
+    layout = Layout(parts, min(parts, WORD_PARTS), frequent(column, parts))
+    rows = column.mapInArrow(_counter(order, layout), CODED)
+    rows = rows.groupBy("part").applyInArrow(_reducer(folder, order, layout), CODED)
     with small_batches(spark):
-        totals = rows.groupBy("part").applyInArrow(_word_reducer(folder), TOTALS).collect()  # a row a part
-    return Model(folder, order, parts, word_parts, [tuple(t) for t in totals])
+        totals = rows.groupBy("part").applyInArrow(_word_reducer(folder, layout), TOTALS).collect()  # a row a part
+    return Model(folder, order, layout, [tuple(t) for t in totals])
+
 
 SCORED = "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 

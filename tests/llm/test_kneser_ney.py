@@ -66,7 +66,7 @@ def brute(train, texts, order=3):
     return out, p, words
 
 
-@pytest.mark.parametrize(("parts", "order"), [(24 << 20, 3), (60, 3), (60, 2)])
+@pytest.mark.parametrize(("parts", "order"), [(24 << 20, 3), (900, 3), (60, 3), (60, 2)])
 def test_against_dictionaries(spark, monkeypatch, parts, order):
     monkeypatch.setattr(kn, "PART_BYTES", parts)
     rng = np.random.default_rng(1)
