@@ -2,7 +2,7 @@
 and memory-mapped by the workers that score.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased and one end token a text; start marks stand before the first.
-Words are 56-bit hashes. Counting, for order 3 (order 2 leaves out what concerns trigrams):
+Words are 56-bit hashes, 48 bits in the place before the last two. Counting, for order 3 (order 2 leaves out what concerns trigrams):
 
 1. every ``SAMPLE``-th text tells which words are so frequent that one part can't hold all that stands around them. This
    decides where n-grams are kept, never what is counted; the list has at most ``2 * parts`` words;
@@ -123,6 +123,14 @@ def joint_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
+#: Of the first word of a pair, 48 bits tell it from others that stand before the same second word.
+OUTER = np.uint64(~0xFFFF & (1 << 64) - 1)
+
+
+def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return joint_hash(left & OUTER, right)
+
+
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     narrow = np.uint16 if parts <= 1 << 16 else np.uint32  # stable sorts of 16 bits are counting sorts
     return (mix(hashes + np.uint64(77)) % np.uint64(parts)).astype(narrow)
@@ -230,7 +238,8 @@ def dealt(part: np.ndarray, words: np.ndarray, columns: list[np.ndarray], times:
         for k, c in enumerate(own):
             head = changes(*own[: k + 1])
             used, places = listed(c[head], len(words), scrap)
-            data += [steps(words[used]), places if k else places[:0], np.diff(np.append(head, len(at)))]
+            listing = words[used] & OUTER if k < len(own) - 2 else words[used]  # the outermost word matters only in pairs
+            data += [steps(listing), places if k else places[:0], np.diff(np.append(head, len(at)))]
         yield row_of(CODED, p, packed(*data, times[at]))
 
 
@@ -292,7 +301,7 @@ def _counter(order: int, layout: Layout):
                 chain.insert(0, before(chain[0], sizes, start))
             rows, times = counted(chain, len(words))
             v, w = words[rows[-2]], words[rows[-1]]
-            yield from dealt(layout.of(v, joint_hash(v, w)), words, rows, times)
+            yield from dealt(layout.of(v, pair_hash(v, w)), words, rows, times)
 
     return run
 
@@ -411,7 +420,7 @@ def _reducer(folder: str, order: int, layout: Layout):
         (first, last), (v, w) = words[-2:], rows[-2:]
         if order == 3:
             u, total = rows[0], c
-            pair = joint_hash(words[0][u], first[v])
+            pair = pair_hash(words[0][u], first[v])
             _store(Path(folder, f"trigram-{part}"), joint_hash(pair, last[w]), c)
             head = changes(u, v)
             pair, sums = pair[head], [np.add.reduceat(x, head) for x in classes(c)]
@@ -425,7 +434,7 @@ def _reducer(folder: str, order: int, layout: Layout):
             out.append(exact(2, c))
         else:
             total = c
-        _store(Path(folder, f"bigram-{part}"), joint_hash(first[v], last[w]), c)
+        _store(Path(folder, f"bigram-{part}"), pair_hash(first[v], last[w]), c)
         head = changes(v)
         keys = first[v[head]]
         out += passed(part_of(keys, layout.word_parts), AS_CONTEXT, keys, [np.add.reduceat(x, head) for x in classes(c)])
@@ -544,7 +553,7 @@ class Model:
         pairs, pair = np.unique(ends, return_inverse=True)
         pair, first = pair[:-1], int(pair[-1])
         left, right = np.divmod(pairs, len(words))
-        keys = joint_hash(words[left], words[right])
+        keys = pair_hash(words[left], words[right])
         parts = self.layout.of(words[left], keys)
         d = self.discounts[2]
         (n,) = self.look_up("bigram", keys, parts)
