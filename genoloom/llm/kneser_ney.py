@@ -46,7 +46,7 @@ from .common import arrow_schema, crc_mod, documents, growing, pieces, row_of, s
 ORDER = 3
 #: Bytes of text a part, for up to ``PARTS`` parts; larger corpora have larger parts. Words, which are far fewer than
 #: n-grams, have parts of their own, at most ``WORD_PARTS``.
-PART_BYTES = 16 << 20
+PART_BYTES = 28 << 20
 PARTS = 1 << 14
 WORD_PARTS = 1 << 10
 SAMPLE = 32
