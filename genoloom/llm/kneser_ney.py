@@ -45,7 +45,7 @@ from .common import arrow_schema, crc_mod, documents, growing, pieces, row_of, s
 
 ORDER = 3
 #: Bytes of text a part, for up to ``PARTS`` parts; larger corpora have larger parts. Words, which are far fewer than
-#: n-grams, have parts of their own, at most ``WORD_PARTS``.
+#: n-grams, have parts of their own, at most ``WORD_PARTS``, and contexts that end in a frequent word have ``PARTS`` at most.
 PART_BYTES = 28 << 20
 PARTS = 1 << 14
 WORD_PARTS = 1 << 10
@@ -262,8 +262,9 @@ def gathered(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray], np.nd
 class Layout:
     """In which part an n-gram is: by its last word but one, or by the last two if that one is ``frequent``."""
 
-    def __init__(self, parts: int, word_parts: int, frequent: np.ndarray):
-        self.parts, self.word_parts, self.frequent = parts, word_parts, frequent
+    def __init__(self, parts: int, frequent: np.ndarray):
+        self.parts, self.frequent = parts, frequent
+        self.word_parts, self.pair_parts = min(parts, WORD_PARTS), min(parts, PARTS)
 
     def of(self, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
         """Parts of the n-grams that end in ``pairs`` of which ``words`` are the first."""
@@ -427,7 +428,7 @@ def _reducer(folder: str, order: int, layout: Layout):
             spread = np.isin(first[v[head]], layout.frequent)
             _store(Path(folder, f"context-{part}"), pair[~spread], *(x[~spread] for x in sums))
             pair = pair[spread]
-            out += passed(part_of(pair, layout.parts).astype(np.int64) + layout.word_parts, AS_PAIR, pair, [x[spread] for x in sums])
+            out += passed(part_of(pair, layout.pair_parts).astype(np.int64) + layout.word_parts, AS_PAIR, pair, [x[spread] for x in sums])
             del u, pair, sums, rows
             (v, w), (c, total) = grouped([v, w], n, [np.ones(len(total), np.int64), total])
             c = np.where(first[v] == np.uint64(HASHES[START]), total, c)
@@ -565,8 +566,11 @@ class Model:
             (n,) = self.look_up("trigram", joint_hash(keys[context], words[word]), parts[pair])
             sums = np.zeros((4, len(keys)), np.int64)
             spread = np.isin(words, self.layout.frequent)[right]
-            for kind, at, by in (("context", ~spread, words[right]), ("pair", spread, keys)):
-                sums[:, at] = self.look_up(kind, keys[at], part_of(by[at], self.layout.parts), 4)
+            for kind, at, by, n_parts in (
+                ("context", ~spread, words[right], self.layout.parts),
+                ("pair", spread, keys, self.layout.pair_parts),
+            ):
+                sums[:, at] = self.look_up(kind, keys[at], part_of(by[at], n_parts), 4)
             seen, weight = weights(sums, d)
             p = (n - discount(n, d)) / seen[context] + weight[context] * p
         starts = np.cumsum(sizes) - sizes
@@ -585,7 +589,7 @@ def train(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     column = texts.select(F.col(text).alias("text"))
     size = column.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = growing(size, PART_BYTES, PARTS)
-    layout = Layout(parts, min(parts, WORD_PARTS), frequent(column, parts))
+    layout = Layout(parts, frequent(column, parts))
     rows = column.mapInArrow(_counter(order, layout), CODED)
     rows = rows.groupBy("part").applyInArrow(_reducer(folder, order, layout), CODED)
     with small_batches(spark):

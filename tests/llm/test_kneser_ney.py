@@ -134,6 +134,18 @@ def test_parts_of_any_corpus_are_few(monkeypatch):
         assert parts * kn.WORD_PARTS < 2 * 10**8 and shards < 60_000 and size / shards < 4 << 30
 
 
+def test_a_word_that_is_a_third_of_all_is_spread(spark):
+    rng = np.random.default_rng(5)
+    rows = [(" ".join(f"{a} {b} the" for a, b in rng.integers(0, 5000, (40, 2)).tolist()),) for _ in range(640)]
+    texts = spark.createDataFrame(rows, "text string").repartition(4)
+    found = kn.frequent(texts, 64)
+    assert kn.HASHES[b"the"] in found.tolist() and len(found) < 128
+    layout, held = kn.Layout(64, found), Counter()
+    for batch in kn._counter(3, layout)(iter([kn.pa.RecordBatch.from_pydict({"text": [t for (t,) in rows]})])):
+        held[batch.column(0)[0].as_py()] += len(kn.unpacked(batch.column(1)[0].as_py())[-1])
+    assert len(held) == 64 and max(held.values()) < 2 * sum(held.values()) / 64
+
+
 def test_long_and_repeated_texts_and_few_open_files(spark, monkeypatch):
     monkeypatch.setattr(kn, "PART_BYTES", 4000)
     monkeypatch.setattr(kn, "OPEN_FILES", 2)
