@@ -1,15 +1,16 @@
 """Isoform-weighted consequence features for each (variant, gene, tissue).
 
-The direct form crosses every annotation row with every tissue and aggregates. Only the ``.proportion`` features
-depend on the tissue, so the default forms aggregate once for each (variant, gene) and spread the groups over tissues
+By definition every annotation row is crossed with every tissue and aggregated. Only the ``.proportion`` features
+depend on the tissue, so all forms aggregate once for each (variant, gene) and spread the groups over tissues
 last, without a shuffle after that. With few labels and tissues, isoform weights stand beside each transcript, a column a
 tissue, and all features are sums of one aggregation. With many, the isoform-weighted labels of the rows that carry a
-label are summed by tissue into a map, which meets the other features by (variant, gene).
+label are summed by tissue into a map, which meets the other features by (variant, gene). The direct form does so from lists of
+each transcript's isoform rows, and where those repeat, counts also depend on the tissue.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
@@ -151,21 +152,54 @@ def tissue_features_direct(
     vep: DataFrame, isoforms: DataFrame, tissues: DataFrame | None = None, gtf: DataFrame | None = None,
     labels: list[str] | None = None, dedupe: bool = False,
 ) -> DataFrame:
-    """The same by its definition: cross with tissues, left joins, aggregate."""
+    """The same for any isoform keys: rows count once for each isoform row of their transcript and tissue, at least once.
+
+    Rows are summed by (variant, gene) as if no isoform repeated, and crossed with tissues last. A transcript's isoform rows
+    are one list of tissue numbers and weights; it meets the rows that carry a label and is taken apart where those stand dealt
+    by (variant, gene). Isoform rows beyond a tissue's first add further copies of all rows of their transcript."""
     flags = flags_of(vep, labels)
-    keys = [*VARIANT_KEY, "gene", "tissue"]
+    keys = [*VARIANT_KEY, "gene"]
     tissues = (isoforms if tissues is None else tissues).select("tissue").distinct()
-    weights = isoforms.select("gene", "transcript", "tissue", q(WEIGHT).cast("double").alias("w"))
-    rows = annotated(vep, gtf, dedupe).crossJoin(small(tissues)).join(weights, ["gene", "transcript", "tissue"], "left")
-    on = {k: F.when(F.coalesce(v, F.lit(False)), F.col("copies")).otherwise(0) for k, v in flags.items()}
-    groups = rows.groupBy(*keys).agg(
+    numbered = small(tissues.withColumn("i", F.row_number().over(Window.orderBy("tissue"))))
+    weights = isoforms.select("gene", "transcript", "tissue", q(WEIGHT).cast("double").alias("w")).join(numbered, "tissue")
+    found = weights.groupBy("gene", "transcript").agg(F.sort_array(F.collect_list(F.struct("i", "w"))).alias("found"))
+    lists = found.select("gene", "transcript", F.col("found.i").alias("at"), F.col("found.w").alias("ws"))
+    further = F.filter("at", lambda x, k: (k > 0) & (x == F.get(F.col("at"), k - 1)))
+    repeated = lists.select("gene", "transcript", further.alias("at")).where(F.size("at") > 0)
+
+    # One struct is the key of all that follows: nulls in it are equal, and what is dealt by it stays dealt where some of its
+    # columns are constants, which Spark takes out of a list of keys.
+    rows = annotated(vep, gtf, dedupe).withColumn("key", F.struct(*map(q, keys)))
+    on = {k: F.coalesce(v, F.lit(False)) for k, v in flags.items()}
+    counts = {k: F.when(v, F.col("copies")).otherwise(0).alias(f"n_{k}") for k, v in on.items()}
+    transcripts = F.when(q("Consequence").isNotNull(), F.col("copies")).otherwise(0)
+    groups = rows.groupBy("key").agg(
         *[F.max(v).alias(f"{k}.max") for k, v in flags.items()],
-        *[F.sum(v).cast("int").alias(f"{k}.sum") for k, v in on.items()],
-        *[F.coalesce(F.sum(F.col("w") * v), F.lit(0.0)).cast("float").alias(f"{k}.proportion") for k, v in on.items()],
+        *[F.sum(v).alias(f"{k}.sum") for k, v in counts.items()],
         *group_scores(vep),
-        F.sum(F.when(q("Consequence").isNotNull(), F.col("copies")).otherwise(0)).alias("num_transcripts"),
+        F.sum(transcripts).alias("num_transcripts"),
+    )
+    carries = F.lit(False)
+    for v in on.values():
+        carries = carries | v
+    met = rows.where(carries).select("key", "gene", "transcript", *counts.values()).join(lists, ["gene", "transcript"])
+    met = met.select("key", *[q(f"n_{k}") for k in flags], F.lit(None).cast("bigint").alias("more"), "at", "ws")
+    if not repeated.isEmpty():
+        again = rows.select("key", "gene", "transcript", *counts.values(), transcripts.alias("more")).join(small(repeated), ["gene", "transcript"])
+        met = met.union(again.select("key", *[q(f"n_{k}") for k in flags], "more", "at", F.lit(None).cast("array<double>").alias("ws")))
+    dealt = met.repartition("key").select("key", *[q(f"n_{k}") for k in flags], "more", "ws", F.posexplode("at").alias("place", "i"))
+    sums = dealt.groupBy("key", "i").agg(
+        *[F.sum(F.when(q(f"n_{k}") > 0, F.get("ws", "place") * q(f"n_{k}"))).alias(f"p_{k}") for k in flags],
+        *[F.sum(F.when(F.col("more").isNotNull(), q(f"n_{k}"))).alias(f"x_{k}") for k in flags],
+        F.sum("more").alias("x"),
     )
-    return groups.select(*keys, features_struct(flags, [q(f"{k}.proportion") for k in flags], groups.columns))
+    own = [f"{x}_{k}" for x in "px" for k in flags] + ["x"]
+    by_tissue = sums.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct(*map(q, own))))).alias("by_tissue"))
+    spread = groups.join(by_tissue, "key", "left").crossJoin(numbered).withColumn("own", F.try_element_at("by_tissue", F.col("i")))
+    part = lambda name: F.coalesce(q("own").getField(name), F.lit(0))
+    whole = spread.withColumns({f"{k}.sum": (q(f"{k}.sum") + part(f"x_{k}")).cast("int") for k in flags} | {"num_transcripts": F.col("num_transcripts") + part("x")})
+    share = [part(f"p_{k}").cast("float").alias(f"{k}.proportion") for k in flags]
+    return whole.select(*[F.col("key").getField(k).alias(k) for k in keys], "tissue", features_struct(flags, share, groups.columns))
 
 
 def region_stats(df: DataFrame) -> DataFrame:

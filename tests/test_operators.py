@@ -76,6 +76,42 @@ def test_repeated_isoforms_use_the_direct_form(vep, iso):
     assert flat(tissue_features.tissue_features(vep, twice)) == flat(tissue_features.tissue_features_direct(vep, twice))
 
 
+def crossed(vep, isoforms, gtf):
+    """Tissue features by their definition: each row, as often as annotated, in each tissue, as often as its isoform stands there."""
+    copies = [(r.gene_id.split(".")[0], r.transcript_id.split(".")[0]) for r in gtf.collect()]
+    isoforms, out = isoforms.collect(), {}
+    for r in vep.collect():
+        for tissue in {i.tissue for i in isoforms}:
+            f = out.setdefault((r.start, r.gene, tissue), {"stop.sum": 0, "stop.proportion": 0.0, "LoF_HC.sum": 0, "num_transcripts": 0})
+            found = [i[3] for i in isoforms if None not in i[:3] and (i.gene, i.transcript, i.tissue) == (r.gene, r.transcript, tissue)] or [None]
+            for w in found * max(1, copies.count((r.gene, r.transcript))):
+                f["num_transcripts"] += r.Consequence is not None
+                f["LoF_HC.sum"] += bool(r.LoF and r.LoF.HC)
+                if r.Consequence and r.Consequence.stop:
+                    f["stop.sum"] += 1
+                    f["stop.proportion"] += w or 0.0
+    return out
+
+
+def test_direct_form_by_definition(spark, vep, iso):
+    more = [("g", "t1", "liver", 0.25), ("g", "t1", "liver", None), ("g", "t3", "liver", 0.5), ("g", "t3", "liver", 0.5), ("g", "t1", None, 0.5), ("g", "t1", None, 0.5), (None, None, "lung", 0.5)]
+    isoforms = iso.union(spark.createDataFrame(more, ISO))
+    gtf = spark.createDataFrame([("g.1", "t1.1"), ("g.2", "t1.2"), ("g.2", "t2")], "gene_id string, transcript_id string")
+    got = flat(tissue_features.tissue_features_direct(vep, isoforms, gtf=gtf))
+    want = crossed(vep, isoforms, gtf)
+    assert {k: {x: f[x] for x in want[k]} for k, f in got.items()} == want
+    assert got[3, "g", "liver"]["num_transcripts"] == 2 and got[1, "g", "liver"]["stop.sum"] == 7
+    unknown = spark.createDataFrame([("g", "t3", "liver", float("nan"))], ISO)
+    assert flat(tissue_features.tissue_features_direct(vep, unknown))[3, "g", "liver"]["stop.proportion"] == 0  # t3 isn't a stop
+
+
+def test_direct_form_crosses_groups_not_rows(vep, iso):
+    plan = tissue_features.tissue_features_direct(vep, iso)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = {word: [i for i, line in enumerate(plan) if word in line] for word in ("NestedLoopJoin", "CartesianProduct", "Exchange hashpartitioning")}
+    assert len(at["NestedLoopJoin"] + at["CartesianProduct"]) == 1
+    assert max(at["NestedLoopJoin"] + at["CartesianProduct"]) < min(at["Exchange hashpartitioning"])  # above whatever is shuffled
+
+
 def test_empty_tables(spark, vep, iso):
     for f in (tissue_features.tissue_features, tissue_features.tissue_features_direct):
         assert f(vep.limit(0), iso).count() == 0 and f(vep, iso.limit(0)).count() == 0
