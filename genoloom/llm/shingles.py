@@ -117,7 +117,7 @@ def links(rows: DataFrame, nodes: DataFrame, scheme: simhash.Scheme) -> DataFram
     whole = nodes.where("fp0 IS NOT NULL")
     heads = table(whole.groupBy(*scheme.columns).agg(F.min("node").alias("node"), F.max("node").alias("last")), "heads")
     same = whole.join(heads.where("node <> last").withColumnRenamed("node", "head"), scheme.columns).where("node <> head")
-    meets = simhash.links(heads.drop("last"), scheme).union(same.select(F.col("node").alias("a"), F.col("head").alias("b")))
+    meets = simhash.folded(simhash.links(heads.drop("last"), scheme)).union(same.select(F.col("node").alias("a"), F.col("head").alias("b")))
     labels = table(components(meets), "clusters")
     named = labels.union(labels.select(F.col("label").alias("node"), "label").distinct())
     members = table(nodes.select("node", *ROW).join(named, "node"), "members")

@@ -45,6 +45,8 @@ SEED = 42
 SMALL = 24
 #: Fingerprints that share a key by chance, on average, at most (for up to 2 ** 37 of them).
 CHANCE = 64
+#: Links that a task folds at once.
+FOLD = 1 << 20
 JACCARD = 0.8
 MISS = 0.005
 
@@ -275,6 +277,29 @@ def stars(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names[other], names[label[other]]
 
 
+def folded(edges: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what ``edges`` (a, b) connect: of every ``FOLD`` links that a task meets, those that join
+    anything. Links of one group from many buckets become one for each node, around the same smallest node in most tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(LINKS)
+        held: list[np.ndarray] = []
+
+        def fold() -> pa.RecordBatch:
+            ends = stars(*np.concatenate(held, axis=1))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], schema=schema)
+
+        for batch in batches:
+            held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
+            if sum(h.shape[1] for h in held) >= FOLD:
+                yield fold()
+        if held:
+            yield fold()
+
+    return edges.mapInArrow(run, LINKS)
+
+
 def _bucket_links(rows: np.ndarray, scheme: Scheme) -> list[pa.Array]:
     """Links of whole buckets, which stand one after the other; rows are key, fingerprint words, node, value."""
     w, node, v = rows[0], rows[-2], rows[-1]

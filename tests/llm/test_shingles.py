@@ -61,3 +61,17 @@ def test_edge_rows(spark, monkeypatch, few):
     alone = spark.createDataFrame([(None, long), (None, long)], "doc_id long, text string")
     assert {(r.doc_id, r.component_id) for r in shingles.groups(alone).collect()} == {(None, None)} and shingles.unique(alone).count() == 1
     assert shingles.groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_proposals_of_a_large_group_are_folded(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(304)]
+    docs = spark.createDataFrame([(i, " ".join(changed(rng, words, int(rng.integers(1, 4))))) for i in range(150)], "doc_id long, text string")
+    real, met = shingles.components, []
+    monkeypatch.setattr(shingles, "components", lambda edges: met.append(edges.distinct().count()) or real(edges))
+    got = shingles.groups(docs).collect()
+    assert len(got) == 150 and {r.component_id for r in got} == {0}
+    monkeypatch.setattr(shingles.simhash, "folded", lambda edges: edges)
+    shingles.groups(docs).count()
+    folded, _, plain, _ = met
+    assert folded <= 4 * 149 < plain  # a link for each node and task at most, not one for each bucket
